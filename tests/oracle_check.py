@@ -1,0 +1,98 @@
+"""Run registered queries in Spark and their SQL oracle in DuckDB; compare.
+
+Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Comparison: row count, column names, and an order-insensitive hash of the
+values with columns sorted by name (as the driver does).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import json
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        return round(v, 6)
+    if isinstance(v, decimal.Decimal):
+        return str(v.normalize()) if v == v else "nan"
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if isinstance(v, dt.timedelta):
+        return v.total_seconds()
+    return v
+
+
+def digest(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    lines = sorted(json.dumps([_norm(r[i]) for i in order], default=str) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
+
+
+def duck(sf_dir, sql):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    cur = con.execute(sql)
+    cols = [d[0] for d in cur.description]
+    return cols, cur.fetchall()
+
+
+def compare(spark, sf_dir, name, builder, sql):
+    t = time.time()
+    df = builder(spark, sf_dir)
+    s_cols = df.columns
+    s_rows = [tuple(r) for r in df.collect()]
+    st = time.time() - t
+    d_cols, d_rows = duck(sf_dir, sql)
+    ok_cols = sorted(s_cols) == sorted(d_cols)
+    ok_n = len(s_rows) == len(d_rows)
+    ok_h = ok_cols and digest(s_cols, s_rows) == digest(d_cols, d_rows)
+    return {"name": name, "rows": len(s_rows), "oracle_rows": len(d_rows), "cols_ok": ok_cols,
+            "rows_ok": ok_n, "hash_ok": ok_h, "spark_sec": round(st, 2),
+            "spark_cols": s_cols, "oracle_cols": d_cols}
+
+
+def main():
+    import __spark_entry__ as e
+    from histmart.session import build_session
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or list(e.queries())
+    spark = build_session("local[8]", shuffle_partitions=8)
+    spark.sparkContext.setLogLevel("ERROR")
+    qs, sqls = e.queries(), e.oracle_sql()
+    bad = 0
+    for n in names:
+        try:
+            r = compare(spark, sf_dir, n, qs[n], sqls[n])
+        except Exception as ex:  # report and continue
+            r = {"name": n, "error": f"{type(ex).__name__}: {str(ex)[:400]}"}
+        good = r.get("hash_ok") and r.get("rows_ok")
+        bad += not good
+        if good:
+            print(f"OK   {n:26s} rows={r['rows']:7d} {r['spark_sec']}s")
+        else:
+            print(f"FAIL {json.dumps(r, default=str)}")
+    print(f"{len(names) - bad}/{len(names)} match")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main() else 0)
