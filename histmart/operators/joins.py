@@ -1,9 +1,8 @@
 """Join helpers: broadcast a side only after its size has been measured.
 
-``sized_broadcast`` first bounds the row count with a ``limit(n+1).count()``
-(each task stops after n+1 rows, so the check is cheap even on a huge side),
-then, only for a side already known to be small, sums the actual byte width
-of its columns. The side is hinted for broadcast only when both checks pass;
+``sized_broadcast`` reads the side through ``limit(n+1)`` (each task stops
+after n+1 rows, so the check is cheap even on a huge side) and, in the same
+job, sums the actual byte width of its columns. The side is hinted for broadcast only when both checks pass;
 otherwise it is returned unchanged and the join stays a shuffle join, where
 AQE can still split a skewed partition.
 """
@@ -32,8 +31,7 @@ def _conf_int(spark, key, default):
     return int(v) if v else default
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Exact payload bytes of ``df`` (fixed widths + string octets + 8/row)."""
+def _size_aggs(df: DataFrame):
     fixed, var = 8, []
     for f in df.schema.fields:
         w = next((w for t, w in _FIXED_WIDTH.items() if isinstance(f.dataType, t)), None)
@@ -41,11 +39,21 @@ def measured_bytes(df: DataFrame) -> int:
             fixed += w
         else:
             var.append(F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)))
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if var:
-        aggs.append(F.sum(sum(var[1:], var[0]).cast("long")).alias("v"))
-    row = df.agg(*aggs).head()
-    return int(row["n"]) * fixed + (int(row["v"] or 0) if var else 0)
+    var_sum = F.sum(sum(var[1:], var[0]).cast("long")) if var else F.lit(0).cast("long")
+    return fixed, [F.count(F.lit(1)).alias("n"), var_sum.alias("v")]
+
+
+def measured_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, payload bytes) of ``df`` read up to ``max_rows + 1`` rows.
+
+    One job: every task stops after ``max_rows + 1`` rows, so a side that is
+    too big is recognised without reading it whole; for a small side the
+    bytes are exact (fixed widths + string octets + 8 per row).
+    """
+    fixed, aggs = _size_aggs(df)
+    row = df.limit(max_rows + 1).agg(*aggs).head()
+    n = int(row["n"])
+    return n, n * fixed + int(row["v"] or 0)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int | None = None,
@@ -54,8 +62,7 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None,
     spark = df.sparkSession
     max_rows = max_rows or _conf_int(spark, "histmart.broadcast.maxRows", DEFAULT_MAX_ROWS)
     max_bytes = max_bytes or _conf_int(spark, "histmart.broadcast.maxBytes", DEFAULT_MAX_BYTES)
-    if df.limit(max_rows + 1).count() > max_rows:
-        return df
-    if measured_bytes(df) > max_bytes:
+    n, size = measured_size(df, max_rows)
+    if n > max_rows or size > max_bytes:
         return df
     return F.broadcast(df)

@@ -55,8 +55,16 @@ ORDER_ACCOUNTS = DimensionSpec("order_accounts", "account_num", ("priority", "st
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_READS: dict = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The test table as a DataFrame; the relation (file listing + footer)
+    is resolved once per session and path and then reused."""
+    k = (id(spark), spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if k not in _READS:
+        _READS[k] = spark.read.parquet(k[2])
+    return _READS[k]
 
 
 def _day(offset) -> F.Column:
