@@ -86,7 +86,33 @@ def scd2_apply(hist: DataFrame, delta: DataFrame, live_keys: DataFrame | None, *
                key: str, attrs, eff_from: Column, eff_change: Column, delete_ts: Column,
                close_gap: str = CLOSE_GAP, drop_dead_delta: bool = False,
                close_tombstone: bool = False, check_unique: bool = False) -> DataFrame:
-    """The new history after applying ``delta`` and the key snapshot.
+    """The new history: settled rows passed through + ``scd2_versions``."""
+    rest, out = _scd2(hist, delta, live_keys, key=key, attrs=attrs, eff_from=eff_from,
+                      eff_change=eff_change, delete_ts=delete_ts, close_gap=close_gap,
+                      drop_dead_delta=drop_dead_delta, close_tombstone=close_tombstone,
+                      check_unique=check_unique)
+    return rest.unionByName(out)
+
+
+def scd2_versions(hist: DataFrame, delta: DataFrame, live_keys: DataFrame | None, *,
+                  key: str, attrs, eff_from: Column, eff_change: Column, delete_ts: Column,
+                  close_gap: str = CLOSE_GAP, drop_dead_delta: bool = False,
+                  check_unique: bool = False) -> DataFrame:
+    """Only the rows a batch writes: every current row after the batch and
+    the rows the batch settled (closed versions, tombstones). Settled rows
+    of earlier batches are not read beyond the current-view filter."""
+    _, out = _scd2(hist, delta, live_keys, key=key, attrs=attrs, eff_from=eff_from,
+                   eff_change=eff_change, delete_ts=delete_ts, close_gap=close_gap,
+                   drop_dead_delta=drop_dead_delta, close_tombstone=False,
+                   check_unique=check_unique)
+    return out
+
+
+def _scd2(hist: DataFrame, delta: DataFrame, live_keys: DataFrame | None, *,
+          key: str, attrs, eff_from: Column, eff_change: Column, delete_ts: Column,
+          close_gap: str, drop_dead_delta: bool, close_tombstone: bool,
+          check_unique: bool) -> tuple[DataFrame, DataFrame]:
+    """(settled rows passed through, rows emitted by this batch).
 
     hist       history (key, attrs, effective_from, effective_to, deleted_flg)
     delta      changed source rows, already renamed to history column names
@@ -148,7 +174,7 @@ def scd2_apply(hist: DataFrame, delta: DataFrame, live_keys: DataFrame | None, *
     if close_tombstone:
         rest = _close_returned_tombstones(rest, delta.select(key, eff_from.alias("__back")),
                                           key, close_gap)
-    return rest.unionByName(out)
+    return rest, out
 
 
 def _close_returned_tombstones(rest: DataFrame, returning: DataFrame, key: str,
