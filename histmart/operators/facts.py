@@ -57,15 +57,25 @@ def existing_keys(batch_keys: DataFrame, fact: DataFrame, key: str) -> DataFrame
 
 
 def append_new(stg: DataFrame, fact: DataFrame | None, key: str = "trans_id",
-               dedupe: bool = True) -> tuple[DataFrame, DataFrame]:
-    """K1 (+J2): (rows to append, quarantined rows)."""
+               dedupe: bool = True, stage=None) -> tuple[DataFrame, DataFrame]:
+    """K1 (+J2): (rows to append, quarantined rows).
+
+    ``stage`` (e.g. ``session.cut_lineage``) materialises the parsed batch
+    once and the few already-loaded ids; the rows to append then no longer
+    read the fact table, so they can be written into it directly.
+    """
     parsed = parse_transactions(stg)
     good = parsed.where(F.col(QUARANTINE_REASON).isNull()).drop(QUARANTINE_REASON)
     bad = parsed.where(F.col(QUARANTINE_REASON).isNotNull())
     if dedupe:
         good = dedupe_in_batch(good, key)
+    if stage is not None:
+        good = stage(good)
     if fact is not None:
-        good = good.join(existing_keys(good, fact, key), key, "left_anti")
+        seen = existing_keys(good, fact, key)
+        if stage is not None:
+            seen = stage(seen)
+        good = good.join(seen, key, "left_anti")
     return good, bad
 
 

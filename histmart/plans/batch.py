@@ -127,8 +127,8 @@ def load_facts(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_dt:
     fact = publish.read_table(spark, wh.fact("transactions"))
     if fact is not None:  # a re-run must not see its own earlier output
         fact = fact.where(F.col(REPORT_DT) != date_lit(report_dt)).select("trans_id")
-    new, bad = facts.append_new(stg, fact, dedupe=cfg.dedupe_transactions)
-    publish.write_partition(new, wh.fact("transactions"), report_dt, sort_by="trans_date", cut=True)
+    new, bad = facts.append_new(stg, fact, dedupe=cfg.dedupe_transactions, stage=cut_lineage)
+    publish.write_partition(new, wh.fact("transactions"), report_dt, sort_by="trans_date")
     publish.write_partition(bad, wh.quarantine("transactions"), report_dt)
 
 
