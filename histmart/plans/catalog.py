@@ -117,6 +117,13 @@ def q_d_scd2_apply(spark, d):
                            eff_change=ec, delete_ts=run)
 
 
+def q_d_scd2_versions(spark, d):
+    hist, delta, live = _scd_inputs(spark, d)
+    ef, ec, run = _scd_times()
+    return scd2.scd2_versions(hist, delta, live, key=KEY, attrs=ATTRS, eff_from=ef,
+                              eff_change=ec, delete_ts=run)
+
+
 def q_p3_current_view(spark, d):
     return scd2.current_view(q_d_scd2_apply(spark, d)).select(KEY, *ATTRS, EFF_FROM)
 
@@ -240,6 +247,7 @@ QUERIES = {
     "d4_scd2_tombstone": q_d4_scd2_tombstone,
     "d5_scd2_close_deleted": q_d5_scd2_close_deleted,
     "d_scd2_apply": q_d_scd2_apply,
+    "d_scd2_versions": q_d_scd2_versions,
     "p3_current_view": q_p3_current_view,
     "j2_new_fact_anti": q_j2_new_fact_anti,
     "j7_blacklist_existence": q_j7_blacklist_existence,
@@ -441,6 +449,11 @@ FROM cur0 t LEFT JOIN live s ON s.account_num = t.account_num WHERE s.account_nu
     "d4_scd2_tombstone": _with("SELECT * FROM d4", _SCD),
     "d5_scd2_close_deleted": _with("SELECT * FROM d5", _SCD),
     "d_scd2_apply": _with("SELECT * FROM hist1", _SCD),
+    "d_scd2_versions": _with("""
+SELECT * FROM d2
+UNION ALL SELECT * FROM cur_after WHERE account_num NOT IN (SELECT account_num FROM gone)
+UNION ALL SELECT * FROM d4
+UNION ALL SELECT * FROM d5""", _SCD),
     "p3_current_view": _with(f"""
 SELECT account_num, priority, status, effective_from FROM hist1
 WHERE effective_to = {OPEN} AND deleted_flg = 'N'""", _SCD),
