@@ -23,15 +23,21 @@ def ts_to_text(c) -> Column:
     return F.date_format(col(c), TS_TEXT_FORMAT)
 
 
+TS_TEXT_PATTERN = r"^\s*(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})\s*$"
+
+
 def text_to_ts(c, strict: bool = False) -> Column:
     """'yyyy-MM-dd HH:mm:ss' text -> TIMESTAMP_NTZ.
 
     ``strict=False`` returns null on bad text (quarantine path) instead of
-    raising under ANSI mode.
+    raising under ANSI mode. The value is built from the text's calendar
+    fields, so no session-zone conversion is involved.
     """
-    fn = F.to_timestamp_ntz if strict else F.try_to_timestamp
-    out = fn(col(c), F.lit(TS_TEXT_FORMAT))
-    return out.cast(T.TimestampNTZType()) if not strict else out
+    if strict:
+        return F.to_timestamp_ntz(col(c), F.lit(TS_TEXT_FORMAT))
+    c = col(c)
+    part = [F.regexp_extract(c, TS_TEXT_PATTERN, i).cast("int") for i in range(1, 7)]
+    return F.when(c.rlike(TS_TEXT_PATTERN), F.try_make_timestamp_ntz(*part))
 
 
 def batch_text_to_date(c) -> Column:
