@@ -106,3 +106,51 @@ def test_one_pass_equals_literal_model(spark):
     got = sorted((tuple(r) for r in out.collect()), key=_key)
     assert len(got) == len(want)
     assert got == sorted(want, key=_key)
+
+
+def _next_round(rnd, hist_rows, round_no, keys):
+    """A later batch: new deltas (times after the previous run) and live keys."""
+    stg, live = [], set()
+    base = datetime(2021, 3, 2) + round_no * 3 * DAY
+    cur = {r[0]: r for r in hist_rows if r[4] == OPEN and r[5] == "N"}
+    for k in keys:
+        if rnd.random() < 0.5:
+            old = cur.get(k)
+            same = old is not None and rnd.random() < 0.3
+            sx, sy = (old[1], old[2]) if same else (rnd.choice(VALUES), rnd.choice(VALUES))
+            cre = base + timedelta(minutes=rnd.randrange(600))
+            upd = None if (old is None and rnd.random() < 0.5) else cre + timedelta(minutes=rnd.randrange(300))
+            stg.append((k, sx, sy, cre, upd))
+        if rnd.random() < 0.8:
+            live.add(k)
+    return stg, live
+
+
+def test_consecutive_batches_equal_literal_model(spark):
+    """Three batches in a row; each output history is the next input."""
+    global RUN
+    rnd = random.Random(77)
+    hist, keys = [], []
+    for sid in range(150):
+        h, _, _ = scenario(rnd, sid)
+        hist += h
+        keys += sorted({r[0] for r in h}) + [f"s{sid}_new"]
+    model_hist = list(hist)
+    spark_hist = spark.createDataFrame(hist, SCHEMA_H)
+    saved = RUN
+    try:
+        for rn in range(3):
+            RUN = datetime(2021, 3, 3, 3, 27) + rn * 3 * DAY
+            stg, live = _next_round(rnd, model_hist, rn, keys)
+            model_hist = model(model_hist, stg, live)
+            run = ts_lit(RUN)
+            ef, ec = scd2.dimension_times("create_dt", "update_dt", run)
+            out = scd2.scd2_apply(spark_hist, spark.createDataFrame(stg, SCHEMA_D),
+                                  spark.createDataFrame([(k,) for k in sorted(live)], "k string"),
+                                  key="k", attrs=["x", "y"], eff_from=ef, eff_change=ec,
+                                  delete_ts=run)
+            rows = [tuple(r) for r in out.collect()]
+            assert sorted(rows, key=_key) == sorted(model_hist, key=_key), rn
+            spark_hist = spark.createDataFrame(rows, SCHEMA_H)
+    finally:
+        RUN = saved
