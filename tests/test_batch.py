@@ -89,6 +89,8 @@ def test_landing_stream_runs_each_date(spark, tmp_path):
     landing = str(tmp_path / "landing")
     for d in DAYS:
         write_day(spark, landing, d)
+    from histmart.sources.landing import batch_dates
+    assert batch_dates(spark, landing) == DAYS
     cfg = batch.BatchConfig(warehouse=str(tmp_path / "dwh"), landing=landing, sources=sources(spark))
     q = landing_stream(spark, cfg, checkpoint=str(tmp_path / "ckpt"),
                        archive_dir=str(tmp_path / "archive"), run_ts_for=_run_ts)
