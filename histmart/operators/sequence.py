@@ -12,8 +12,10 @@ The same result is computed in two windows whose groups are bounded:
    partition keys alone; there the successor of a bucket's last row is the
    first row of the next non-empty bucket, whatever the gap.
 
-The union of (1) without bucket-last rows and (2) restricted to bucket-last
-rows gives every row exactly once with the same successor as the single
+The rows are explicitly hash-repartitioned on all keys of window (1), so the
+split by bucket holds even when the input is already partitioned by the card
+alone. The union of (1) without bucket-last rows and (2) restricted to
+bucket-last rows gives every row exactly once with the same successor as the single
 window. The bucket id is computed from the calendar fields of the
 TIMESTAMP_NTZ, so it is monotonic in time regardless of the session zone.
 """
@@ -47,7 +49,10 @@ def with_next(df: DataFrame, partition_by: Sequence[str], order_by: str, tiebrea
     parts = [F.col(c) for c in partition_by]
     order = [F.col(order_by).asc(), F.col(tiebreak).asc()]
     w_bucket = Window.partitionBy(*parts, F.col(_B)).orderBy(*order)
-    x = df.withColumn(_B, time_bucket(order_by, bucket_minutes))
+    # hash on *all* window keys: a child already hash-partitioned on the card
+    # alone (a shuffle join on card_num) would otherwise satisfy the window's
+    # clustering and keep every row of a hot card in one task
+    x = df.withColumn(_B, time_bucket(order_by, bucket_minutes)).repartition(*parts, F.col(_B))
     x = x.select(
         *cols, _B,
         *[F.lead(c).over(w_bucket).alias(prefix + c) for c in carry],
