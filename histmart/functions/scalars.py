@@ -23,7 +23,7 @@ def ts_to_text(c) -> Column:
     return F.date_format(col(c), TS_TEXT_FORMAT)
 
 
-TS_TEXT_PATTERN = r"^\s*(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})\s*$"
+TS_TEXT_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
 def text_to_ts(c, strict: bool = False) -> Column:
@@ -35,9 +35,11 @@ def text_to_ts(c, strict: bool = False) -> Column:
     """
     if strict:
         return F.to_timestamp_ntz(col(c), F.lit(TS_TEXT_FORMAT))
-    c = col(c)
-    part = [F.regexp_extract(c, TS_TEXT_PATTERN, i).cast("int") for i in range(1, 7)]
-    return F.when(c.rlike(TS_TEXT_PATTERN), F.try_make_timestamp_ntz(*part))
+    t = F.trim(col(c))
+    # one regex validates the fixed layout; the fields are then taken by position
+    part = [F.substring(t, pos, n).cast("int") for pos, n in
+            ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))]
+    return F.when(t.rlike(TS_TEXT_PATTERN), F.try_make_timestamp_ntz(*part))
 
 
 def batch_text_to_date(c) -> Column:

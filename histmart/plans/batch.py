@@ -116,11 +116,17 @@ def load_facts(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_dt:
     """K2 (blacklist slice) and K1 (typed append of new operations)."""
     bl = read_landing(spark, landing_file(cfg, "blacklist", report_dt), BLACKLIST_TXT,
                       sep=cfg.list_sep, with_batch_date=False)
-    bl = bl.select(rtrim_char("passport_num").alias("passport_num"),
-                   F.coalesce(F.try_to_date("entry_dt", "yyyy-MM-dd"),
-                              batch_text_to_date("entry_dt")).alias("entry_dt"))
-    publish.write_partition(facts.append_slice(bl, "entry_dt", report_dt),
+    typed = bl.select(rtrim_char("passport_num").alias("passport_num"),
+                      F.coalesce(F.try_to_date("entry_dt", "yyyy-MM-dd"),
+                                 batch_text_to_date("entry_dt")).alias("entry_dt"),
+                      F.col("entry_dt").alias("entry_dt_text"))
+    ok = F.col("entry_dt").isNotNull() & F.col("passport_num").isNotNull()
+    publish.write_partition(facts.append_slice(typed.where(ok).drop("entry_dt_text"), "entry_dt",
+                                               report_dt),
                             wh.fact("passport_blacklist"), report_dt)
+    publish.write_partition(typed.where(~ok).select("passport_num", "entry_dt_text",
+                                                    F.lit("bad entry").alias("reason")),
+                            wh.quarantine("passport_blacklist"), report_dt)
 
     stg = read_landing(spark, landing_file(cfg, "transactions", report_dt), TRANSACTIONS_TXT,
                        sep=cfg.tx_sep, with_batch_date=False)
