@@ -6,10 +6,10 @@ relation instead of failing the batch, collapses repeated ids inside the
 batch with a map-side-combined aggregate (a group of copies never lands in
 one task), and keeps only ids not yet in the fact table.
 
-The existing-id check is exact: the fact's id column is semi-joined against
-the batch ids (broadcast when the batch id set is proven small, so the big
-fact is only scanned, not shuffled), then the batch is anti-joined with the
-few ids found.
+The existing-id check is exact: the fact's id column, pruned to the batch's
+id range at the scan, is semi-joined against the batch ids (broadcast when
+the batch id set is proven small, so the big fact is only scanned, not
+shuffled), then the batch is anti-joined with the few ids found.
 """
 
 from __future__ import annotations
@@ -51,9 +51,19 @@ def dedupe_in_batch(df: DataFrame, key: str) -> DataFrame:
 
 
 def existing_keys(batch_keys: DataFrame, fact: DataFrame, key: str) -> DataFrame:
-    """Ids of the batch already present in the fact (exact)."""
-    ids = batch_keys.select(key).distinct()
-    return fact.select(key).join(sized_broadcast(ids), key, "left_semi").distinct()
+    """Ids of the batch already present in the fact (exact).
+
+    Only fact ids inside [min, max] of the batch ids can match; that range
+    (two scalars) is pushed to the fact scan, where Parquet row-group
+    statistics skip files of older ids when ids grow over time. The batch id
+    set is then broadcast if proven small, else both sides are shuffled.
+    """
+    ids = batch_keys.select(key).where(F.col(key).isNotNull()).distinct()
+    lo, hi = batch_keys.agg(F.min(key), F.max(key)).head()
+    if lo is None:
+        return ids.limit(0)
+    cand = fact.select(key).where(F.col(key).between(F.lit(lo), F.lit(hi)))
+    return cand.join(sized_broadcast(ids), key, "left_semi").distinct()
 
 
 def append_new(stg: DataFrame, fact: DataFrame | None, key: str = "trans_id",

@@ -95,3 +95,16 @@ def test_blacklist_slice(spark):
                     facts.append_slice(lst, "entry_dt", date(2021, 3, 3), loaded=loaded,
                                        catch_up=True).collect())
     assert caught == ["P2"]
+
+
+def test_existing_keys_prunes_fact_scan_to_batch_range(spark, workdir, capsys):
+    fact = spark.createDataFrame([(f"{i:011d}",) for i in range(0, 1000)], "trans_id string")
+    fact.repartition(4).sortWithinPartitions("trans_id").write.parquet(f"{workdir}/fact")
+    batch = spark.createDataFrame([(f"{i:011d}",) for i in (998, 999, 1000, 1001)], "trans_id string")
+    got = facts.existing_keys(batch, spark.read.parquet(f"{workdir}/fact"), "trans_id")
+    assert sorted(r.trans_id for r in got.collect()) == ["00000000998", "00000000999"]
+    capsys.readouterr()
+    got.explain("formatted")
+    pushed = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("PushedFilters")]
+    assert any("GreaterThanOrEqual(trans_id,00000000998)" in ln
+               and "LessThanOrEqual(trans_id,00000001001)" in ln for ln in pushed), pushed
