@@ -107,3 +107,21 @@ def test_landing_stream_runs_each_date(spark, tmp_path):
     q2.awaitTermination(600)
     assert q2.exception() is None
     assert os.path.isdir(landing)
+
+
+def test_command_line_run(spark, tmp_path):
+    from histmart.__main__ import main
+    src = sources(spark)
+    args = []
+    for name, df in src.items():
+        df.write.parquet(str(tmp_path / "src" / name))
+        args += ["--source", f"{name}={tmp_path / 'src' / name}"]
+    landing = str(tmp_path / "landing")
+    d = DAYS[0]
+    write_day(spark, landing, d)
+    wh = str(tmp_path / "dwh")
+    main(["run", "--warehouse", wh, "--landing", landing, "--date", d.strftime("%d%m%Y"),
+          "--run-ts", "2024-01-01 23:59:00", *args])
+    every = catalog.q_u1_fraud_mart(spark, SF)
+    want = _rows(every.where(F.col("report_dt") == F.lit(d.isoformat()).cast("date")))
+    assert _rows(batch.read_mart(spark, wh, d)) == want
