@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import decimal_comma_amount, rtrim_char, text_to_ts
 from ..schemas import date_lit
-from .joins import sized_broadcast
+from .joins import broadcast_limits, measured_size
 
 TX_RENAMES = {"transaction_id": "trans_id", "transaction_date": "trans_date", "amount": "amt"}
 QUARANTINE_REASON = "reason"
@@ -59,11 +59,15 @@ def existing_keys(batch_keys: DataFrame, fact: DataFrame, key: str) -> DataFrame
     set is then broadcast if proven small, else both sides are shuffled.
     """
     ids = batch_keys.select(key).where(F.col(key).isNotNull()).distinct()
-    lo, hi = batch_keys.agg(F.min(key), F.max(key)).head()
+    max_rows, max_bytes = broadcast_limits(ids.sparkSession)
+    n, size, (lo, hi) = measured_size(ids, max_rows, (F.min(key), F.max(key)))
+    small = n <= max_rows and size <= max_bytes
+    if not small:  # the limited read did not see every id: range over all of them
+        lo, hi = ids.agg(F.min(key), F.max(key)).head()
     if lo is None:
-        return ids.limit(0)
+        return ids.where(F.lit(False))
     cand = fact.select(key).where(F.col(key).between(F.lit(lo), F.lit(hi)))
-    return cand.join(sized_broadcast(ids), key, "left_semi").distinct()
+    return cand.join(F.broadcast(ids) if small else ids, key, "left_semi").distinct()
 
 
 def append_new(stg: DataFrame, fact: DataFrame | None, key: str = "trans_id",

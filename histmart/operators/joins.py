@@ -43,26 +43,32 @@ def _size_aggs(df: DataFrame):
     return fixed, [F.count(F.lit(1)).alias("n"), var_sum.alias("v")]
 
 
-def measured_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, payload bytes) of ``df`` read up to ``max_rows + 1`` rows.
+def measured_size(df: DataFrame, max_rows: int, extra=()) -> tuple[int, int, tuple]:
+    """(rows, payload bytes, extra aggregates) of ``df`` read up to
+    ``max_rows + 1`` rows.
 
     One job: every task stops after ``max_rows + 1`` rows, so a side that is
     too big is recognised without reading it whole; for a small side the
-    bytes are exact (fixed widths + string octets + 8 per row).
+    bytes are exact (fixed widths + string octets + 8 per row) and ``extra``
+    aggregates cover the whole side.
     """
     fixed, aggs = _size_aggs(df)
-    row = df.limit(max_rows + 1).agg(*aggs).head()
+    row = df.limit(max_rows + 1).agg(*aggs, *extra).head()
     n = int(row["n"])
-    return n, n * fixed + int(row["v"] or 0)
+    return n, n * fixed + int(row["v"] or 0), tuple(row[2:])
+
+
+def broadcast_limits(spark) -> tuple[int, int]:
+    return (_conf_int(spark, "histmart.broadcast.maxRows", DEFAULT_MAX_ROWS),
+            _conf_int(spark, "histmart.broadcast.maxBytes", DEFAULT_MAX_BYTES))
 
 
 def sized_broadcast(df: DataFrame, max_rows: int | None = None,
                     max_bytes: int | None = None) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` is proven small, else ``df``."""
-    spark = df.sparkSession
-    max_rows = max_rows or _conf_int(spark, "histmart.broadcast.maxRows", DEFAULT_MAX_ROWS)
-    max_bytes = max_bytes or _conf_int(spark, "histmart.broadcast.maxBytes", DEFAULT_MAX_BYTES)
-    n, size = measured_size(df, max_rows)
+    rows_cap, bytes_cap = broadcast_limits(df.sparkSession)
+    max_rows, max_bytes = max_rows or rows_cap, max_bytes or bytes_cap
+    n, size, _ = measured_size(df, max_rows)
     if n > max_rows or size > max_bytes:
         return df
     return F.broadcast(df)
