@@ -60,7 +60,8 @@ def _source_delta(src: DataFrame, spec: DimensionSpec, wm) -> tuple[DataFrame, D
     s = src
     for a, b in spec.renames.items():
         s = s.withColumnRenamed(a, b)
-    s = s.withColumn(spec.key, rtrim_char(spec.key))
+    for c in {spec.key, *spec.char_columns}:
+        s = s.withColumn(c, rtrim_char(c))
     delta = extract.delta_scan(s, wm, spec.created, spec.updated) \
         .select(spec.key, *spec.attrs, spec.created, spec.updated)
     return delta, extract.key_snapshot(s, spec.key)

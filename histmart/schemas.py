@@ -62,6 +62,8 @@ class DimensionSpec:
     updated: str | None = "update_dt"
     # source column name -> history column name
     renames: dict = field(default_factory=dict)
+    # fixed-width char(n) columns (history names): padding is not significant
+    char_columns: tuple[str, ...] = ()
 
     @property
     def hist_columns(self) -> list[str]:
@@ -114,11 +116,13 @@ META = T.StructType([_s("schema_name"), _s("table_name"), _s("max_update_dt", _n
 
 # ---- the four dimensions of the warehouse ----
 ACCOUNTS = DimensionSpec("accounts", "account_num", ("valid_to", "client"),
-                         renames={"account": "account_num"})
-CARDS = DimensionSpec("cards", "card_num", ("account_num",), renames={"account": "account_num"})
+                         renames={"account": "account_num"}, char_columns=("account_num",))
+CARDS = DimensionSpec("cards", "card_num", ("account_num",), renames={"account": "account_num"},
+                      char_columns=("card_num", "account_num"))
 CLIENTS = DimensionSpec("clients", "client_id",
                         ("last_name", "first_name", "patronymic", "date_of_birth",
-                         "passport_num", "passport_valid_to", "phone"))
+                         "passport_num", "passport_valid_to", "phone"),
+                        char_columns=("phone",))
 TERMINALS = DimensionSpec("terminals", "terminal_id",
                           ("terminal_type", "terminal_city", "terminal_address"),
                           created=None, updated=None)

@@ -108,3 +108,17 @@ def test_existing_keys_prunes_fact_scan_to_batch_range(spark, workdir, capsys):
     pushed = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("PushedFilters")]
     assert any("GreaterThanOrEqual(trans_id,00000000998)" in ln
                and "LessThanOrEqual(trans_id,00000001001)" in ln for ln in pushed), pushed
+
+
+def test_char_padding_is_not_significant_in_the_batch(spark):
+    """cards.account (char(20)) joins the accounts key after ingestion."""
+    from histmart.plans.batch import _source_delta
+    from histmart.schemas import ACCOUNTS, CARDS
+    cards = spark.createDataFrame([("C1".ljust(20), "A1".ljust(20), datetime(2021, 3, 2), None)],
+                                  "card_num string, account string, create_dt timestamp_ntz, update_dt timestamp_ntz")
+    accts = spark.createDataFrame([("A1".ljust(20), date(2030, 1, 1), "K1", datetime(2021, 3, 2), None)],
+                                  "account string, valid_to date, client string, create_dt timestamp_ntz, update_dt timestamp_ntz")
+    dc, _ = _source_delta(cards, CARDS, datetime(2000, 1, 1))
+    da, _ = _source_delta(accts, ACCOUNTS, datetime(2000, 1, 1))
+    assert dc.join(da, "account_num").count() == 1
+    assert dc.head().card_num == "C1"
