@@ -9,13 +9,12 @@ the literal five-statement semantics, the rule oracles use the correlated
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (batch_date_from_path, day_of, decimal_comma_amount,
                                  hour_component, minus_gap, ts_to_text)
 from ..operators import facts, rules, scd2, watermark
-from ..schemas import DELETED, EFF_FROM, EFF_TO, date_lit, ts_lit
+from ..schemas import EFF_FROM, META, date_lit, ts_lit
 from ..sources import extract
 from ..sources import testdata as td
 
@@ -56,7 +55,7 @@ def q_a1_watermark_advance(spark, d):
     _, delta, _ = _scd_inputs(spark, d)
     meta = spark.createDataFrame(
         [("dwh", "order_accounts", td.parse_ts(td.SCD_T0)), ("dwh", "cards", td.parse_ts(td.SCD_T0)),
-         ("dwh", "clients", td.parse_ts(td.SCD_T0))], schema=extract.META)
+         ("dwh", "clients", td.parse_ts(td.SCD_T0))], schema=META)
     return watermark.update_meta(meta, delta, "dwh", "order_accounts")
 
 
