@@ -107,12 +107,16 @@ def write_versions(versions: DataFrame, wh: Warehouse, name: str, report_dt) ->
 
 
 def write_partition(df: DataFrame, path: str, report_dt, sort_by: str | None = None,
-                    cut: bool = False) -> None:
+                    cut: bool = False, small: bool = False) -> None:
     """Overwrite exactly the ``report_dt`` partition of a day-partitioned
-    table; rows sorted within the file so row-group statistics prune."""
+    table; rows sorted within the file so row-group statistics prune.
+    ``small`` outputs (mart, quarantine) go through a rebalance so AQE sizes
+    the files instead of writing one tiny file per upstream partition."""
     if cut:
         df = cut_lineage(df)
     out = df.withColumn(REPORT_DT, date_lit(report_dt)) if REPORT_DT not in df.columns else df
+    if small:
+        out = out.hint("rebalance")
     if sort_by:
         out = out.sortWithinPartitions(sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
