@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import (batch_date_from_path, day_of, decimal_comma_amount,
                                  hour_component, minus_gap, ts_to_text)
 from ..operators import facts, rules, scd2, watermark
+from .. import schemas
 from ..schemas import EFF_FROM, META, date_lit, ts_lit
 from ..sources import extract
 from ..sources import testdata as td
@@ -123,6 +124,17 @@ def q_d_scd2_versions(spark, d):
                               eff_change=ec, delete_ts=run)
 
 
+def q_d_scd2_terminals(spark, d):
+    """Snapshot dimension: every time is the batch date; the file's keys are
+    the live keys."""
+    hist = td.terminals_hist_t0(spark, d)
+    snap = td.terminal_snapshot(spark, d)
+    day = ts_lit(f"{td.REPORT_DAY} 00:00:00")
+    spec = schemas.TERMINALS
+    return scd2.scd2_apply(hist, snap, extract.key_snapshot(snap, spec.key), key=spec.key,
+                           attrs=list(spec.attrs), eff_from=day, eff_change=day, delete_ts=day)
+
+
 def q_p3_current_view(spark, d):
     return scd2.current_view(q_d_scd2_apply(spark, d)).select(KEY, *ATTRS, EFF_FROM)
 
@@ -247,6 +259,7 @@ QUERIES = {
     "d5_scd2_close_deleted": q_d5_scd2_close_deleted,
     "d_scd2_apply": q_d_scd2_apply,
     "d_scd2_versions": q_d_scd2_versions,
+    "d_scd2_terminals": q_d_scd2_terminals,
     "p3_current_view": q_p3_current_view,
     "j2_new_fact_anti": q_j2_new_fact_anti,
     "j7_blacklist_existence": q_j7_blacklist_existence,
@@ -418,6 +431,62 @@ hist1 AS (
 """
 
 
+_TERM_DIFF = "(0=1 " + " ".join(
+    f"OR s.{c} <> t.{c} OR (s.{c} IS NULL AND t.{c} IS NOT NULL) "
+    f"OR (s.{c} IS NOT NULL AND t.{c} IS NULL)"
+    for c in ("terminal_type", "terminal_city", "terminal_address")) + ")"
+RDAY_TS = f"TIMESTAMP '{td.REPORT_DAY} 00:00:00'"
+
+_TERM_SCD = f"""
+base AS (
+  SELECT * FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                        JOIN region ON n_regionkey = r_regionkey),
+th0 AS (
+  SELECT s_suppkey AS terminal_id, CASE WHEN s_acctbal < 0 THEN 'ATM' ELSE 'POS' END AS terminal_type,
+         n_name AS terminal_city, s_name AS terminal_address,
+         TIMESTAMP '{td.TERMINAL_SWITCH}' AS effective_from, {OPEN} AS effective_to, 'N' AS deleted_flg
+  FROM base WHERE s_nationkey < {td.NEW_NATION}
+  UNION ALL
+  SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'ATM' ELSE 'POS' END, r_name, s_name,
+         TIMESTAMP '{td.DIM_START}', TIMESTAMP '{td.TERMINAL_SWITCH}' - INTERVAL 1 DAY, 'N'
+  FROM base WHERE s_nationkey < {td.NEW_NATION}),
+tsnap AS (
+  SELECT s_suppkey AS terminal_id,
+         CASE WHEN s_acctbal < {td.ATM_BALANCE} THEN 'ATM' ELSE 'POS' END AS terminal_type,
+         n_name AS terminal_city, s_name AS terminal_address
+  FROM base WHERE s_acctbal <= {td.CLOSED_BALANCE}),
+tcur0 AS (SELECT * FROM th0 WHERE effective_to = {OPEN} AND deleted_flg = 'N'),
+trest0 AS (SELECT * FROM th0 WHERE NOT (effective_to = {OPEN} AND deleted_flg = 'N')),
+t1 AS (
+  SELECT s.*, {RDAY_TS} AS effective_from, {OPEN} AS effective_to, 'N' AS deleted_flg
+  FROM tsnap s LEFT JOIN tcur0 t ON s.terminal_id = t.terminal_id WHERE t.terminal_id IS NULL),
+tchg AS (
+  SELECT s.terminal_id, s.terminal_type, s.terminal_city, s.terminal_address,
+         t.terminal_type AS o_type, t.terminal_city AS o_city, t.terminal_address AS o_address,
+         t.effective_from AS o_from
+  FROM tsnap s JOIN tcur0 t ON s.terminal_id = t.terminal_id WHERE {_TERM_DIFF}),
+t2 AS (
+  SELECT terminal_id, o_type AS terminal_type, o_city AS terminal_city, o_address AS terminal_address,
+         o_from AS effective_from, {RDAY_TS} - INTERVAL 1 DAY AS effective_to, 'N' AS deleted_flg
+  FROM tchg),
+t3 AS (
+  SELECT terminal_id, terminal_type, terminal_city, terminal_address,
+         {RDAY_TS} AS effective_from, {OPEN} AS effective_to, 'N' AS deleted_flg FROM tchg),
+tafter AS (
+  SELECT * FROM tcur0 WHERE terminal_id NOT IN (SELECT terminal_id FROM tchg)
+  UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t3),
+tgone AS (SELECT * FROM tafter WHERE terminal_id NOT IN (SELECT terminal_id FROM tsnap)),
+th1 AS (
+  SELECT * FROM trest0
+  UNION ALL SELECT * FROM t2
+  UNION ALL SELECT * FROM tafter WHERE terminal_id IN (SELECT terminal_id FROM tsnap)
+  UNION ALL SELECT terminal_id, terminal_type, terminal_city, terminal_address,
+                   {RDAY_TS}, {OPEN}, 'Y' FROM tgone
+  UNION ALL SELECT terminal_id, terminal_type, terminal_city, terminal_address,
+                   effective_from, {RDAY_TS} - INTERVAL 1 DAY, 'N' FROM tgone)
+"""
+
+
 def _with(body: str, *blocks: str) -> str:
     return "WITH " + ",".join(b.strip() for b in blocks) + "\n" + body
 
@@ -448,6 +517,7 @@ FROM cur0 t LEFT JOIN live s ON s.account_num = t.account_num WHERE s.account_nu
     "d4_scd2_tombstone": _with("SELECT * FROM d4", _SCD),
     "d5_scd2_close_deleted": _with("SELECT * FROM d5", _SCD),
     "d_scd2_apply": _with("SELECT * FROM hist1", _SCD),
+    "d_scd2_terminals": _with("SELECT * FROM th1", _TERM_SCD),
     "d_scd2_versions": _with("""
 SELECT * FROM d2
 UNION ALL SELECT * FROM cur_after WHERE account_num NOT IN (SELECT account_num FROM gone)

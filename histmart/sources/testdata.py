@@ -48,6 +48,12 @@ SCD_T0 = "1999-01-01 00:00:00"     # history state and watermark before the batc
 SCD_T1 = "1999-07-01 00:00:00"     # source state at the batch
 SCD_RUN_TS = "1999-07-01 03:27:00"  # the batch's now()
 ACTIVE_DAYS = 730
+# terminal snapshot scenario: nations below NEW_NATION were known before the
+# batch; balances above CLOSED_BALANCE close the terminal; the type switches
+# to ATM below ATM_BALANCE
+NEW_NATION = 20
+CLOSED_BALANCE = 9000
+ATM_BALANCE = 1000
 # ---------------------------------------------------------------------------
 
 ORDER_ACCOUNTS = DimensionSpec("order_accounts", "account_num", ("priority", "status"))
@@ -206,3 +212,35 @@ def account_live_keys(spark: SparkSession, sf_dir: str, asof: str = SCD_T1) -> D
 
 def parse_ts(text: str) -> datetime:
     return datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
+
+
+# ---- snapshot-dimension scenario on supplier x nation ----
+
+def _terminal_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = load(spark, sf_dir, "supplier")
+    n = load(spark, sf_dir, "nation")
+    r = load(spark, sf_dir, "region")
+    return s.join(n, F.col("s_nationkey") == F.col("n_nationkey")) \
+        .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+
+
+def terminals_hist_t0(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terminal history before the batch: terminals of the older nations."""
+    base = _terminal_base(spark, sf_dir).where(F.col("s_nationkey") < NEW_NATION)
+    ttype = F.when(F.col("s_acctbal") < 0, F.lit("ATM")).otherwise(F.lit("POS"))
+    cols = [F.col("s_suppkey").alias("terminal_id"), ttype.alias("terminal_type")]
+    now = _hist(base.select(*cols, F.col("n_name").alias("terminal_city"),
+                            F.col("s_name").alias("terminal_address")), TERMINAL_SWITCH)
+    before = _hist(base.select(*cols, F.col("r_name").alias("terminal_city"),
+                               F.col("s_name").alias("terminal_address")), DIM_START,
+                   to=ts_lit(TERMINAL_SWITCH) - F.expr("INTERVAL 1 DAY"))
+    return now.unionByName(before)
+
+
+def terminal_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily terminal file of the batch (full snapshot)."""
+    base = _terminal_base(spark, sf_dir).where(F.col("s_acctbal") <= CLOSED_BALANCE)
+    ttype = F.when(F.col("s_acctbal") < ATM_BALANCE, F.lit("ATM")).otherwise(F.lit("POS"))
+    return base.select(F.col("s_suppkey").alias("terminal_id"), ttype.alias("terminal_type"),
+                       F.col("n_name").alias("terminal_city"),
+                       F.col("s_name").alias("terminal_address"))
