@@ -36,3 +36,33 @@ def test_delta_scan_reads_only_needed_columns(spark):
     plan = _final_plan(df)
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
     assert "[o_custkey" in scan and "o_totalprice" not in scan and "o_orderpriority" not in scan
+
+
+def test_scd2_shuffles_each_input_once(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from histmart.operators import scd2
+    from histmart.schemas import ts_lit
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.range(2000).select(F.col("id").cast("string").alias("k"), F.lit("a").alias("x"),
+                                 ts_lit("2020-01-01 00:00:00").alias("effective_from"),
+                                 ts_lit("9999-12-31 00:00:00").alias("effective_to"),
+                                 F.lit("N").alias("deleted_flg")).write.parquet(f"{workdir}/h")
+        spark.range(0, 3000, 3).select(F.col("id").cast("string").alias("k"), F.lit("b").alias("x"),
+                                       ts_lit("2021-01-01 00:00:00").alias("create_dt"),
+                                       ts_lit("2021-03-02 00:00:00").alias("update_dt")) \
+            .write.parquet(f"{workdir}/d")
+        spark.range(2500).select(F.col("id").cast("string").alias("k")).write.parquet(f"{workdir}/l")
+        run = ts_lit("2021-03-03 03:27:00")
+        ef, ec = scd2.dimension_times("create_dt", "update_dt", run)
+        out = scd2.scd2_versions(spark.read.parquet(f"{workdir}/h"), spark.read.parquet(f"{workdir}/d"),
+                                 spark.read.parquet(f"{workdir}/l"), key="k", attrs=["x"],
+                                 eff_from=ef, eff_change=ec, delete_ts=run)
+        plan = _final_plan(out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
+    assert "FullOuter" in plan
+    # current rows, delta and live keys: one exchange each (the live keys' one is reused)
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 3, plan
+    assert "ReusedExchange" in plan
