@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,12 +60,21 @@ class Warehouse:
         return f"{self.root}/meta/batches"
 
 
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a Parquet table. Only "no such path" and "no
+    data files" mean absent; any other failure (storage, permissions) is
+    raised, so a batch never mistakes an unreadable log for a first run."""
     try:
         spark.read.format("parquet").load(path).schema  # noqa: B018 - resolves the path
         return True
-    except Exception:
-        return False
+    except AnalysisException as e:
+        cls = e.getCondition() if hasattr(e, "getCondition") else e.getErrorClass()
+        if cls in _ABSENT:
+            return False
+        raise
 
 
 def previous_batch(spark: SparkSession, wh: Warehouse, report_dt):
