@@ -101,12 +101,20 @@ def test_landing_stream_runs_each_date(spark, tmp_path):
     every = catalog.q_u1_fraud_mart(spark, SF)
     want = _rows(every.where(F.col("report_dt").isin([d.isoformat() for d in DAYS])))
     assert _rows(batch.read_mart(spark, cfg.warehouse)) == want
-    # a second start finds nothing new and reruns nothing
+    # a later start picks up only the new day; starting its micro-batch
+    # commits the previous one, which moves the earlier files to the archive
+    d3 = date(2024, 1, 3)
+    write_day(spark, landing, d3)
     q2 = landing_stream(spark, cfg, checkpoint=str(tmp_path / "ckpt"),
                         archive_dir=str(tmp_path / "archive"), run_ts_for=_run_ts)
     q2.awaitTermination(600)
     assert q2.exception() is None
-    assert os.path.isdir(landing)
+    logged = sorted(r.report_dt for r in spark.read.parquet(publish.Warehouse(cfg.warehouse).log).collect())
+    assert logged == DAYS + [d3]
+    left = sorted(os.listdir(landing))
+    assert all("03012024" in f for f in left if not f.startswith(".")), left
+    archived = [f for _, _, fs in os.walk(tmp_path / "archive") for f in fs]
+    assert {"transactions_01012024.txt", "transactions_02012024.txt"} <= set(archived)
 
 
 def test_command_line_run(spark, tmp_path):
