@@ -72,3 +72,13 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None,
     if n > max_rows or size > max_bytes:
         return df
     return F.broadcast(df)
+
+
+def sized_broadcasts(*dfs: DataFrame) -> list[DataFrame]:
+    """``sized_broadcast`` for several sides, measured concurrently (one
+    small job each, submitted from separate threads)."""
+    if len(dfs) < 2:
+        return [sized_broadcast(d) for d in dfs]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(sized_broadcast, dfs))

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..functions.predicates import expired_before, on_day
 from ..functions.scalars import day_of, hour_component, null_skipping_concat
 from ..schemas import RULE_CITY_HOP, RULE_CONTRACT, RULE_PASSPORT, date_lit
-from .joins import sized_broadcast
+from .joins import sized_broadcast, sized_broadcasts
 from .scd2 import current_view
 from .sequence import with_next
 
@@ -76,11 +76,21 @@ def enriched_tx(tx: DataFrame, profile: DataFrame, report_dt=None) -> DataFrame:
     return _report_days(tx, report_dt).join(sized_broadcast(profile), "card_num")
 
 
+def _terminal_city(terminals_hist: DataFrame) -> DataFrame:
+    return current_view(terminals_hist).select(F.col("terminal_id").alias("terminal"),
+                                               "terminal_city")
+
+
 def with_terminal_city(enriched: DataFrame, terminals_hist: DataFrame) -> DataFrame:
     """Inner join to the current terminal; unknown terminals drop out."""
-    tm = current_view(terminals_hist).select(F.col("terminal_id").alias("terminal"),
-                                             "terminal_city")
-    return enriched.join(sized_broadcast(tm), "terminal")
+    return enriched.join(sized_broadcast(_terminal_city(terminals_hist)), "terminal")
+
+
+def enriched_with_city(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame,
+                       report_dt=None) -> DataFrame:
+    """J8 + J9 with both dimension sides measured at once."""
+    p, tm = sized_broadcasts(profile, _terminal_city(terminals_hist))
+    return _report_days(tx, report_dt).join(p, "card_num").join(tm, "terminal")
 
 
 def _to_mart(df: DataFrame, event_dt: str, event_type) -> DataFrame:
@@ -143,11 +153,12 @@ def fraud_mart(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame,
     their own sequences, which is the same as leaving them out of R3's
     pairing. Every row then yields up to three rule codes.
     """
-    e = enriched_tx(tx, profile, report_dt)
     city = (current_view(terminals_hist)
             .groupBy(F.col("terminal_id").alias("terminal"))
             .agg(F.min("terminal_city").alias("terminal_city"), F.lit(True).alias("__known")))
-    e = e.join(sized_broadcast(city), "terminal", "left") \
+    profile, city = sized_broadcasts(profile, city)
+    e = _report_days(tx, report_dt).join(profile, "card_num")
+    e = e.join(city, "terminal", "left") \
         .withColumn("__known", F.coalesce(F.col("__known"), F.lit(False)))
     p = with_next(e, ["card_num", "report_dt", "__known"], "trans_date", "trans_id",
                   ["trans_date", "terminal_city"], bucket_minutes=bucket_minutes)

@@ -220,7 +220,8 @@ def q_f_scalars(spark, d):
 
 
 def _enriched_city(spark, d):
-    return rules.with_terminal_city(_enriched(spark, d), td.terminals_hist(spark, d))
+    return rules.enriched_with_city(td.operations(spark, d), _profile(spark, d),
+                                    td.terminals_hist(spark, d))
 
 
 def q_n1_lead_pair(spark, d):
