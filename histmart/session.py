@@ -41,6 +41,9 @@ def build_session(master: str | None = None, app: str = "histmart",
         b = b.master(master)
     conf = dict(ENGINE_CONF)
     conf["spark.ui.enabled"] = "false"
+    # static: one process runs many distinct plans (dimensions, facts, rules);
+    # keep their compiled stages instead of recompiling after 100 entries
+    conf["spark.sql.codegen.cache.maxEntries"] = "2000"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
