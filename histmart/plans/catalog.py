@@ -139,6 +139,7 @@ def q_p3_current_view(spark, d):
     return scd2.current_view(q_d_scd2_apply(spark, d)).select(KEY, *ATTRS, EFF_FROM)
 
 
+@td.derived
 def _profile(spark, d):
     return rules.card_profile(td.cards_hist(spark, d), td.accounts_hist(spark, d),
                               td.clients_hist(spark, d), td.blacklist(spark, d))
