@@ -178,6 +178,7 @@ def q_j2_new_fact_anti(spark, d):
     return ops.join(loaded.select("trans_id"), "trans_id", "left_anti")
 
 
+@td.derived
 def _staging_text(spark, d):
     """Operations rendered as the landing file's text columns."""
     e = td.load(spark, d, "events")
