@@ -133,3 +133,20 @@ def test_command_line_run(spark, tmp_path):
     every = catalog.q_u1_fraud_mart(spark, SF)
     want = _rows(every.where(F.col("report_dt") == F.lit(d.isoformat()).cast("date")))
     assert _rows(batch.read_mart(spark, wh, d)) == want
+
+
+def test_command_line_stream(spark, tmp_path):
+    from histmart.__main__ import main
+    args = []
+    for name, df in sources(spark).items():
+        df.write.parquet(str(tmp_path / "src" / name))
+        args += ["--source", f"{name}={tmp_path / 'src' / name}"]
+    landing = str(tmp_path / "landing")
+    d = DAYS[1]
+    write_day(spark, landing, d)
+    wh = str(tmp_path / "dwh")
+    main(["stream", "--warehouse", wh, "--landing", landing, "--checkpoint", str(tmp_path / "ck"),
+          "--archive", str(tmp_path / "archive"), *args])
+    logged = [r.report_dt for r in spark.read.parquet(publish.Warehouse(wh).log).collect()]
+    assert logged == [d]
+    assert batch.read_mart(spark, wh, d).count() > 0
