@@ -350,10 +350,13 @@ WHERE next_trans_date IS NOT NULL
   AND terminal_city <> next_terminal_city"""
 
 
+def _distinct(a: str, b: str, cols) -> str:
+    """Null-safe difference over the tracked attributes."""
+    return "(" + " OR ".join(f"{a}.{c} IS DISTINCT FROM {b}.{c}" for c in cols) + ")"
+
+
 def _diff(a: str, b: str) -> str:
-    return "(0=1 " + " ".join(
-        f"OR {a}.{c} <> {b}.{c} OR ({a}.{c} IS NULL AND {b}.{c} IS NOT NULL) "
-        f"OR ({a}.{c} IS NOT NULL AND {b}.{c} IS NULL)" for c in ATTRS) + ")"
+    return _distinct(a, b, ATTRS)
 
 
 _SCD = f"""
@@ -434,10 +437,7 @@ hist1 AS (
 """
 
 
-_TERM_DIFF = "(0=1 " + " ".join(
-    f"OR s.{c} <> t.{c} OR (s.{c} IS NULL AND t.{c} IS NOT NULL) "
-    f"OR (s.{c} IS NOT NULL AND t.{c} IS NULL)"
-    for c in ("terminal_type", "terminal_city", "terminal_address")) + ")"
+_TERM_DIFF = _distinct("s", "t", ("terminal_type", "terminal_city", "terminal_address"))
 RDAY_TS = f"TIMESTAMP '{td.REPORT_DAY} 00:00:00'"
 
 _TERM_SCD = f"""
