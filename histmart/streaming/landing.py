@@ -8,6 +8,12 @@ the streaming checkpoint remembers which files were handled, so a restart
 after a failure resumes instead of reloading. ``cleanSource=archive`` moves
 handled files to the archive folder (Spark does this once the micro-batch
 that read them is committed, i.e. at the start of the following one).
+
+All three files of a date are expected to be in the folder when the first
+of them is picked up (as the original job expected them at its start time).
+If one is missing, ``run_batch`` fails, the micro-batch is not committed and
+no file is archived; restarting the query once the file has arrived runs the
+same micro-batch again, and the batch itself is idempotent.
 """
 
 from __future__ import annotations
