@@ -5,6 +5,7 @@
     python -m histmart run ... --jdbc-url URL --jdbc-option user=... \\
         --source accounts=info.accounts ...            # sources read over JDBC
     python -m histmart stream --warehouse W --landing L --archive A --checkpoint C ...
+    python -m histmart backfill --warehouse W --landing L --from 01032021 ...
 
 Submitted with spark-submit the session comes from the cluster; the shared
 ``spark.checkpoint.dir`` must be set there.
@@ -40,7 +41,7 @@ def _config(spark, args) -> BatchConfig:
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="histmart")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("run", "stream"):
+    for name in ("run", "stream", "backfill"):
         s = sub.add_parser(name)
         s.add_argument("--warehouse", required=True)
         s.add_argument("--landing", required=True)
@@ -53,6 +54,8 @@ def main(argv=None) -> None:
     r = sub.choices["run"]
     r.add_argument("--date", required=True, help="batch date DDMMYYYY")
     r.add_argument("--run-ts", help="yyyy-MM-dd HH:mm:ss (default: now)")
+    bf = sub.choices["backfill"]
+    bf.add_argument("--from", dest="start", required=True, help="first batch date DDMMYYYY")
     st = sub.choices["stream"]
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--archive")
@@ -65,6 +68,9 @@ def main(argv=None) -> None:
         run_ts = (datetime.strptime(args.run_ts, "%Y-%m-%d %H:%M:%S") if args.run_ts
                   else datetime.now().replace(microsecond=0))
         print(run_batch(spark, cfg, day, run_ts))
+    elif args.cmd == "backfill":
+        from .plans.batch import run_backfill
+        print(run_backfill(spark, cfg, datetime.strptime(args.start, "%d%m%Y").date()))
     else:
         from .streaming.landing import landing_stream
         landing_stream(spark, cfg, args.checkpoint, args.archive).awaitTermination()

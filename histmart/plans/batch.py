@@ -177,3 +177,17 @@ def read_mart(spark: SparkSession, warehouse: str, report_dt: date | None = None
         m = m.where(F.col(REPORT_DT) == date_lit(report_dt))
     return m.select("event_dt", "passport", "fio", "phone",
                     F.col("event_type").cast(T.ShortType()).alias("event_type"), REPORT_DT)
+
+
+def run_backfill(spark: SparkSession, cfg: BatchConfig, start: date,
+                 run_ts_for=None) -> list:
+    """Re-run every batch date found in the landing folder from ``start`` on,
+    oldest first: each batch builds on the one before, so a back-filled date
+    is followed by all later ones. Returns the dates run."""
+    from ..sources.landing import batch_dates
+    if run_ts_for is None:
+        from ..streaming.landing import default_run_ts as run_ts_for
+    days = [d for d in batch_dates(spark, cfg.landing, prefix="transactions") if d >= start]
+    for d in days:
+        run_batch(spark, cfg, d, run_ts_for(d))
+    return days

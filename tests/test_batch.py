@@ -150,3 +150,21 @@ def test_command_line_stream(spark, tmp_path):
     logged = [r.report_dt for r in spark.read.parquet(publish.Warehouse(wh).log).collect()]
     assert logged == [d]
     assert batch.read_mart(spark, wh, d).count() > 0
+
+
+def test_backfill_runs_later_dates_in_order(spark, tmp_path):
+    from histmart.__main__ import main
+    args = []
+    for name, df in sources(spark).items():
+        df.write.parquet(str(tmp_path / "src" / name))
+        args += ["--source", f"{name}={tmp_path / 'src' / name}"]
+    landing = str(tmp_path / "landing")
+    for d in DAYS:
+        write_day(spark, landing, d)
+    wh = str(tmp_path / "dwh")
+    main(["backfill", "--warehouse", wh, "--landing", landing, "--from", "01012024", *args])
+    logged = sorted(r.report_dt for r in spark.read.parquet(publish.Warehouse(wh).log).collect())
+    assert logged == DAYS
+    every = catalog.q_u1_fraud_mart(spark, SF)
+    want = _rows(every.where(F.col("report_dt").isin([d.isoformat() for d in DAYS])))
+    assert _rows(batch.read_mart(spark, wh)) == want
