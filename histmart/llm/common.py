@@ -58,13 +58,18 @@ def attach(left: DataFrame, right: DataFrame, key: str, weight: str, how: str =
 
 
 def in_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` whose workers find this package where the driver does (a cluster ships it by --py-files)."""
-    env = df.sparkSession.sparkContext.environment
+    """``mapInArrow`` over Arrow batches of ``df``."""
+    importable(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def importable(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it (a cluster ships it by --py-files)."""
+    env = spark.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
-    return df.mapInArrow(fn, schema)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list | pa.Array]],

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, quality_rules, token_counts
+from . import byte_bpe, chat_format, embedding_dedup, language_id, quality_classifier, quality_rules, simhash, token_counts
 from .common import read
 
 
@@ -23,11 +23,32 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's host is its source, its path the language section of it."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    found = quality_classifier.classify(docs, labels, host=F.col("source"), path=F.col("lang"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), size=3, radius=2)
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, tokenizer_file("byte_bpe_50k.tiktoken"), split_pattern(), keep=["doc_id"])
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.9)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return token_counts.prefix_token_counts(docs, tokenizer_file("piece_bpe_32k.model"), store=False, keep=["doc_id"])
@@ -69,7 +90,11 @@ FROM k GROUP BY conv_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
+        "op2_simhash": op2_simhash,
+        "op3_language_id": op3_language_id,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_embedding_dedup": op5_embedding_dedup,
         "op7_token_counts": op7_token_counts,
         "op8_quality_rules": op8_quality_rules,
         "op9_chat_format": op9_chat_format,
