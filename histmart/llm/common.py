@@ -7,6 +7,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -117,7 +118,7 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Ite
         yield batch
         return
     start, held = 0, 0
-    for i, n in enumerate(pa.compute.binary_length(col).fill_null(0).to_pylist()):
+    for i, n in enumerate(pc.binary_length(col).fill_null(0).to_pylist()):
         if held and held + n > most_bytes:
             yield batch.slice(start, i - start)
             start, held = i, 0
