@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, embedding_dedup, language_id, quality_classifier, quality_rules, simhash, token_counts
+from . import byte_bpe, chat_format, embedding_dedup, language_id, mixing, quality_classifier, quality_rules, simhash, token_counts
 from .common import read
 
 
@@ -49,6 +49,16 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
+#: Domains of the labelled table, and the share of tokens each shall have.
+DOMAINS = F.when(F.col("quality") < 1, "junk").when(F.col("toxic") >= 1, "toxic").when(F.col("quality") >= 1, "clean")
+TARGETS = {"clean": 0.975, "toxic": 0.02, "junk": 0.005}
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return mixing.mix(docs, labels, DOMAINS, TARGETS, anchor="clean", keep=["doc_id", "source"])
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return token_counts.prefix_token_counts(docs, tokenizer_file("piece_bpe_32k.model"), store=False, keep=["doc_id"])
@@ -95,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_embedding_dedup": op5_embedding_dedup,
+        "op6_mixing": op6_mixing,
         "op7_token_counts": op7_token_counts,
         "op8_quality_rules": op8_quality_rules,
         "op9_chat_format": op9_chat_format,
