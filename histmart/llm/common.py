@@ -103,6 +103,12 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def set_aside(df: DataFrame, names) -> tuple[DataFrame, list]:
+    """``df`` with its columns among ``names`` renamed, and the columns that give all back under their own names."""
+    safe = {c: f"__own_{c}" if c in names else c for c in df.columns}
+    return df.select(*(quoted(c).alias(a) for c, a in safe.items())), [quoted(a).alias(c) for c, a in safe.items()]
+
+
 def as_type(col, kind: pa.DataType) -> pa.Array:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()

@@ -234,11 +234,12 @@ def identify(docs: DataFrame, own: Settings = Settings(), text: str = "text", la
             out["kept"].append(found != UND and best >= own.min_posterior and (own.wanted is None or found in own.wanted))
         return out
 
-    fields = [StructField("language", StringType()), StructField("posterior", DoubleType()),
-              StructField("text_language", StringType()), StructField("kept", BooleanType())]
     used = docs.columns if keep is None else keep
     needed = list(dict.fromkeys([*used, text, lang, host]))
     rows = docs.select(*map(common.quoted, needed), host_key(common.quoted(host)).alias("__host_key"))
     rows = common.attach(rows, hosts.withColumn("w", F.col("__host_n").cast("long")), "__host_key", "w")
-    return common.map_batches(rows, fuse, fields, [text, lang, host, "__host_n", "__host_p", "__site_n", "__site_p"], used)
+    return common.map_batches(rows, fuse, FIELDS, [text, lang, host, "__host_n", "__host_p", "__site_n", "__site_p"], used)
 
+
+FIELDS = [StructField("language", StringType()), StructField("posterior", DoubleType()),
+          StructField("text_language", StringType()), StructField("kept", BooleanType())]

@@ -188,7 +188,7 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, f
             out["p"].append(model.posteriors(t, words))
         return out
 
-    fields = [StructField("n_tokens", LongType()), StructField("p", ArrayType(DoubleType()))]
+    fields = [FIELDS[0], StructField("p", ArrayType(DoubleType()))]
     used = list(dict.fromkeys([*(docs.columns if keep is None else keep), doc_id]))
     narrow = common.cut(common.map_batches(docs, score, fields, [text], used if stage else [doc_id]))
     weights = np.array([targets.get(d, math.nan) for d in model.domains])
@@ -203,22 +203,23 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, f
         return {"domain": [model.domains[i] for i in p.argmax(axis=1)], "posteriors": list(p), "rate": r, "copies": copies.astype(np.int32)}
 
     drawn = (F.pmod(F.xxhash64(common.quoted(doc_id), F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)).alias("__u")
-    found = [StructField("domain", StringType()), StructField("posteriors", ArrayType(DoubleType())),
-             StructField("rate", DoubleType()), StructField("copies", IntegerType())]
     rows = narrow if stage else docs
     rows = rows.select("*", drawn)
     if stage:
-        return common.map_batches(rows, decide, found, ["p", "__u"], [*used, "n_tokens"])
+        return common.map_batches(rows, decide, FIELDS[1:], ["p", "__u"], [*used, "n_tokens"])
 
     def both(batch: pa.RecordBatch) -> dict:
         own = score(batch)
         with_p = pa.RecordBatch.from_arrays([pa.array(own["p"], pa.list_(pa.float64())), batch.column("__u")], ["p", "__u"])
         return {"n_tokens": own["n_tokens"]} | decide(with_p)
 
-    return common.map_batches(rows, both, [fields[0], *found], [text, "__u"], used)
+    return common.map_batches(rows, both, FIELDS, [text, "__u"], used)
 
 
-def realise(mixed: DataFrame, columns: list[str]) -> DataFrame:
+def realise(mixed: DataFrame, columns: list) -> DataFrame:
     """One row per copy, with ``columns`` only."""
-    return (mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*map(common.quoted, columns)))
+    return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
+
+
+FIELDS = [StructField("n_tokens", LongType()), StructField("domain", StringType()), StructField("posteriors", ArrayType(DoubleType())),
+          StructField("rate", DoubleType()), StructField("copies", IntegerType())]

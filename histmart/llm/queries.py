@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, embedding_dedup, language_id, mixing, quality_classifier, quality_rules, simhash, token_counts
+from . import byte_bpe, chat_format, embedding_dedup, html_extract, language_id, mixing, quality_classifier, quality_rules, simhash, token_counts
 from .common import read
 
 
@@ -49,6 +49,10 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 #: Domains of the labelled table, and the share of tokens each shall have.
 DOMAINS = F.when(F.col("quality") < 1, "junk").when(F.col("toxic") >= 1, "toxic").when(F.col("quality") >= 1, "clean")
 TARGETS = {"clean": 0.975, "toxic": 0.02, "junk": 0.005}
@@ -109,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_counts": op7_token_counts,
         "op8_quality_rules": op8_quality_rules,
         "op9_chat_format": op9_chat_format,
+        "op10_html_extract": op10_html_extract,
     }
 
 
