@@ -9,14 +9,29 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from histmart.llm import byte_bpe, common, quality_rules
-from histmart.llm.queries import split_pattern, tokenizer_file
+from histmart.llm import byte_bpe, common, language_id, mixing, quality_rules, simhash
+from histmart.llm.queries import DOMAINS, TARGETS, split_pattern, tokenizer_file
 
 
 def pass_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(docs).where("kept").select(docs.columns)
+    docs, own = common.set_aside(docs, {f.name for f in quality_rules.FIELDS})
+    return quality_rules.quality_rules(docs).where("kept").select(*own)
+
+
+def pass_language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs, own = common.set_aside(docs, {f.name for f in language_id.FIELDS})
+    return language_id.identify(docs).where("kept").select(*own)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs, size=3, radius=2)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = common.read(spark, sf_dir, "labels")
+    docs, own = common.set_aside(docs, {f.name for f in mixing.FIELDS})
+    return mixing.realise(mixing.mix(docs, labels, DOMAINS, TARGETS, anchor="clean", stage=False), own)
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +39,13 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
                                keep=["doc_id", "lang", "source"])
 
 
-STAGES = [("quality_rules", pass_quality_rules), ("byte_bpe", encode_bytes)]
+STAGES = [
+    ("quality_rules", pass_quality_rules),
+    ("language_id", pass_language_id),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode_bytes),
+]
 
 #: The stages are not expressible in SQL (learned references, fingerprint trees, BPE); tests hold them against brute force.
 ORACLE_SQL = None
