@@ -54,13 +54,13 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Domains of the labelled table, and the share of tokens each shall have.
-DOMAINS = F.when(F.col("quality") < 1, "junk").when(F.col("toxic") >= 1, "toxic").when(F.col("quality") >= 1, "clean")
+DOMAINS = "CASE WHEN quality < 1 THEN 'junk' WHEN toxic >= 1 THEN 'toxic' WHEN quality >= 1 THEN 'clean' END"
 TARGETS = {"clean": 0.975, "toxic": 0.02, "junk": 0.005}
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    return mixing.mix(docs, labels, DOMAINS, TARGETS, anchor="clean", keep=["doc_id", "source"])
+    return mixing.mix(docs, labels, F.expr(DOMAINS), TARGETS, anchor="clean", keep=["doc_id", "source"])
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
