@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from histmart.llm import byte_bpe, common, language_id, mixing, quality_rules, simhash
 from histmart.llm.queries import DOMAINS, TARGETS, split_pattern, tokenizer_file
@@ -31,7 +32,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = common.read(spark, sf_dir, "labels")
     docs, own = common.set_aside(docs, {f.name for f in mixing.FIELDS})
-    return mixing.realise(mixing.mix(docs, labels, DOMAINS, TARGETS, anchor="clean", stage=False), own)
+    return mixing.realise(mixing.mix(docs, labels, F.expr(DOMAINS), TARGETS, anchor="clean", stage=False), own)
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
