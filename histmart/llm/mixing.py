@@ -20,7 +20,8 @@ the smallest hashed ids; totals and rates cover all rows.
 
 Defined cases: null text has no tokens, and its rate moves nothing; labels that
 repeat an id count once (the smallest domain); documents without a label are
-predicted like all others; a target without labelled documents cannot be met
+predicted like all others; of more than MAX_DOMAINS domains the commonest are
+modelled; a target without labelled documents cannot be met
 and is ignored; with no labels at all every document is of the anchor domain; repeated rows
 have equal rates; columns of the result replace columns of the same name.
 """
@@ -42,6 +43,8 @@ from .quality_rules import CLASS_OF, CONTINUATION
 
 MAX_TRAIN = 10_000
 MAX_WORDS = 400
+#: Domains are classes of one model; a labelled table has few of them.
+MAX_DOMAINS = 200
 
 
 @dataclass
@@ -98,17 +101,18 @@ def train(docs: DataFrame, labelled: DataFrame, anchor: str, doc_id: str, text:
     texts = common.cut(docs.select(common.quoted(doc_id).alias("__id"), common.quoted(text).cast("string").alias("t"))
                        .join(F.broadcast(some), "__id"))
 
+    sizes = dict(texts.groupBy("__domain").count().orderBy(F.desc("count"), "__domain").limit(MAX_DOMAINS).collect())
+    names, total = sorted(sizes), sum(sizes.values())
+    if len(names) < 2:
+        names = names or [anchor]
+        return Model(names, {}, np.zeros((CONTINUATION + 3, len(names))))
+    texts = texts.where(F.col("__domain").isin(names))
+
     def words(batch: pa.RecordBatch) -> dict:
         return {"words": [list({w.decode("utf-8", "replace") for w in bare(t.split()) if w}) for t in common.encoded(batch.column("t"))]}
 
     seen = (common.map_batches(texts, words, [StructField("words", ArrayType(StringType()))], ["t"], ["__domain"])
-            .select("__domain", F.explode("words").alias("w")).groupBy("w").pivot("__domain", sorted(domains_of(some))).count().na.fill(0))
-    names = [c for c in seen.columns if c != "w"]
-    if len(names) < 2:
-        names = names or [anchor]
-        return Model(names, {}, np.zeros((CONTINUATION + 3, len(names))))
-    sizes = dict(texts.groupBy("__domain").count().collect())
-    total = sum(sizes.values())
+            .select("__domain", F.explode("words").alias("w")).groupBy("w").pivot("__domain", names).count().na.fill(0))
     n = sum(F.col(f"`{d}`") for d in names)
     expect = [n * sizes.get(d, 0) / total for d in names]
     chi = sum((F.col(f"`{d}`") - e) * (F.col(f"`{d}`") - e) / (e + 1e-9) for d, e in zip(names, expect, strict=True))
@@ -123,10 +127,6 @@ def train(docs: DataFrame, labelled: DataFrame, anchor: str, doc_id: str, text:
     return Model(names, chosen, fit_softmax(np.array([r["x"] for r in got]), y, len(names)))
 
 
-def domains_of(labelled: DataFrame) -> list[str]:
-    return [r[0] for r in labelled.select("__domain").distinct().limit(200).collect()]
-
-
 def rates(p: np.ndarray, misses: np.ndarray, floor: float = 0.0) -> np.ndarray:
     """Rates of documents with memberships ``p`` after the steps whose misses are given, each projected on ``>= floor``."""
     r = np.ones(len(p))
