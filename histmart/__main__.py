@@ -3,7 +3,7 @@
     python -m histmart run --warehouse W --landing L --date 03032021 \\
         --source accounts=/extracts/accounts --source cards=... --source clients=...
     python -m histmart run ... --jdbc-url URL --jdbc-option user=... \\
-        --source accounts=info.accounts ...            # sources read over JDBC
+        --source accounts=bank.accounts ...            # sources read over JDBC
     python -m histmart stream --warehouse W --landing L --archive A --checkpoint C ...
     python -m histmart backfill --warehouse W --landing L --from 01032021 ...
 

@@ -89,11 +89,6 @@ def trunc_to_second(c) -> Column:
                                 F.hour(c), F.minute(c), F.second(c))
 
 
-def minute_of_day(c) -> Column:
-    c = col(c)
-    return F.hour(c) * 60 + F.minute(c)
-
-
 def decimal_comma_amount(c, precision: int = 8, scale: int = 2) -> Column:
     """'1234,50' -> DECIMAL(8,2), half-up; null when not a number or
     when it overflows (the quarantine path)."""

@@ -1,28 +1,30 @@
-"""Fact loads: typed append of new operations, daily slice of a list.
-
-``append_new`` parses the all-text staging rows, sends rows that do not
-parse (bad time, bad or overflowing amount, missing id) to a quarantine
-relation instead of failing the batch, collapses repeated ids inside the
-batch with a map-side-combined aggregate (a group of copies never lands in
-one task), and keeps only ids not yet in the fact table.
-
-The existing-id check is exact: the fact's id column, pruned to the batch's
-id range at the scan, is semi-joined against the batch ids (broadcast when
-the batch id set is proven small, so the big fact is only scanned, not
-shuffled), then the batch is anti-joined with the few ids found.
+"""Fact loads: typed append of new rows, daily slice of a list.
+
+``append_new`` parses the all-text staging rows (``parse`` gives typed columns
+and a failure reason), sends rows that do not parse (bad time, bad or
+overflowing amount, missing id) to a quarantine relation instead of failing
+the batch, collapses exact copies with a map-side-combined aggregate, and
+keeps only ids not yet in the fact table. Rows that share an id but differ
+are all quarantined: nothing says which one is right.
+
+The existing-id check is one exact anti join on the id. With a staged batch
+the fact's id column is first pruned to the batch's id range at the scan,
+where Parquet row-group statistics skip files of older ids.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import decimal_comma_amount, rtrim_char, text_to_ts
 from ..schemas import date_lit
-from .joins import broadcast_limits, measured_size
+from ..sources.landing import MALFORMED
 
-TX_RENAMES = {"transaction_id": "trans_id", "transaction_date": "trans_date", "amount": "amt"}
 QUARANTINE_REASON = "reason"
+CONFLICT = "conflicting rows for one id"
 
 
 def parse_transactions(stg: DataFrame) -> DataFrame:
@@ -30,7 +32,9 @@ def parse_transactions(stg: DataFrame) -> DataFrame:
     ts = text_to_ts("transaction_date")
     amt = decimal_comma_amount("amount")
     tid = rtrim_char(F.trim("transaction_id"))
-    reason = (F.when(tid.isNull() | (tid == ""), F.lit("missing id"))
+    whole = F.col(MALFORMED).isNull() if MALFORMED in stg.columns else F.lit(True)
+    reason = (F.when(~whole, F.lit("malformed line"))
+              .when(tid.isNull() | (tid == ""), F.lit("missing id"))
               .when(ts.isNull(), F.lit("bad transaction_date"))
               .when(amt.isNull(), F.lit("bad amount")))
     extra = [c for c in stg.columns if c not in
@@ -38,58 +42,54 @@ def parse_transactions(stg: DataFrame) -> DataFrame:
               "oper_result", "terminal")]
     return stg.select(
         tid.alias("trans_id"), ts.alias("trans_date"), rtrim_char("card_num").alias("card_num"),
-        F.col("oper_type"), amt.alias("amt"), F.col("oper_result"), F.col("terminal"),
+        F.col("oper_type"), amt.alias("amt"), F.col("oper_result"), rtrim_char("terminal").alias("terminal"),
         *extra, reason.alias(QUARANTINE_REASON))
 
 
-def dedupe_in_batch(df: DataFrame, key: str) -> DataFrame:
-    """Q11: one row per id, chosen deterministically (smallest row); the
-    partial aggregate collapses copies before the shuffle."""
+def one_per_key(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Q11: (one row per id whose rows are all equal, ids with differing rows).
+
+    The partial aggregate collapses copies before the shuffle."""
     rest = [c for c in df.columns if c != key]
-    return (df.groupBy(key).agg(F.min(F.struct(*rest)).alias("__r"))
-            .select(key, *[F.col(f"__r.{c}").alias(c) for c in rest]))
-
-
-def existing_keys(batch_keys: DataFrame, fact: DataFrame, key: str) -> DataFrame:
-    """Ids of the batch already present in the fact (exact).
-
-    Only fact ids inside [min, max] of the batch ids can match; that range
-    (two scalars) is pushed to the fact scan, where Parquet row-group
-    statistics skip files of older ids when ids grow over time. The batch id
-    set is then broadcast if proven small, else both sides are shuffled.
-    """
-    ids = batch_keys.select(key).where(F.col(key).isNotNull()).distinct()
-    max_rows, max_bytes = broadcast_limits(ids.sparkSession)
-    n, size, (lo, hi) = measured_size(ids, max_rows, (F.min(key), F.max(key)))
-    small = n <= max_rows and size <= max_bytes
-    if not small:  # the limited read did not see every id: range over all of them
-        lo, hi = ids.agg(F.min(key), F.max(key)).head()
-    if lo is None:
-        return ids.where(F.lit(False))
-    cand = fact.select(key).where(F.col(key).between(F.lit(lo), F.lit(hi)))
-    return cand.join(F.broadcast(ids) if small else ids, key, "left_semi").distinct()
-
-
-def append_new(stg: DataFrame, fact: DataFrame | None, key: str = "trans_id",
-               dedupe: bool = True, stage=None) -> tuple[DataFrame, DataFrame]:
+    g = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("__lo"), F.max(F.struct(*rest)).alias("__hi"))
+    same = F.col("__lo").eqNullSafe(F.col("__hi"))
+    return (g.where(same).select(key, *[F.col(f"__lo.{c}").alias(c) for c in rest]),
+            g.where(~same).select(key))
+
+
+def new_rows(batch: DataFrame, fact: DataFrame, key: str, prune: bool = False) -> DataFrame:
+    """Batch rows whose id the fact does not hold (exact anti join).
+
+    ``prune`` (for a staged batch, read cheaply twice) pushes the batch's id
+    range to the fact scan; only ids inside it can match."""
+    ids = fact.select(key)
+    if prune:
+        lo, hi = batch.agg(F.min(key), F.max(key)).head()
+        if lo is None:
+            return batch
+        ids = ids.where(F.col(key).between(F.lit(lo), F.lit(hi)))
+    return batch.join(ids, key, "left_anti")
+
+
+def append_new(stg: DataFrame, fact: DataFrame | None, key: str = "trans_id", dedupe: bool = True,
+               stage: Callable[[DataFrame], DataFrame] | None = None,
+               parse: Callable[[DataFrame], DataFrame] = parse_transactions) -> tuple[DataFrame, DataFrame]:
     """K1 (+J2): (rows to append, quarantined rows).
 
     ``stage`` (e.g. ``session.cut_lineage``) materialises the parsed batch
-    once and the few already-loaded ids; the rows to append then no longer
-    read the fact table, so they can be written into it directly.
-    """
-    parsed = parse_transactions(stg)
-    good = parsed.where(F.col(QUARANTINE_REASON).isNull()).drop(QUARANTINE_REASON)
+    once, so that it is parsed once for both results."""
+    parsed = parse(stg)
+    if stage is not None:
+        parsed = stage(parsed)
+    good = parsed.where(F.col(QUARANTINE_REASON).isNull()).drop(QUARANTINE_REASON, MALFORMED)
     bad = parsed.where(F.col(QUARANTINE_REASON).isNotNull())
     if dedupe:
-        good = dedupe_in_batch(good, key)
-    if stage is not None:
-        good = stage(good)
+        every = good
+        good, conflicts = one_per_key(every, key)
+        rows = every.join(conflicts, key, "left_semi").withColumn(QUARANTINE_REASON, F.lit(CONFLICT))
+        bad = bad.unionByName(rows, allowMissingColumns=True)
     if fact is not None:
-        seen = existing_keys(good, fact, key)
-        if stage is not None:
-            seen = stage(seen)
-        good = good.join(seen, key, "left_anti")
+        good = new_rows(good, fact, key, prune=stage is not None)
     return good, bad
 
 

@@ -1,10 +1,9 @@
 """Join helpers: broadcast a side only after its size has been measured.
 
-``sized_broadcast`` reads the side through ``limit(n+1)`` (each task stops
-after n+1 rows, so the check is cheap even on a huge side) and, in the same
-job, sums the actual byte width of its columns. The side is hinted for broadcast only when both checks pass;
-otherwise it is returned unchanged and the join stays a shuffle join, where
-AQE can still split a skewed partition.
+``sized_broadcast`` counts the rows of a side and sums the byte width of its
+columns in one global aggregate (one row per task, no rows moved). The side is
+hinted for broadcast only when both checks pass; otherwise the join stays a
+shuffle join, where AQE can still split a skewed partition.
 """
 
 from __future__ import annotations
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
@@ -43,19 +44,13 @@ def _size_aggs(df: DataFrame):
     return fixed, [F.count(F.lit(1)).alias("n"), var_sum.alias("v")]
 
 
-def measured_size(df: DataFrame, max_rows: int, extra=()) -> tuple[int, int, tuple]:
-    """(rows, payload bytes, extra aggregates) of ``df`` read up to
-    ``max_rows + 1`` rows.
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, payload bytes) of ``df``: fixed widths + string octets + 8 per row.
 
-    One job: every task stops after ``max_rows + 1`` rows, so a side that is
-    too big is recognised without reading it whole; for a small side the
-    bytes are exact (fixed widths + string octets + 8 per row) and ``extra``
-    aggregates cover the whole side.
-    """
+    One global aggregate: each task sends one row, whatever the side's size."""
     fixed, aggs = _size_aggs(df)
-    row = df.limit(max_rows + 1).agg(*aggs, *extra).head()
-    n = int(row["n"])
-    return n, n * fixed + int(row["v"] or 0), tuple(row[2:])
+    row = df.agg(*aggs).head()
+    return int(row["n"]), int(row["n"]) * fixed + int(row["v"] or 0)
 
 
 def broadcast_limits(spark) -> tuple[int, int]:
@@ -63,22 +58,23 @@ def broadcast_limits(spark) -> tuple[int, int]:
             _conf_int(spark, "histmart.broadcast.maxBytes", DEFAULT_MAX_BYTES))
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None,
-                    max_bytes: int | None = None) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` is proven small, else ``df``."""
+def sized_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
+                    staged: bool = False) -> DataFrame:
+    """Return ``broadcast(df)`` if ``df`` is proven small, else ``df``.
+
+    The side is computed once, into the shared checkpoint folder, then
+    measured and joined from there; ``staged`` says that it already is (or is
+    a plain scan, cheaper to read twice than to copy)."""
     rows_cap, bytes_cap = broadcast_limits(df.sparkSession)
-    max_rows, max_bytes = max_rows or rows_cap, max_bytes or bytes_cap
-    n, size, _ = measured_size(df, max_rows)
-    if n > max_rows or size > max_bytes:
-        return df
-    return F.broadcast(df)
-
-
-def sized_broadcasts(*dfs: DataFrame) -> list[DataFrame]:
-    """``sized_broadcast`` for several sides, measured concurrently (one
-    small job each, submitted from separate threads)."""
-    if len(dfs) < 2:
-        return [sized_broadcast(d) for d in dfs]
+    side = df if staged else cut_lineage(df)
+    n, size = measured_size(side)
+    if n > (max_rows or rows_cap) or size > (max_bytes or bytes_cap):
+        return side
+    return F.broadcast(side)
+
+
+def sized_broadcasts(*sides: tuple[DataFrame, bool]) -> list[DataFrame]:
+    """``sized_broadcast`` of several ``(side, staged)``, measured concurrently."""
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return list(pool.map(sized_broadcast, dfs))
+    with ThreadPoolExecutor(max_workers=len(sides)) as pool:
+        return list(pool.map(lambda s: sized_broadcast(s[0], staged=s[1]), sides))

@@ -13,8 +13,9 @@ Plan shape (one report day or many):
   been measured (``joins.sized_broadcast``); otherwise the joins stay shuffle
   joins and AQE splits a skewed card partition;
 * R1 and R2 are row predicates on the same enriched row and are emitted in
-  one pass; R3 needs consecutive operations of a card within a day and uses
-  the skew-safe two-window lead of ``operators.sequence``.
+  one pass; R3 needs consecutive operations of a card within a day. Only the
+  narrow operation columns and the city go through that shuffle
+  (``operators.sequence``); the profile is joined to R3's hits alone.
 
 With ``report_dt=None`` every day present in the fact is reported as the
 daily batch of that day would report it (report_dt = day of the operation).
@@ -31,7 +32,7 @@ from ..functions.scalars import day_of, hour_component, null_skipping_concat
 from ..schemas import RULE_CITY_HOP, RULE_CONTRACT, RULE_PASSPORT, date_lit
 from .joins import sized_broadcast, sized_broadcasts
 from .scd2 import current_view
-from .sequence import with_next
+from .sequence import HOT_ROWS, hot_groups, with_next
 
 MART_COLUMNS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
@@ -56,11 +57,12 @@ def card_profile(cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist:
     p = (c.join(a, "account_num")
          .join(cl, F.col("client") == F.col("client_id"))
          .select("card_num", "valid_to", "passport_num", "passport_valid_to", "fio", "phone"))
-    if blacklist is not None:
-        p = p.join(blacklist_since(blacklist), "passport_num", "left")
-    else:
-        p = p.withColumn("listed_since", F.lit(None).cast(T.DateType()))
-    return p
+    unlisted = F.lit(None).cast(T.DateType()).alias("listed_since")
+    if blacklist is None:
+        return p.select("*", unlisted)
+    # null passports match nothing: kept out of the join, where they would share one task
+    return (p.where(F.col("passport_num").isNotNull()).join(blacklist_since(blacklist), "passport_num", "left")
+            .unionByName(p.where(F.col("passport_num").isNull()).select("*", unlisted)))
 
 
 def _report_days(tx: DataFrame, report_dt) -> DataFrame:
@@ -77,20 +79,14 @@ def enriched_tx(tx: DataFrame, profile: DataFrame, report_dt=None) -> DataFrame:
 
 
 def _terminal_city(terminals_hist: DataFrame) -> DataFrame:
-    return current_view(terminals_hist).select(F.col("terminal_id").alias("terminal"),
-                                               "terminal_city")
+    """One city per current terminal id."""
+    return current_view(terminals_hist).groupBy(F.col("terminal_id").alias("terminal")) \
+        .agg(F.min("terminal_city").alias("terminal_city"))
 
 
-def with_terminal_city(enriched: DataFrame, terminals_hist: DataFrame) -> DataFrame:
+def with_terminal_city(tx: DataFrame, terminals_hist: DataFrame) -> DataFrame:
     """Inner join to the current terminal; unknown terminals drop out."""
-    return enriched.join(sized_broadcast(_terminal_city(terminals_hist)), "terminal")
-
-
-def enriched_with_city(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame,
-                       report_dt=None) -> DataFrame:
-    """J8 + J9 with both dimension sides measured at once."""
-    p, tm = sized_broadcasts(profile, _terminal_city(terminals_hist))
-    return _report_days(tx, report_dt).join(p, "card_num").join(tm, "terminal")
+    return tx.join(sized_broadcast(_terminal_city(terminals_hist)), "terminal")
 
 
 def _to_mart(df: DataFrame, event_dt: str, event_type) -> DataFrame:
@@ -99,7 +95,7 @@ def _to_mart(df: DataFrame, event_dt: str, event_type) -> DataFrame:
                      "fio", "phone", et.cast(T.ShortType()).alias("event_type"), "report_dt")
 
 
-def _passport_bad(): # R1 predicate: expired (strict) or listed by the report day
+def passport_bad():  # R1 predicate: expired (strict) or listed by the report day
     return (expired_before("passport_valid_to", F.col("report_dt"))
             | (F.col("listed_since") <= F.col("report_dt")))
 
@@ -110,7 +106,7 @@ def _contract_over():  # R2 predicate: operation after the contract's end date
 
 def rule_passport(enriched: DataFrame) -> DataFrame:
     """Operation with an expired or blacklisted passport."""
-    return _to_mart(enriched.where(_passport_bad()), "trans_date", RULE_PASSPORT)
+    return _to_mart(enriched.where(passport_bad()), "trans_date", RULE_PASSPORT)
 
 
 def rule_contract(enriched: DataFrame) -> DataFrame:
@@ -118,67 +114,53 @@ def rule_contract(enriched: DataFrame) -> DataFrame:
     return _to_mart(enriched.where(_contract_over()), "trans_date", RULE_CONTRACT)
 
 
-def city_hop_pairs(enriched_city: DataFrame, bucket_minutes: int = 1) -> DataFrame:
-    """Each operation with the next operation of the same card on the
-    same day (ties on time broken by ``trans_id``)."""
-    return with_next(enriched_city, ["card_num", "report_dt"], "trans_date", "trans_id",
-                     ["trans_date", "terminal_city"], bucket_minutes=bucket_minutes)
+def _pairs(tx: DataFrame, cards: DataFrame, city: DataFrame, report_dt, hot_rows: int,
+           bucket_minutes: int) -> DataFrame:
+    ops = _report_days(tx, report_dt)
+    hot = hot_groups(ops.where(F.col("card_num").isNotNull()), ["card_num", "report_dt"], hot_rows)
+    known = ops.join(city, "terminal").join(cards, "card_num", "left_semi") \
+        .select("trans_id", "trans_date", "card_num", "report_dt", "terminal_city")
+    return with_next(known, ["card_num", "report_dt"], "trans_date", "trans_id",
+                     ["trans_date", "terminal_city"], hot=hot, bucket_minutes=bucket_minutes)
 
 
-def rule_city_hop(enriched_city: DataFrame, bucket_minutes: int = 1) -> DataFrame:
-    """The next operation of the card is in another city less than an
-    hour later (same day); the event is the second operation."""
-    p = city_hop_pairs(enriched_city, bucket_minutes)
+def city_hop_pairs(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame, report_dt=None,
+                   hot_rows: int = HOT_ROWS, bucket_minutes: int = 1) -> DataFrame:
+    """Each operation of a known card at a known terminal with the next
+    such operation of the card on the same day (ties broken by ``trans_id``)."""
+    cards, city = sized_broadcasts((profile.select("card_num"), False), (_terminal_city(terminals_hist), False))
+    return _pairs(tx, cards, city, report_dt, hot_rows, bucket_minutes)
+
+
+def _city_hops(pairs: DataFrame, profile: DataFrame) -> DataFrame:
     hit = (F.col("next_trans_date").isNotNull()
            & (hour_component("next_trans_date", "trans_date") == 0)
            & (F.col("terminal_city") != F.col("next_terminal_city")))
-    return _to_mart(p.where(hit), "next_trans_date", RULE_CITY_HOP)
+    return _to_mart(pairs.where(hit).join(profile, "card_num"), "next_trans_date", RULE_CITY_HOP)
+
+
+def rule_city_hop(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame, report_dt=None,
+                  hot_rows: int = HOT_ROWS, bucket_minutes: int = 1) -> DataFrame:
+    """The next operation of the card is in another city less than an
+    hour later (same day); the event is the second operation."""
+    profile, city = sized_broadcasts((profile, False), (_terminal_city(terminals_hist), False))
+    return _city_hops(_pairs(tx, profile.select("card_num"), city, report_dt, hot_rows, bucket_minutes), profile)
 
 
 def rules_passport_contract(enriched: DataFrame) -> DataFrame:
     """R1 and R2 in one pass over the enriched rows."""
-    codes = F.filter(F.array(F.when(_passport_bad(), F.lit(RULE_PASSPORT)),
+    codes = F.filter(F.array(F.when(passport_bad(), F.lit(RULE_PASSPORT)),
                              F.when(_contract_over(), F.lit(RULE_CONTRACT))),
                      lambda c: c.isNotNull())
     return _to_mart(enriched.withColumn("__rule", F.explode(codes)), "trans_date", F.col("__rule"))
 
 
-def fraud_mart(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame,
-               report_dt=None, bucket_minutes: int = 1) -> DataFrame:
-    """The three rules appended into one mart relation, in one pass.
-
-    The fact is scanned and joined to the profile once. A left join adds the
-    city of the operation's terminal (one city per terminal id, so R1/R2 rows
-    can never be multiplied by it); operations at unknown terminals form
-    their own sequences, which is the same as leaving them out of R3's
-    pairing. Every row then yields up to three rule codes.
-    """
-    city = (current_view(terminals_hist)
-            .groupBy(F.col("terminal_id").alias("terminal"))
-            .agg(F.min("terminal_city").alias("terminal_city"), F.lit(True).alias("__known")))
-    profile, city = sized_broadcasts(profile, city)
-    e = _report_days(tx, report_dt).join(profile, "card_num")
-    e = e.join(city, "terminal", "left") \
-        .withColumn("__known", F.coalesce(F.col("__known"), F.lit(False)))
-    p = with_next(e, ["card_num", "report_dt", "__known"], "trans_date", "trans_id",
-                  ["trans_date", "terminal_city"], bucket_minutes=bucket_minutes)
-    hop = (F.col("__known") & F.col("next_trans_date").isNotNull()
-           & (hour_component("next_trans_date", "trans_date") == 0)
-           & (F.col("terminal_city") != F.col("next_terminal_city")))
-    codes = F.filter(F.array(F.when(_passport_bad(), F.lit(RULE_PASSPORT)),
-                             F.when(_contract_over(), F.lit(RULE_CONTRACT)),
-                             F.when(hop, F.lit(RULE_CITY_HOP))),
-                     lambda c: c.isNotNull())
-    x = p.withColumn("__rule", F.explode(codes)).withColumn(
-        "__event_dt", F.when(F.col("__rule") == RULE_CITY_HOP, F.col("next_trans_date"))
-        .otherwise(F.col("trans_date")))
-    return _to_mart(x, "__event_dt", F.col("__rule"))
-
-
-def fraud_mart_by_rule(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame,
-                       report_dt=None) -> DataFrame:
-    """U1 as the union of the three rule relations (R1+R2 in one pass)."""
-    e = enriched_tx(tx, profile, report_dt)
-    r12 = rules_passport_contract(e)
-    r3 = rule_city_hop(with_terminal_city(e, terminals_hist))
-    return r12.unionByName(r3)
+def fraud_mart(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame, report_dt=None,
+               hot_rows: int = HOT_ROWS, bucket_minutes: int = 1) -> DataFrame:
+    """The three rules appended into one mart relation. R1 and R2 come
+    from the joined rows without any fact shuffle (with a broadcast profile),
+    R3 from the narrow sequence; the sides are computed and measured once."""
+    profile, city = sized_broadcasts((profile, False), (_terminal_city(terminals_hist), False))
+    r12 = rules_passport_contract(_report_days(tx, report_dt).join(profile, "card_num"))
+    pairs = _pairs(tx, profile.select("card_num"), city, report_dt, hot_rows, bucket_minutes)
+    return r12.unionByName(_city_hops(pairs, profile))

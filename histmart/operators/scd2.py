@@ -97,15 +97,22 @@ def scd2_apply(hist: DataFrame, delta: DataFrame, live_keys: DataFrame | None, *
 def scd2_versions(hist: DataFrame, delta: DataFrame, live_keys: DataFrame | None, *,
                   key: str, attrs, eff_from: Column, eff_change: Column, delete_ts: Column,
                   close_gap: str = CLOSE_GAP, drop_dead_delta: bool = False,
-                  check_unique: bool = False) -> DataFrame:
+                  close_tombstone: bool = False, check_unique: bool = False) -> DataFrame:
     """Only the rows a batch writes: every current row after the batch and
     the rows the batch settled (closed versions, tombstones). Settled rows
-    of earlier batches are not read beyond the current-view filter."""
-    _, out = _scd2(hist, delta, live_keys, key=key, attrs=attrs, eff_from=eff_from,
-                   eff_change=eff_change, delete_ts=delete_ts, close_gap=close_gap,
-                   drop_dead_delta=drop_dead_delta, close_tombstone=False,
-                   check_unique=check_unique)
-    return out
+    of earlier batches are not read beyond the current-view filter; with
+    ``close_tombstone`` the open tombstones in ``hist`` are carried on, closed
+    when their key is back."""
+    rest, out = _scd2(hist, delta, live_keys, key=key, attrs=attrs, eff_from=eff_from,
+                      eff_change=eff_change, delete_ts=delete_ts, close_gap=close_gap,
+                      drop_dead_delta=drop_dead_delta, close_tombstone=close_tombstone,
+                      check_unique=check_unique)
+    return rest.where(F.col(DELETED) == FLAG_DELETED).unionByName(out) if close_tombstone else out
+
+
+def null_keys(delta: DataFrame, key: str) -> DataFrame:
+    """Delta rows that no version can be kept for (Q13: quarantine)."""
+    return delta.where(F.col(key).isNull())
 
 
 def _scd2(hist: DataFrame, delta: DataFrame, live_keys: DataFrame | None, *,

@@ -10,12 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ts_lit
 
 
 def delta_marks(delta: DataFrame, created: str = "create_dt", updated: str = "update_dt") -> DataFrame:
-    """A1: one row with max(update) and max(create) of the delta."""
+    """A1: one row with max(update) and max(create) of the delta, which must
+    hold timestamps without zone (``extract.conform``): a zoned mark would be
+    read back in the driver's own zone."""
+    for c in (created, updated):
+        if not isinstance(delta.schema[c].dataType, T.TimestampNTZType):
+            raise TypeError(f"{c} is {delta.schema[c].dataType.simpleString()}; watermarks need timestamp_ntz")
     return delta.agg(F.max(updated).alias("max_update"), F.max(created).alias("max_create"))
 
 

@@ -5,6 +5,10 @@ the four SCD2 dimensions, watermarks, the two fact loads, then the three
 rules appended to the mart; the batch log row is written last. Each step
 is a distributed read -> plan -> write; the driver only holds the batch
 date, the watermark values and the previous batch's date.
+
+A source dimension is read once per batch, into a staged snapshot: the delta,
+the watermark and the key set all come from it, so a source that moves while
+the batch runs cannot show a key in one and not in the other.
 """
 
 from __future__ import annotations
@@ -16,19 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import batch_text_to_date, rtrim_char
+from ..functions.predicates import changed_since
+from ..functions.scalars import batch_text_to_date, day_of, rtrim_char
 from ..operators import facts, rules, scd2, watermark
-from ..schemas import (ACCOUNTS, BLACKLIST_TXT, CARDS, CLIENTS, DIM_ACCOUNTS, DIM_CARDS,
+from ..schemas import (ACCOUNTS, ACCOUNTS_SRC, BLACKLIST_TXT, CARDS, CARDS_SRC, CLIENTS, CLIENTS_SRC, DIM_ACCOUNTS, DIM_CARDS,
                        DIM_CLIENTS, DIM_TERMINALS, FACT_BLACKLIST, META, TERMINALS,
                        TERMINALS_TXT, TRANSACTIONS_TXT, DimensionSpec, date_lit, ts_lit)
 from ..sources import extract
-from ..sources.landing import read_landing
+from ..sources.landing import file_exists, read_landing, split_malformed
 from ..session import cut_lineage
 from . import publish
-from .publish import BATCH, REPORT_DT, Warehouse
+from .publish import BATCH, OP_DAY, REPORT_DT, Warehouse
 
 DIM_SCHEMAS = {"accounts": DIM_ACCOUNTS, "cards": DIM_CARDS, "clients": DIM_CLIENTS,
                "terminals": DIM_TERMINALS}
+SOURCE_SCHEMAS = {"accounts": ACCOUNTS_SRC, "cards": CARDS_SRC, "clients": CLIENTS_SRC}
 # landing file names of one batch date (DDMMYYYY)
 FILE_NAMES = {"transactions": "transactions_{d}.txt", "terminals": "terminals_{d}.csv",
               "blacklist": "passport_blacklist_{d}.csv"}
@@ -46,28 +52,42 @@ class BatchConfig:
     schema_name: str = "dwh"
     tx_sep: str = ";"
     list_sep: str = ";"
-    drop_dead_delta: bool = True     # replay safety (Q21)
+    drop_dead_delta: bool = False    # Q21: leave out changed rows whose key is gone
     dedupe_transactions: bool = True  # Q11
     allow_empty_terminals: bool = False  # Q8
-    # report scan: None = every load partition up to the batch (exact); n = only
-    # partitions loaded in the n days before the batch date (opt-in bound)
-    late_days: int | None = None
+    catch_up: bool = False           # Q9: take a skipped day's blacklist entries too
+    close_tombstone: bool = False    # Q6: close a tombstone when its key is back
+    archive: str | None = None       # where handled landing files are moved
+    keep_current: int | None = None  # retention of old current copies, in batches
 
 
-def landing_file(cfg: BatchConfig, kind: str, report_dt: date) -> str:
-    return f"{cfg.landing}/" + FILE_NAMES[kind].format(d=report_dt.strftime("%d%m%Y"))
+def landing_file(cfg: BatchConfig, kind: str, report_dt: date, spark: SparkSession | None = None) -> str:
+    """A date's landing file; once archived (and not dropped again), the archived one."""
+    name = FILE_NAMES[kind].format(d=report_dt.strftime("%d%m%Y"))
+    if spark is not None and cfg.archive and not file_exists(spark, f"{cfg.landing}/{name}") \
+            and file_exists(spark, f"{cfg.archive}/{name}"):
+        return f"{cfg.archive}/{name}"
+    return f"{cfg.landing}/{name}"
 
 
-def _source_delta(src: DataFrame, spec: DimensionSpec, wm) -> tuple[DataFrame, DataFrame]:
-    """(delta in history naming, live keys) of one source dimension."""
-    s = src
+def source_snapshot(src: DataFrame, spec: DimensionSpec, schema: T.StructType, wm) -> DataFrame:
+    """One row per source row: key, and the whole row where it changed after
+    the watermark. Types are those declared; char padding is stripped."""
+    s = extract.conform(src, schema)
     for a, b in spec.renames.items():
         s = s.withColumnRenamed(a, b)
     for c in {spec.key, *spec.char_columns}:
         s = s.withColumn(c, rtrim_char(c))
-    delta = extract.delta_scan(s, wm, spec.created, spec.updated) \
-        .select(spec.key, *spec.attrs, spec.created, spec.updated)
-    return delta, extract.key_snapshot(s, spec.key)
+    changed = F.coalesce(changed_since(ts_lit(wm), spec.created, spec.updated), F.lit(False))
+    return s.select(spec.key, F.when(changed, F.struct(*spec.attrs, spec.created, spec.updated)).alias("__row"))
+
+
+def _source_delta(src: DataFrame, spec: DimensionSpec, wm, schema: T.StructType | None = None,
+                  stage=lambda df: df) -> tuple[DataFrame, DataFrame]:
+    """(delta in history naming, live keys) of one source dimension."""
+    snap = stage(source_snapshot(src, spec, schema or SOURCE_SCHEMAS[spec.name], wm))
+    delta = snap.where(F.col("__row").isNotNull()).select(spec.key, "__row.*")
+    return delta, extract.key_snapshot(snap, spec.key)
 
 
 def _read_meta(spark: SparkSession, wh: Warehouse, prev, schema_name: str) -> DataFrame:
@@ -88,75 +108,114 @@ def load_dimensions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report
     meta = _read_meta(spark, wh, prev, cfg.schema_name)
     for spec in (ACCOUNTS, CARDS, CLIENTS):
         wm = extract.read_watermark(meta, cfg.schema_name, spec.name)
-        delta, live = _source_delta(cfg.sources[spec.name], spec, wm)
-        delta = cut_lineage(delta)  # staged once: SCD2 and the watermark see the same rows
+        delta, live = _source_delta(cfg.sources[spec.name], spec, wm, stage=cut_lineage)
+        _quarantine_null_keys(wh, spec, delta, report_dt)
         hist = publish.read_current(spark, wh, spec.name, prev, DIM_SCHEMAS[spec.name])
         ef, ec = scd2.dimension_times(spec.created, spec.updated, run)
         versions = scd2.scd2_versions(hist, delta, live, key=spec.key, attrs=spec.attrs,
                                       eff_from=ef, eff_change=ec, delete_ts=run,
-                                      drop_dead_delta=cfg.drop_dead_delta, check_unique=True)
-        publish.write_versions(versions, wh, spec.name, report_dt)
+                                      drop_dead_delta=cfg.drop_dead_delta,
+                                      close_tombstone=cfg.close_tombstone, check_unique=True)
+        publish.write_versions(versions, wh, spec.name, report_dt, cfg.close_tombstone)
         meta = watermark.update_meta(meta, delta, cfg.schema_name, spec.name)
 
     # terminals: the daily file is a full snapshot; every time is the batch date
-    term = read_landing(spark, landing_file(cfg, "terminals", report_dt), TERMINALS_TXT,
-                        sep=cfg.list_sep, with_batch_date=False)
+    landed = cut_lineage(read_landing(spark, landing_file(cfg, "terminals", report_dt, spark), TERMINALS_TXT,
+                                      sep=cfg.list_sep, with_batch_date=False))
+    term, lines = split_malformed(landed)
     term = term.select(*[rtrim_char(c).alias(c) for c in TERMINALS_TXT.fieldNames()])
-    if not cfg.allow_empty_terminals and not term.limit(1).collect():
+    _quarantine_null_keys(wh, TERMINALS, term, report_dt, lines)
+    if not cfg.allow_empty_terminals and not term.where(F.col(TERMINALS.key).isNotNull()).limit(1).collect():
         raise EmptySnapshotError("empty terminal snapshot would delete every terminal")
     day = ts_lit(datetime(report_dt.year, report_dt.month, report_dt.day))
     hist = publish.read_current(spark, wh, TERMINALS.name, prev, DIM_TERMINALS)
     versions = scd2.scd2_versions(hist, term, term.select(TERMINALS.key), key=TERMINALS.key,
                                   attrs=TERMINALS.attrs, eff_from=day, eff_change=day,
-                                  delete_ts=day, check_unique=True)
-    publish.write_versions(versions, wh, TERMINALS.name, report_dt)
-
-    out = cut_lineage(meta).withColumn(BATCH, date_lit(report_dt))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH).parquet(wh.meta))
-
-
-def load_facts(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_dt: date) -> None:
-    """K2 (blacklist slice) and K1 (typed append of new operations)."""
-    bl = read_landing(spark, landing_file(cfg, "blacklist", report_dt), BLACKLIST_TXT,
-                      sep=cfg.list_sep, with_batch_date=False)
-    typed = bl.select(rtrim_char("passport_num").alias("passport_num"),
-                      F.coalesce(F.try_to_date("entry_dt", "yyyy-MM-dd"),
-                                 batch_text_to_date("entry_dt")).alias("entry_dt"),
-                      F.col("entry_dt").alias("entry_dt_text"))
+                                  delete_ts=day, close_tombstone=cfg.close_tombstone, check_unique=True)
+    publish.write_versions(versions, wh, TERMINALS.name, report_dt, cfg.close_tombstone)
+    publish.write_leaf(meta, wh.meta, BATCH, report_dt, small=True)
+
+
+def _quarantine_null_keys(wh: Warehouse, spec: DimensionSpec, rows: DataFrame, report_dt: date,
+                          lines: DataFrame | None = None) -> None:
+    """Q13: rows without a key, and malformed lines, are kept aside."""
+    bad = scd2.null_keys(rows, spec.key).withColumn("reason", F.lit("missing key"))
+    if lines is not None:
+        bad = bad.unionByName(lines.withColumn("reason", F.lit("malformed line")), allowMissingColumns=True)
+    publish.write_leaf(bad, wh.quarantine(spec.name), REPORT_DT, report_dt, small=True)
+
+
+def load_blacklist(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_dt: date) -> None:
+    """K2: the batch date's slice of the cumulative list."""
+    landed = cut_lineage(read_landing(spark, landing_file(cfg, "blacklist", report_dt, spark), BLACKLIST_TXT,
+                                      sep=cfg.list_sep, with_batch_date=False))
+    rows, lines = split_malformed(landed)
+    typed = rows.select(rtrim_char("passport_num").alias("passport_num"),
+                        F.coalesce(F.try_to_date("entry_dt", "yyyy-MM-dd"),
+                                   batch_text_to_date("entry_dt")).alias("entry_dt"),
+                        F.col("entry_dt").alias("entry_dt_text"))
     ok = F.col("entry_dt").isNotNull() & F.col("passport_num").isNotNull()
-    publish.write_partition(facts.append_slice(typed.where(ok).drop("entry_dt_text"), "entry_dt",
-                                               report_dt),
-                            wh.fact("passport_blacklist"), report_dt)
-    publish.write_partition(typed.where(~ok).select("passport_num", "entry_dt_text",
-                                                    F.lit("bad entry").alias("reason")),
-                            wh.quarantine("passport_blacklist"), report_dt, small=True)
-
-    stg = read_landing(spark, landing_file(cfg, "transactions", report_dt), TRANSACTIONS_TXT,
-                       sep=cfg.tx_sep, with_batch_date=False)
+    loaded = None
+    if cfg.catch_up:
+        loaded = publish.read_table(spark, wh.fact("passport_blacklist"), FACT_BLACKLIST)
+        if REPORT_DT in loaded.columns:
+            loaded = loaded.where(F.col(REPORT_DT) < date_lit(report_dt)).select(*FACT_BLACKLIST.fieldNames())
+    new = facts.append_slice(typed.where(ok).drop("entry_dt_text"), "entry_dt", report_dt,
+                             loaded=loaded, catch_up=cfg.catch_up)
+    publish.write_leaf(new, wh.fact("passport_blacklist"), REPORT_DT, report_dt)
+    bad = typed.where(~ok).select("passport_num", "entry_dt_text", F.lit("bad entry").alias("reason"))
+    publish.write_leaf(bad.unionByName(lines.withColumn("reason", F.lit("malformed line")), allowMissingColumns=True),
+                       wh.quarantine("passport_blacklist"), REPORT_DT, report_dt, small=True)
+
+
+class RowCountError(ValueError):
+    pass
+
+
+def load_transactions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_dt: date) -> dict:
+    """K1: typed append of new operations; returns where every line went."""
+    path = landing_file(cfg, "transactions", report_dt, spark)
+    stg = read_landing(spark, path, TRANSACTIONS_TXT, sep=cfg.tx_sep, with_batch_date=False)
+    parsed = cut_lineage(facts.parse_transactions(stg))
     fact = publish.read_table(spark, wh.fact("transactions"))
     if fact is not None:  # a re-run must not see its own earlier output
         fact = fact.where(F.col(REPORT_DT) != date_lit(report_dt)).select("trans_id")
-    new, bad = facts.append_new(stg, fact, dedupe=cfg.dedupe_transactions, stage=cut_lineage)
-    publish.write_partition(new, wh.fact("transactions"), report_dt, sort_by="trans_date")
-    publish.write_partition(bad, wh.quarantine("transactions"), report_dt, small=True)
-
-
-def build_reports(spark: SparkSession, wh: Warehouse, report_dt: date,
-                  late_days: int | None = None) -> DataFrame:
-    """R1-R3 for the batch date on the dimensions as of this batch."""
+    fresh, bad = facts.append_new(parsed, None, dedupe=cfg.dedupe_transactions, parse=lambda df: df)
+    fresh = cut_lineage(fresh)
+    new = fresh if fact is None else facts.new_rows(fresh, fact, "trans_id", prune=True)
+    publish.write_leaf(new.withColumn(OP_DAY, day_of("trans_date")), wh.fact("transactions"), REPORT_DT, report_dt,
+                       partition_by=OP_DAY, sort_by="trans_date")
+    publish.write_leaf(bad, wh.quarantine("transactions"), REPORT_DT, report_dt, small=True)
+
+    def written(table: str) -> int:
+        df = publish.read_table(spark, table)
+        return 0 if df is None else df.where(F.col(REPORT_DT) == date_lit(report_dt)).count()
+
+    lines = spark.read.text(path).where(F.trim("value") != "").count() - 1  # the header
+    unique, loaded, quarantined = fresh.count(), written(wh.fact("transactions")), written(wh.quarantine("transactions"))
+    counts = {"lines": lines, "loaded": loaded, "already_known": unique - loaded, "quarantined": quarantined,
+              "exact_copies": parsed.count() - quarantined - unique}
+    if lines != sum(n for k, n in counts.items() if k != "lines") or min(counts.values()) < 0:
+        raise RowCountError(f"operation rows do not add up: {counts}")
+    return counts
+
+
+def build_reports(spark: SparkSession, wh: Warehouse, report_dt: date) -> DataFrame:
+    """R1-R3 for the batch date on the dimensions as of this batch: only the
+    day's partitions of the fact, only the profiles of the cards in them."""
     cur = {n: publish.read_current(spark, wh, n, report_dt, s) for n, s in DIM_SCHEMAS.items()}
     bl = publish.read_table(spark, wh.fact("passport_blacklist"), FACT_BLACKLIST)
     if REPORT_DT in bl.columns:
         bl = bl.where(F.col(REPORT_DT) <= date_lit(report_dt))
-    bl = bl.select("passport_num", "entry_dt")
-    profile = rules.card_profile(cur["cards"], cur["accounts"], cur["clients"], bl)
-    profile = cut_lineage(profile)  # materialised once: measured, then shared by the rules
     tx = publish.read_table(spark, wh.fact("transactions"))
-    loaded = F.col(REPORT_DT) <= date_lit(report_dt)
-    if late_days is not None:
-        loaded = loaded & (F.col(REPORT_DT) >= F.date_sub(date_lit(report_dt), late_days))
-    return rules.fraud_mart(tx.where(loaded), profile, cur["terminals"], report_dt)
+    if tx is None:
+        tx = spark.createDataFrame([], "trans_id string, trans_date timestamp_ntz, card_num string, terminal string, "
+                                       f"{REPORT_DT} date, {OP_DAY} date")
+    tx = tx.where((F.col(REPORT_DT) <= date_lit(report_dt)) & (F.col(OP_DAY) == date_lit(report_dt))) \
+        .select("trans_id", "trans_date", "card_num", "terminal")
+    cards = cur["cards"].join(tx.select("card_num").distinct(), "card_num", "left_semi")
+    profile = rules.card_profile(cards, cur["accounts"], cur["clients"], bl.select("passport_num", "entry_dt"))
+    return rules.fraud_mart(tx, profile, cur["terminals"], report_dt)
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig, report_dt: date, run_ts: datetime) -> dict:
@@ -164,11 +223,14 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, report_dt: date, run_ts: da
     wh = Warehouse(cfg.warehouse)
     prev = publish.previous_batch(spark, wh, report_dt)
     load_dimensions(spark, cfg, wh, report_dt, run_ts, prev)
-    load_facts(spark, cfg, wh, report_dt)
-    mart = build_reports(spark, wh, report_dt, cfg.late_days)
-    publish.write_partition(mart.drop(REPORT_DT), wh.mart, report_dt, small=True)
-    publish.log_batch(spark, wh, report_dt, run_ts)
-    return {"previous_batch": prev, "mart": wh.mart, "warehouse": wh.root}
+    load_blacklist(spark, cfg, wh, report_dt)
+    counts = load_transactions(spark, cfg, wh, report_dt)
+    publish.write_leaf(build_reports(spark, wh, report_dt), wh.mart, REPORT_DT, report_dt, small=True)
+    publish.log_batch(spark, wh, report_dt, run_ts, counts)
+    if cfg.keep_current is not None:
+        for name in DIM_SCHEMAS:
+            publish.drop_old_current(spark, wh, name, cfg.keep_current)
+    return {"previous_batch": prev, "mart": wh.mart, "warehouse": wh.root, "counts": counts}
 
 
 def read_mart(spark: SparkSession, warehouse: str, report_dt: date | None = None) -> DataFrame:

@@ -41,15 +41,13 @@ def _scd_times():
 
 
 def q_s1_watermark_delta(spark, d):
-    src = td.account_source(spark, d, td.SCD_T1)
-    return extract.delta_scan(src, td.SCD_T0).select(KEY, *ATTRS, "create_dt", "update_dt")
+    """Raw orders changed after the mark; an order's date is its only change time."""
+    return extract.delta_scan(td.load(spark, d, "orders"), td.SCD_T0, "o_orderdate", "o_orderdate").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate")
 
 
 def q_s5_key_snapshot(spark, d):
-    src = td.load(spark, d, "orders").where(
-        (F.col("o_orderdate") <= ts_lit(td.SCD_T1))
-        & (F.col("o_orderdate") > ts_lit(td.SCD_T1) - F.expr(f"INTERVAL {td.ACTIVE_DAYS} DAYS")))
-    return extract.key_snapshot(src, KEY, source_key="o_custkey")
+    return extract.key_snapshot(td.load(spark, d, "orders"), KEY, source_key="o_custkey")
 
 
 def q_a1_watermark_advance(spark, d):
@@ -61,11 +59,11 @@ def q_a1_watermark_advance(spark, d):
 
 
 def q_p4_null_safe_diff(spark, d):
-    hist, delta, _ = _scd_inputs(spark, d)
-    j = scd2.changed_rows(delta, hist, KEY, ATTRS)
-    return j.select(F.col(f"d.{KEY}").alias(KEY),
-                    *[F.col(f"o.{a}").alias(f"{a}_old") for a in ATTRS],
-                    *[F.col(f"d.{a}").alias(f"{a}_new") for a in ATTRS])
+    attrs = td.CLIENT_ATTRS
+    j = scd2.changed_rows(td.client_nulls_now(spark, d), td.client_nulls_hist(spark, d), "client_id", attrs)
+    return j.select(F.col("d.client_id").alias("client_id"),
+                    *[F.col(f"o.{a}").alias(f"{a}_old") for a in attrs],
+                    *[F.col(f"d.{a}").alias(f"{a}_new") for a in attrs])
 
 
 def q_j1_new_keys_anti(spark, d):
@@ -157,25 +155,20 @@ def q_j8_enriched_tx(spark, d):
 
 def q_j9_terminal_city(spark, d):
     ops = td.operations(spark, d).select("trans_id", "terminal")
-    tm = scd2.current_view(td.terminals_hist(spark, d)).select(
-        F.col("terminal_id").alias("terminal"), "terminal_city")
-    return ops.join(tm, "terminal")
+    return rules.with_terminal_city(ops, td.terminals_hist(spark, d)).select("trans_id", "terminal", "terminal_city")
 
 
 def q_j7_blacklist_existence(spark, d):
-    day = date_lit(td.REPORT_DAY)
-    cl = scd2.current_view(td.clients_hist(spark, d)).select("client_id", "passport_num",
-                                                             "passport_valid_to")
+    """Clients whose passport is bad on the report day, by R1's own predicate."""
+    cl = scd2.current_view(td.clients_hist(spark, d)).select("client_id", "passport_num", "passport_valid_to")
     listed = rules.blacklist_since(td.blacklist(spark, d))
-    j = cl.join(listed, "passport_num", "left")
-    return j.where((F.col("passport_valid_to") < day) | (F.col("listed_since") <= day)) \
-        .select("client_id", "passport_num", "passport_valid_to")
+    return cl.join(listed, "passport_num", "left").withColumn("report_dt", date_lit(td.REPORT_DAY)) \
+        .where(rules.passport_bad()).select("client_id", "passport_num", "passport_valid_to")
 
 
 def q_j2_new_fact_anti(spark, d):
     ops = td.operations(spark, d)
-    loaded = ops.where(F.col("trans_date") < ts_lit(td.REPORT_DAY))
-    return ops.join(loaded.select("trans_id"), "trans_id", "left_anti")
+    return facts.new_rows(ops, ops.where(F.col("trans_date") < ts_lit(td.REPORT_DAY)), "trans_id")
 
 
 @td.derived
@@ -221,13 +214,8 @@ def q_f_scalars(spark, d):
         .alias("amt_parsed"))
 
 
-def _enriched_city(spark, d):
-    return rules.enriched_with_city(td.operations(spark, d), _profile(spark, d),
-                                    td.terminals_hist(spark, d))
-
-
 def q_n1_lead_pair(spark, d):
-    return rules.city_hop_pairs(_enriched_city(spark, d)).select(
+    return rules.city_hop_pairs(td.operations(spark, d), _profile(spark, d), td.terminals_hist(spark, d)).select(
         "trans_id", "card_num", "report_dt", "trans_date", "terminal_city",
         "next_trans_date", "next_terminal_city")
 
@@ -241,13 +229,18 @@ def q_r2_contract(spark, d):
 
 
 def q_r3_city_hop(spark, d):
-    return rules.rule_city_hop(_enriched_city(spark, d))
+    return rules.rule_city_hop(td.operations(spark, d), _profile(spark, d), td.terminals_hist(spark, d))
 
 
 def q_u1_fraud_mart(spark, d):
     return rules.fraud_mart(td.operations(spark, d), _profile(spark, d), td.terminals_hist(spark, d))
 
 
+def q_p5_day_report(spark, d):
+    """The mart of one report day, as the daily batch of that day builds it."""
+    return rules.fraud_mart(td.operations(spark, d), _profile(spark, d), td.terminals_hist(spark, d), td.REPORT_DAY)
+
+
 QUERIES = {
     "s1_watermark_delta": q_s1_watermark_delta,
     "s5_key_snapshot": q_s5_key_snapshot,
@@ -276,6 +269,7 @@ QUERIES = {
     "r2_contract": q_r2_contract,
     "r3_city_hop": q_r3_city_hop,
     "u1_fraud_mart": q_u1_fraud_mart,
+    "p5_day_report": q_p5_day_report,
 }
 
 
@@ -448,11 +442,11 @@ th0 AS (
   SELECT s_suppkey AS terminal_id, CASE WHEN s_acctbal < 0 THEN 'ATM' ELSE 'POS' END AS terminal_type,
          n_name AS terminal_city, s_name AS terminal_address,
          TIMESTAMP '{td.TERMINAL_SWITCH}' AS effective_from, {OPEN} AS effective_to, 'N' AS deleted_flg
-  FROM base WHERE s_nationkey < {td.NEW_NATION}
+  FROM base WHERE s_nationkey < {td.NEW_NATION} OR s_acctbal > {td.CLOSED_BALANCE}
   UNION ALL
   SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'ATM' ELSE 'POS' END, r_name, s_name,
          TIMESTAMP '{td.DIM_START}', TIMESTAMP '{td.TERMINAL_SWITCH}' - INTERVAL 1 DAY, 'N'
-  FROM base WHERE s_nationkey < {td.NEW_NATION}),
+  FROM base WHERE s_nationkey < {td.NEW_NATION} OR s_acctbal > {td.CLOSED_BALANCE}),
 tsnap AS (
   SELECT s_suppkey AS terminal_id,
          CASE WHEN s_acctbal < {td.ATM_BALANCE} THEN 'ATM' ELSE 'POS' END AS terminal_type,
@@ -495,8 +489,9 @@ def _with(body: str, *blocks: str) -> str:
 
 
 ORACLE_SQL = {
-    "s1_watermark_delta": _with("SELECT account_num, priority, status, create_dt, update_dt FROM stg", _SCD),
-    "s5_key_snapshot": _with("SELECT account_num FROM live", _SCD),
+    "s1_watermark_delta": f"""
+SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate > {T0}""",
+    "s5_key_snapshot": "SELECT DISTINCT o_custkey AS account_num FROM orders",
     "a1_watermark_advance": _with(f"""
 SELECT m.schema_name, m.table_name,
        coalesce((SELECT max(update_dt) FROM stg), (SELECT max(create_dt) FROM stg), m.max_update_dt)
@@ -505,9 +500,15 @@ FROM (VALUES ('dwh', 'order_accounts', {T0})) m(schema_name, table_name, max_upd
 UNION ALL
 SELECT * FROM (VALUES ('dwh', 'cards', {T0}), ('dwh', 'clients', {T0})) m(schema_name, table_name, max_update_dt)
 """, _SCD),
-    "p4_null_safe_diff": _with("""
-SELECT account_num, old_priority AS priority_old, old_status AS status_old,
-       priority AS priority_new, status AS status_new FROM chg""", _SCD),
+    "p4_null_safe_diff": f"""
+SELECT * FROM (
+  SELECT c_custkey AS client_id,
+         CASE WHEN c_acctbal < {td.KNOWN_BALANCE} THEN 'N' || c_nationkey END AS patronymic_old,
+         CASE WHEN c_nationkey >= {td.OLD_NATION} THEN {BASE} + c_nationkey * 7 END AS passport_valid_to_old,
+         CASE WHEN c_acctbal >= 0 THEN 'N' || c_nationkey END AS patronymic_new,
+         CASE WHEN c_nationkey < {td.NEW_NATION} THEN {BASE} + c_nationkey * 7 END AS passport_valid_to_new
+  FROM customer)
+WHERE patronymic_old IS DISTINCT FROM patronymic_new OR passport_valid_to_old IS DISTINCT FROM passport_valid_to_new""",
     "j1_new_keys_anti": _with("""
 SELECT stg.account_num, stg.priority, stg.status, stg.create_dt, stg.update_dt
 FROM stg LEFT JOIN cur0 t ON stg.account_num = t.account_num WHERE t.account_num IS NULL""", _SCD),
@@ -582,6 +583,7 @@ FROM pairs""", _DOMAIN),
     "r1_passport": _with(_R1, _DOMAIN),
     "r2_contract": _with(_R2, _DOMAIN),
     "r3_city_hop": _with(_R3, _DOMAIN),
+    "p5_day_report": _with(f"SELECT * FROM ({_R1}\nUNION ALL\n{_R2}\nUNION ALL\n{_R3}) WHERE report_dt = {RDAY}", _DOMAIN),
     "u1_fraud_mart": _with(f"{_R1}\nUNION ALL\n{_R2}\nUNION ALL\n{_R3}", _DOMAIN),
 }
 

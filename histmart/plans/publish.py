@@ -1,21 +1,22 @@
 """Warehouse layout and idempotent, batch-scoped publishing.
 
-Plain Parquet has no UPDATE/MERGE, so history is never updated in place:
-
-* ``dim/<name>``: versions partitioned by ``state`` (current | settled) and
-  ``batch_dt``. Batch b writes ``state=current/batch_dt=b`` (every current
-  row after b) and ``state=settled/batch_dt=b`` (rows b settled). Full
-  history at b = current of b + settled of every batch <= b. A batch only
-  needs the current rows of the previous batch as input;
-* ``fact/<name>``, ``mart/rep_fraud``, ``quarantine/<name>``: partitioned by
-  ``report_dt`` (the batch date), written with dynamic partition overwrite;
+Plain Parquet has no UPDATE/MERGE, so history is never updated in place. Every
+batch owns one leaf folder per table and replaces it whole, also when its new
+output is empty, so a re-run leaves exactly what a first run would:
+
+* ``dim/<name>/batch_dt=b/state=current|settled``: every current row after b,
+  and the rows b settled. Full history at b = current of b + settled of every
+  batch <= b. A batch only needs the current rows of the previous batch;
+* ``fact/transactions/report_dt=b/op_day=d``: operations loaded by b, by the
+  day they happened, so a report opens only its day's partitions of any load;
+* ``fact/passport_blacklist``, ``mart/rep_fraud``, ``quarantine/<name>``:
+  ``report_dt=b``;
 * ``meta/watermark/batch_dt=b``: the high-water marks after b;
 * ``meta/batches/batch_dt=b``: written last; a batch is finished only when
-  its log row exists. Re-running b reads the newest finished batch before b
-  and overwrites only b's partitions, so it is a no-op on the outcome.
+  its log row exists. Re-running b reads the newest finished batch before b.
 
-Every DataFrame written to a table the same batch also reads is first cut
-from its lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+A batch reads other leaves of a table than the one it writes, so nothing is
+copied first to write into a table that was read.
 """
 
 from __future__ import annotations
@@ -28,10 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import is_current
-from ..schemas import date_lit
-from ..session import cut_lineage
+from ..schemas import EFF_TO, date_lit, open_end
 
-STATE, BATCH, REPORT_DT = "state", "batch_dt", "report_dt"
+STATE, BATCH, REPORT_DT, OP_DAY = "state", "batch_dt", "report_dt", "op_day"
 
 
 @dataclass(frozen=True)
@@ -106,31 +106,44 @@ def read_history(spark: SparkSession, wh: Warehouse, name: str, batch, schema: T
     return df.select(*schema.fieldNames())
 
 
-def write_versions(versions: DataFrame, wh: Warehouse, name: str, report_dt) -> None:
-    """One write: current and newly settled rows of batch ``report_dt``."""
-    v = cut_lineage(versions)
-    out = v.select("*", F.when(F.coalesce(is_current(), F.lit(False)), F.lit("current"))
-                   .otherwise(F.lit("settled")).alias(STATE),
-                   date_lit(report_dt).alias(BATCH))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(STATE, BATCH).parquet(wh.dim(name)))
-
-
-def write_partition(df: DataFrame, path: str, report_dt, sort_by: str | None = None,
-                    cut: bool = False, small: bool = False) -> None:
-    """Overwrite exactly the ``report_dt`` partition of a day-partitioned
-    table; rows sorted within the file so row-group statistics prune.
-    ``small`` outputs (mart, quarantine) go through a rebalance so AQE sizes
-    the files instead of writing one tiny file per upstream partition."""
-    if cut:
-        df = cut_lineage(df)
-    out = df.withColumn(REPORT_DT, date_lit(report_dt)) if REPORT_DT not in df.columns else df
+def write_leaf(df: DataFrame, path: str, column: str, value, partition_by: str | None = None,
+               sort_by: str | None = None, small: bool = False) -> None:
+    """Replace the folder ``path/column=value`` by ``df``, even by nothing.
+
+    ``small`` outputs (mart, quarantine, logs) go through a rebalance so AQE
+    sizes the files; ``sort_by`` orders rows within files so that row-group
+    statistics prune."""
+    out = df.drop(column)
     if small:
         out = out.hint("rebalance")
     if sort_by:
-        out = out.sortWithinPartitions(sort_by)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(REPORT_DT).parquet(path))
+        out = out.sortWithinPartitions(*([partition_by] if partition_by else []), sort_by)
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(f"{path}/{column}={value}")
+
+
+def write_versions(versions: DataFrame, wh: Warehouse, name: str, batch, carry_tombstones: bool = False) -> None:
+    """One write: current and newly settled rows of a batch. With
+    ``carry_tombstones`` open tombstones stay with the current rows, so that a
+    later batch can close them."""
+    stays = F.col(EFF_TO) == open_end() if carry_tombstones else is_current()
+    out = versions.withColumn(STATE, F.when(F.coalesce(stays, F.lit(False)), F.lit("current")).otherwise(F.lit("settled")))
+    write_leaf(out, wh.dim(name), BATCH, batch, partition_by=STATE)
+
+
+def drop_old_current(spark: SparkSession, wh: Warehouse, name: str, keep: int) -> None:
+    """Retention: remove the current rows of all but the newest ``keep``
+    batches of a dimension (their settled rows stay, as history needs them).
+    Batches before the oldest one kept can then no longer be re-run."""
+    if not _exists(spark, wh.dim(name)):
+        return
+    days = [r[0] for r in spark.read.parquet(wh.dim(name)).where(F.col(STATE) == "current")
+            .select(BATCH).distinct().orderBy(F.desc(BATCH)).collect()]
+    for day in days[keep:]:
+        leaf = spark._jvm.org.apache.hadoop.fs.Path(f"{wh.dim(name)}/{BATCH}={day}/{STATE}=current")
+        leaf.getFileSystem(spark._jsc.hadoopConfiguration()).delete(leaf, True)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -139,7 +152,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return spark.read.parquet(path)
 
 
-def log_batch(spark: SparkSession, wh: Warehouse, report_dt, run_ts) -> None:
-    row = spark.createDataFrame([(report_dt, run_ts)], f"{REPORT_DT} date, run_ts timestamp_ntz")
-    (row.withColumn(BATCH, date_lit(report_dt)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(wh.log))
+def log_batch(spark: SparkSession, wh: Warehouse, report_dt, run_ts, counts: dict | None = None) -> None:
+    """The batch's log row, with the counts of its operation rows."""
+    row = spark.createDataFrame([(report_dt, run_ts, counts or {})],
+                                f"{REPORT_DT} date, run_ts timestamp_ntz, counts map<string,long>")
+    write_leaf(row, wh.log, BATCH, report_dt, small=True)

@@ -29,7 +29,6 @@ WATERMARK_SEED_TEXT = "1900-01-01 00:00:00"
 EFF_FROM = "effective_from"
 EFF_TO = "effective_to"
 DELETED = "deleted_flg"
-SCD_COLS = (EFF_FROM, EFF_TO, DELETED)
 
 
 def ts_lit(value) -> Column:
@@ -65,10 +64,6 @@ class DimensionSpec:
     # fixed-width char(n) columns (history names): padding is not significant
     char_columns: tuple[str, ...] = ()
 
-    @property
-    def hist_columns(self) -> list[str]:
-        return [self.key, *self.attrs, *SCD_COLS]
-
 
 def _ntz():
     return T.TimestampNTZType()
@@ -106,12 +101,7 @@ DIM_CLIENTS = T.StructType([_s("client_id"), _s("last_name"), _s("first_name"),
                             _s("passport_valid_to", T.DateType()), _s("phone"), *HIST_TAIL])
 DIM_TERMINALS = T.StructType([_s("terminal_id"), _s("terminal_type"), _s("terminal_city"),
                               _s("terminal_address"), *HIST_TAIL])
-FACT_TRANSACTIONS = T.StructType([_s("trans_id"), _s("trans_date", _ntz()), _s("card_num"),
-                                  _s("oper_type"), _s("amt", T.DecimalType(8, 2)),
-                                  _s("oper_result"), _s("terminal")])
 FACT_BLACKLIST = T.StructType([_s("passport_num"), _s("entry_dt", T.DateType())])
-REP_FRAUD = T.StructType([_s("event_dt", _ntz()), _s("passport"), _s("fio"), _s("phone"),
-                          _s("event_type", T.ShortType()), _s("report_dt", T.DateType())])
 META = T.StructType([_s("schema_name"), _s("table_name"), _s("max_update_dt", _ntz())])
 
 # ---- the four dimensions of the warehouse ----
@@ -122,9 +112,8 @@ CARDS = DimensionSpec("cards", "card_num", ("account_num",), renames={"account":
 CLIENTS = DimensionSpec("clients", "client_id",
                         ("last_name", "first_name", "patronymic", "date_of_birth",
                          "passport_num", "passport_valid_to", "phone"),
-                        char_columns=("phone",))
+                        char_columns=("phone", "passport_num"))
 TERMINALS = DimensionSpec("terminals", "terminal_id",
                           ("terminal_type", "terminal_city", "terminal_address"),
                           created=None, updated=None)
 
-DIMENSIONS = {d.name: d for d in (ACCOUNTS, CARDS, CLIENTS, TERMINALS)}

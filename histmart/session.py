@@ -1,14 +1,13 @@
 """Session construction and cluster-facing settings.
 
-The library never hard-codes a machine-local path for lineage cuts: it reads
-``spark.checkpoint.dir`` from the session (the shared folder a cluster names)
-and only falls back to a caller-supplied folder when the setting is unset,
-which is the situation in tests and local benches.
+Lineage cuts go to ``spark.checkpoint.dir``, the shared folder a cluster
+names. Where it is unset, a local master gets a temporary folder (driver and
+tasks share the machine there); on a cluster that is an error.
 """
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +28,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # files of finished lineage cuts go when the driver drops their DataFrame
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -63,26 +64,20 @@ def apply_engine_conf(spark: SparkSession) -> None:
             pass
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the session's shared checkpoint folder.
-
-    ``spark.checkpoint.dir`` wins. Only when it is unset (tests, local bench)
-    is ``fallback`` installed as the checkpoint folder.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    if not fallback:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    os.makedirs(fallback, exist_ok=True) if "://" not in fallback else None
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder, set on the context if it is not yet."""
+    sc = spark.sparkContext
+    held = sc.getCheckpointDir()
+    if held:
+        return held
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="histmart-checkpoint-"))
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.predicates import changed_since
 from ..functions.scalars import col, rtrim_char
@@ -24,7 +25,7 @@ def jdbc_table(spark: SparkSession, url: str, table: str, *, partition_column: s
     (instead of one cursor through one process). Credentials come from the
     caller's options, never from this code."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table) \
-        .option("fetchsize", fetchsize)
+        .option("fetchsize", fetchsize).option("preferTimestampNTZ", True)
     if partition_column:
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
              .option("upperBound", upper).option("numPartitions", num_partitions))
@@ -33,6 +34,36 @@ def jdbc_table(spark: SparkSession, url: str, table: str, *, partition_column: s
     return r.load()
 
 
+class SourceTypeError(ValueError):
+    pass
+
+
+def conform(src: DataFrame, schema: T.StructType) -> DataFrame:
+    """``src`` with exactly the declared columns and types.
+
+    A zoned timestamp becomes its UTC wall time, whatever the session's zone;
+    a missing column or a type that cannot hold the declared one raises."""
+    out = []
+    for f in schema.fields:
+        if f.name not in src.columns:
+            raise SourceTypeError(f"the source has no column {f.name}")
+        have, c = src.schema[f.name].dataType, F.col(f.name)
+        if have == f.dataType:
+            pass
+        elif isinstance(f.dataType, T.TimestampNTZType) and isinstance(have, T.TimestampType):
+            c = F.to_utc_timestamp(c, F.current_timezone()).cast(f.dataType)
+        elif isinstance(f.dataType, T.StringType) and isinstance(have, (T.IntegralType, T.VarcharType, T.CharType)) \
+                or isinstance(f.dataType, T.TimestampNTZType) and isinstance(have, T.DateType) \
+                or isinstance(f.dataType, T.DateType) and isinstance(have, T.TimestampNTZType):
+            c = c.cast(f.dataType)
+        elif isinstance(f.dataType, T.DateType) and isinstance(have, T.TimestampType):
+            c = F.to_utc_timestamp(c, F.current_timezone()).cast(T.TimestampNTZType()).cast(f.dataType)
+        else:
+            raise SourceTypeError(f"column {f.name} is {have.simpleString()}, declared {f.dataType.simpleString()}")
+        out.append(c.alias(f.name))
+    return src.select(*out)
+
+
 def delta_scan(src: DataFrame, watermark, created: str = "create_dt",
                updated: str = "update_dt") -> DataFrame:
     """Rows changed after the watermark.

@@ -22,8 +22,10 @@ the derived relations grow with the tables.
 * account source for change capture <- orders: per customer, the priority
   and status of the latest order up to an as-of instant; created at the
   first order, updated at the latest one (no update time with one order);
-  a customer is live when it ordered within the two years before the
-  as-of instant.
+  a customer is live when it ordered within the year before the as-of
+  instant. The batch's instant is after the last order.
+* client attributes for null-safe comparison <- customer: patronymic and
+  passport end are null by balance and nation, by other bounds before than now.
 """
 
 from __future__ import annotations
@@ -44,16 +46,20 @@ TERMINAL_SWITCH = "2023-01-01 00:00:00"
 CLIENT_DELETE = "2023-07-01 00:00:00"
 DELETED_BALANCE = -500
 REPORT_DAY = "2024-01-15"          # single-day report / fact cut-over
-SCD_T0 = "1999-01-01 00:00:00"     # history state and watermark before the batch
-SCD_T1 = "1999-07-01 00:00:00"     # source state at the batch
-SCD_RUN_TS = "1999-07-01 03:27:00"  # the batch's now()
-ACTIVE_DAYS = 730
-# terminal snapshot scenario: nations below NEW_NATION were known before the
-# batch; balances above CLOSED_BALANCE close the terminal; the type switches
-# to ATM below ATM_BALANCE
+SCD_T0 = "1996-01-01 00:00:00"     # history state and watermark before the batch
+SCD_T1 = "2001-09-01 00:00:00"     # source state at the batch: after the last order
+SCD_RUN_TS = "2001-09-01 03:27:00"  # the batch's now()
+ACTIVE_DAYS = 365
+# terminal snapshot scenario: nations below NEW_NATION, and what closes now,
+# were known before the batch; balances above CLOSED_BALANCE close the
+# terminal; the type switches to ATM below ATM_BALANCE
 NEW_NATION = 20
 CLOSED_BALANCE = 9000
 ATM_BALANCE = 1000
+# clients: a patronymic was known below KNOWN_BALANCE, is known from 0 on; a
+# passport end was known from OLD_NATION on, is known below NEW_NATION
+KNOWN_BALANCE = 5000
+OLD_NATION = 5
 # ---------------------------------------------------------------------------
 
 ORDER_ACCOUNTS = DimensionSpec("order_accounts", "account_num", ("priority", "status"))
@@ -252,8 +258,9 @@ def _terminal_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @derived
 def terminals_hist_t0(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Terminal history before the batch: terminals of the older nations."""
-    base = _terminal_base(spark, sf_dir).where(F.col("s_nationkey") < NEW_NATION)
+    """Terminal history before the batch: terminals of the older nations and those closing now."""
+    base = _terminal_base(spark, sf_dir).where(
+        (F.col("s_nationkey") < NEW_NATION) | (F.col("s_acctbal") > CLOSED_BALANCE))
     ttype = F.when(F.col("s_acctbal") < 0, F.lit("ATM")).otherwise(F.lit("POS"))
     cols = [F.col("s_suppkey").alias("terminal_id"), ttype.alias("terminal_type")]
     now = _hist(base.select(*cols, F.col("n_name").alias("terminal_city"),
@@ -272,3 +279,25 @@ def terminal_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select(F.col("s_suppkey").alias("terminal_id"), ttype.alias("terminal_type"),
                        F.col("n_name").alias("terminal_city"),
                        F.col("s_name").alias("terminal_address"))
+
+
+# ---- client attributes with nulls, before and now ----
+
+CLIENT_ATTRS = ("patronymic", "passport_valid_to")
+
+
+def _client_nulls(spark: SparkSession, sf_dir: str, named, dated) -> DataFrame:
+    return load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("client_id"),
+        F.when(named, F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))).alias("patronymic"),
+        F.when(dated, _day(F.col("c_nationkey") * 7)).alias("passport_valid_to"))
+
+
+@derived
+def client_nulls_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hist(_client_nulls(spark, sf_dir, F.col("c_acctbal") < KNOWN_BALANCE, F.col("c_nationkey") >= OLD_NATION), DIM_START)
+
+
+@derived
+def client_nulls_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _client_nulls(spark, sf_dir, F.col("c_acctbal") >= 0, F.col("c_nationkey") < NEW_NATION)

@@ -9,12 +9,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from histmart.session import build_session, checkpoint_dir
+    from histmart.session import build_session
     s = build_session("local[*]", app="histmart-tests", shuffle_partitions=8,
-                      extra={"spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.ui.showConsoleProgress": "false",
+                             # tests have no cluster-provided checkpoint folder: only here is one set
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="histmart-ckpt-")})
     s.sparkContext.setLogLevel("ERROR")
-    # tests have no cluster-provided checkpoint folder: only here is one set
-    checkpoint_dir(s, tempfile.mkdtemp(prefix="histmart-ckpt-"))
     yield s
     s.stop()
 

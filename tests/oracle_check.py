@@ -74,7 +74,7 @@ def main():
     import __spark_entry__ as e
     from histmart.session import build_session
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(e.queries())
+    names = sys.argv[2:] or list(e.oracle_sql())
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = e.queries(), e.oracle_sql()

@@ -2,7 +2,7 @@
 re-runs are no-ops, source changes become versions, the stream picks up."""
 
 import os
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,10 +111,9 @@ def test_landing_stream_runs_each_date(spark, tmp_path):
     assert q2.exception() is None
     logged = sorted(r.report_dt for r in spark.read.parquet(publish.Warehouse(cfg.warehouse).log).collect())
     assert logged == DAYS + [d3]
-    left = sorted(os.listdir(landing))
-    assert all("03012024" in f for f in left if not f.startswith(".")), left
-    archived = [f for _, _, fs in os.walk(tmp_path / "archive") for f in fs]
-    assert {"transactions_01012024.txt", "transactions_02012024.txt"} <= set(archived)
+    assert not [f for f in os.listdir(landing) if not f.startswith(".")]
+    archived = set(os.listdir(tmp_path / "archive"))
+    assert {f"transactions_0{k}012024.txt" for k in (1, 2, 3)} <= archived
 
 
 def test_command_line_run(spark, tmp_path):
@@ -168,3 +167,149 @@ def test_backfill_runs_later_dates_in_order(spark, tmp_path):
     every = catalog.q_u1_fraud_mart(spark, SF)
     want = _rows(every.where(F.col("report_dt").isin([d.isoformat() for d in DAYS])))
     assert _rows(batch.read_mart(spark, wh)) == want
+
+
+def _contents(spark, cfg):
+    """Every row of every table, by table (the log without its run)."""
+    wh = publish.Warehouse(cfg.warehouse)
+    paths = [wh.dim(n) for n in batch.DIM_SCHEMAS] + [wh.fact(n) for n in ("transactions", "passport_blacklist")]
+    paths += [wh.quarantine(n) for n in ("transactions", "passport_blacklist", "clients", "terminals")] + [wh.mart, wh.meta]
+    out = {}
+    for p in paths:
+        df = publish.read_table(spark, p)
+        out[p.removeprefix(cfg.warehouse)] = [] if df is None else sorted(str(sorted(r.asDict().items())) for r in df.collect())
+    return out
+
+
+def _run(spark, base, name, days, landing, changed=None):
+    cfg = batch.BatchConfig(warehouse=str(base / name), landing=str(landing), sources=sources(spark, changed_clients=changed))
+    for d in days:
+        batch.run_batch(spark, cfg, d, _run_ts(d))
+    return cfg
+
+
+def _edit(path, change):
+    lines = path.read_text().splitlines()
+    path.write_text("\n".join([lines[0], *change(lines[1:])]) + "\n")
+
+
+def test_rerun_leaves_what_a_first_run_would(spark, tmp_path):
+    """A re-run with no fraud, no blacklist row, a fixed bad line and a
+    reverted source change holds exactly a fresh warehouse's content."""
+    landing, d = tmp_path / "landing", DAYS[0]
+    write_day(spark, str(landing), d)
+    tx, bl = landing / "transactions_01012024.txt", landing / "passport_blacklist_01012024.csv"
+    _edit(bl, lambda rows: [*rows, "2024-01-01;999999", "2024-01-01;"])
+    _edit(tx, lambda rows: [*rows, "77;2024-01-01 10:00:01;1,00;c", ";2024-01-01 10:00:01;1,00;1;x;SUCCESS;1"])
+    changed = (["3"], "2030-01-01", "2024-01-01 12:00:00")
+    cfg = _run(spark, tmp_path, "twice", [d], landing, changed)
+    first = _contents(spark, cfg)
+    assert len(first["/quarantine/transactions"]) == 2 and first["/mart/rep_fraud"] and first["/fact/passport_blacklist"]
+    _edit(tx, lambda rows: [])
+    _edit(bl, lambda rows: [])
+    _run(spark, tmp_path, "twice", [d], landing)
+    assert _contents(spark, cfg) == _contents(spark, _run(spark, tmp_path, "once", [d], landing))
+    again = _contents(spark, cfg)
+    assert not again["/mart/rep_fraud"] and not again["/quarantine/transactions"] and not again["/fact/transactions"]
+    assert again["/dim/clients"] != first["/dim/clients"]
+
+
+def test_counts_add_up_and_day_partitions_prune(spark, warehouse):
+    wh = publish.Warehouse(warehouse.warehouse)
+    for r in spark.read.parquet(wh.log).where("batch_dt <= '2024-01-02'").collect():
+        assert r.counts["lines"] == sum(n for k, n in r.counts.items() if k != "lines") and r.counts["loaded"] > 0
+    plan = spark.read.parquet(wh.fact("transactions")).where(
+        (F.col("report_dt") <= F.lit("2024-01-02").cast("date")) & (F.col("op_day") == F.lit("2024-01-02").cast("date"))) \
+        .select("trans_id")._jdf.queryExecution().executedPlan().toString()
+    assert "op_day" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_late_operation_reaches_its_own_day(spark, tmp_path):
+    """An operation loaded before its day's report is in that report, however early it was loaded."""
+    landing = tmp_path / "landing"
+    for d in DAYS:
+        write_day(spark, str(landing), d)
+    late = (landing / "transactions_02012024.txt").read_text().splitlines()[1:]
+    _edit(landing / "transactions_01012024.txt", lambda rows: [*rows, *late])
+    cfg = _run(spark, tmp_path, "dwh", DAYS, landing)
+    every = catalog.q_u1_fraud_mart(spark, SF)
+    want = _rows(every.where(F.col("report_dt") == F.lit("2024-01-02").cast("date")))
+    assert _rows(batch.read_mart(spark, cfg.warehouse, DAYS[1])) == want
+    log = {r.batch_dt: r.counts for r in spark.read.parquet(publish.Warehouse(cfg.warehouse).log).collect()}
+    assert log[DAYS[1]]["already_known"] == len(late) and log[DAYS[1]]["loaded"] == 0
+
+
+def test_null_keys_are_quarantined(spark, tmp_path):
+    landing, d = tmp_path / "landing", DAYS[0]
+    write_day(spark, str(landing), d)
+    _edit(landing / "terminals_01012024.csv", lambda rows: [*rows, ";POS;X;a", "9;POS"])
+    cfg = batch.BatchConfig(warehouse=str(tmp_path / "dwh"), landing=str(landing), sources=sources(spark))
+    c = cfg.sources["clients"]
+    cfg.sources["clients"] = c.unionByName(c.limit(1).withColumn("client_id", F.lit(None).cast("string")))
+    batch.run_batch(spark, cfg, d, _run_ts(d))
+    wh = publish.Warehouse(cfg.warehouse)
+    assert [r.reason for r in spark.read.parquet(wh.quarantine("clients")).collect()] == ["missing key"]
+    assert sorted(r.reason for r in spark.read.parquet(wh.quarantine("terminals")).collect()) == ["malformed line", "missing key"]
+
+
+def test_options_catch_up_tombstones_retention(spark, tmp_path):
+    landing = tmp_path / "landing"
+    days = [*DAYS, date(2024, 1, 3)]
+    for d in days:
+        write_day(spark, str(landing), d)
+    src = sources(spark)
+    every, without = src["clients"], src["clients"].where("client_id <> '3'")
+    cfg = batch.BatchConfig(warehouse=str(tmp_path / "dwh"), landing=str(landing), sources=src, catch_up=True,
+                            close_tombstone=True, keep_current=2)
+    back = every.withColumn("update_dt", F.when(F.col("client_id") == "3", F.lit("2024-01-03 12:00:00").cast("timestamp_ntz"))
+                            .otherwise(F.col("update_dt")))
+    for d, clients in zip(days, (every, without, back)):
+        cfg.sources = src | {"clients": clients}
+        batch.run_batch(spark, cfg, d, _run_ts(d))
+    wh = publish.Warehouse(cfg.warehouse)
+    h = publish.read_history(spark, wh, "clients", days[2], batch.DIM_CLIENTS).where("client_id = '3'")
+    gone = _run_ts(days[1])
+    assert sorted((r.effective_from, r.effective_to, r.deleted_flg) for r in h.collect()) == [
+        (datetime(2020, 1, 1), gone - timedelta(days=1), "N"),
+        (gone, datetime(2024, 1, 2, 12), "Y"),
+        (datetime(2024, 1, 3, 12), datetime(9999, 12, 31), "N")]
+    listed = spark.read.parquet(wh.fact("passport_blacklist"))
+    whole = [ln for ln in (landing / "passport_blacklist_03012024.csv").read_text().splitlines()[1:]]
+    assert listed.count() == len(whole) == listed.distinct().select("passport_num").count()
+    kept = {r[0] for r in spark.read.parquet(wh.dim("cards")).where("state = 'current'").select("batch_dt").distinct().collect()}
+    assert kept == set(days[1:])
+
+
+def test_stream_waits_for_a_complete_date_and_cascades(spark, tmp_path):
+    landing, d1, d2 = tmp_path / "landing", *DAYS
+    write_day(spark, str(landing), d2)
+    held = tmp_path / "held"
+    held.mkdir()
+    (landing / "terminals_02012024.csv").rename(held / "terminals_02012024.csv")
+    cfg = batch.BatchConfig(warehouse=str(tmp_path / "dwh"), landing=str(landing), sources=sources(spark))
+
+    def go():
+        q = landing_stream(spark, cfg, checkpoint=str(tmp_path / "ckpt"), archive_dir=str(tmp_path / "archive"), run_ts_for=_run_ts)
+        q.awaitTermination(600)
+        assert q.exception() is None
+        log = publish.read_table(spark, publish.Warehouse(cfg.warehouse).log)
+        return [] if log is None else sorted(r.report_dt for r in log.collect())
+
+    assert go() == [] and (landing / "transactions_02012024.txt").exists()  # split arrival: nothing runs or moves
+    (held / "terminals_02012024.csv").rename(landing / "terminals_02012024.csv")
+    assert go() == [d2] and not (landing / "transactions_02012024.txt").exists()
+    write_day(spark, str(landing), d1)  # late date: it runs, and the later one again
+    assert go() == [d1, d2]
+    straight = _contents(spark, _run(spark, tmp_path, "straight", DAYS, _all_files(tmp_path)))
+    assert _contents(spark, cfg) == straight
+    tx = landing / "transactions_01012024.txt"  # one file dropped again, its siblings are archived
+    tx.write_text("\n".join((tmp_path / "archive" / tx.name).read_text().splitlines()[:-1]) + "\n")
+    before = spark.read.parquet(publish.Warehouse(cfg.warehouse).fact("transactions")).count()
+    assert go() == [d1, d2] and not tx.exists()
+    assert spark.read.parquet(publish.Warehouse(cfg.warehouse).fact("transactions")).count() == before - 1
+
+
+def _all_files(base):
+    """A landing folder with the archived files."""
+    import shutil
+    return shutil.copytree(base / "archive", base / "again")

@@ -12,17 +12,44 @@ def _final_plan(df):
     return text.split("== Initial Plan ==")[0]
 
 
-def test_mart_scans_the_fact_once(spark):
-    plan = _final_plan(entry.queries()["u1_fraud_mart"](spark, SF))
-    assert plan.count("FileScan parquet [event_id") == 1, plan
-    assert "ReusedExchange" in plan
+def test_sequence_shuffles_narrow_rows_once(spark):
+    """Ordinary cards cross one exchange, and no profile column is in it."""
+    from histmart.plans import catalog
+    from histmart.sources import testdata as td
+
+    for name in ("n1_lead_pair", "r3_city_hop", "u1_fraud_mart"):
+        plan = _final_plan(entry.queries()[name](spark, SF))
+        windows = [ln for ln in plan.splitlines() if " Window " in ln]
+        assert len(windows) == 1, plan
+        exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(card_num" in ln]
+        assert len(exchanges) == 1 and "report_dt" in exchanges[0], plan
+        below = plan[plan.index("Window ["):]
+        assert "fio" not in below.split("BroadcastExchange")[0], plan
+    assert td.operations(spark, SF).count() and catalog.QUERIES
+
+
+def test_size_probe_moves_no_rows(spark):
+    from histmart.operators import joins
+
+    side = spark.range(1000).selectExpr("id", "repeat('x', 10) AS s")
+    fixed, aggs = joins._size_aggs(side)
+    plan = _final_plan(side.agg(*aggs))
+    assert "Limit" not in plan and plan.count("Exchange SinglePartition") == 1 and "partial_count" in plan
 
 
-def test_bucket_window_keeps_its_exchange_without_broadcast(spark):
+def test_hot_card_path_without_broadcast(spark):
+    from histmart.operators import rules
+    from histmart.plans import catalog
+    from histmart.sources import testdata as td
+
+    args = (td.operations(spark, SF), catalog._profile(spark, SF), td.terminals_hist(spark, SF))
+    want = sorted(tuple(r) for r in rules.fraud_mart(*args).collect())
     spark.conf.set("histmart.broadcast.maxRows", "1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _final_plan(entry.queries()["u1_fraud_mart"](spark, SF))
+        mart = rules.fraud_mart(*args, hot_rows=2)
+        assert sorted(tuple(r) for r in mart.collect()) == want
+        plan = _final_plan(mart)
     finally:
         spark.conf.unset("histmart.broadcast.maxRows")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
@@ -31,6 +58,12 @@ def test_bucket_window_keeps_its_exchange_without_broadcast(spark):
     assert "SortMergeJoin [card_num" in plan
 
 
+def test_delta_scan_pushes_the_mark(spark):
+    plan = _final_plan(entry.queries()["s1_watermark_delta"](spark, SF))
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    assert "GreaterThan(o_orderdate,1996-01-01" in scan and "o_totalprice" not in scan
+
+
 def test_delta_scan_reads_only_needed_columns(spark):
     df = entry.queries()["s5_key_snapshot"](spark, SF)
     plan = _final_plan(df)

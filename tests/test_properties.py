@@ -34,5 +34,5 @@ def test_sized_broadcast_respects_bounds(spark):
     assert _is_broadcast(joins.sized_broadcast(small, max_rows=1000, max_bytes=10_000))
     assert not _is_broadcast(joins.sized_broadcast(small, max_rows=50, max_bytes=10_000))
     assert not _is_broadcast(joins.sized_broadcast(small, max_rows=1000, max_bytes=1_000))
-    n, size, _ = joins.measured_size(small, 1000)
+    n, size = joins.measured_size(small)
     assert n == 100 and size == 100 * (8 + 8) + 100 * 10

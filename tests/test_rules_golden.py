@@ -134,8 +134,7 @@ def test_r3_city_hop(spark, ops, expected):
         w.op(c, when, term)
     tx, cards, accounts, clients = w.frames(spark)
     prof = rules.card_profile(cards, accounts, clients)
-    e = rules.with_terminal_city(rules.enriched_tx(tx, prof, RD), _terminals(spark))
-    got = _mart(rules.rule_city_hop(e))
+    got = _mart(rules.rule_city_hop(tx, prof, _terminals(spark), RD))
     assert got == sorted((t, p, 3) for t in expected)
 
 
@@ -148,8 +147,7 @@ def test_r3_partition_is_the_card(spark):
     w.op("card1b", ts(10, 20), "TY")
     tx, cards, accounts, clients = w.frames(spark)
     prof = rules.card_profile(cards, accounts, clients)
-    e = rules.with_terminal_city(rules.enriched_tx(tx, prof, RD), _terminals(spark))
-    assert rules.rule_city_hop(e).count() == 0
+    assert rules.rule_city_hop(tx, prof, _terminals(spark), RD).count() == 0
 
 
 def test_mart_union_and_one_pass_r1_r2(spark):

@@ -1,4 +1,4 @@
-"""The two-window (bucketed) lead equals the single-window lead."""
+"""The split of hot groups by time bucket equals the single-window lead."""
 
 import random
 from datetime import datetime, timedelta
@@ -6,7 +6,10 @@ from datetime import datetime, timedelta
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from histmart.operators.sequence import with_next, with_next_single_window
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from histmart.operators.sequence import hot_groups, with_next
 
 SCHEMA = "card string, day string, ts timestamp_ntz, id long, city string"
 
@@ -30,10 +33,12 @@ def _collect(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def _check(spark, rows, bucket_minutes):
+def _check(spark, rows, bucket_minutes, hot_rows=5):
     df = spark.createDataFrame(rows, SCHEMA)
-    a = with_next(df, ["card", "day"], "ts", "id", ["ts", "city"], bucket_minutes=bucket_minutes)
-    b = with_next_single_window(df, ["card", "day"], "ts", "id", ["ts", "city"])
+    hot = hot_groups(df, ["card", "day"], hot_rows)
+    a = with_next(df, ["card", "day"], "ts", "id", ["ts", "city"], hot=hot, bucket_minutes=bucket_minutes)
+    w = Window.partitionBy("card", "day").orderBy("ts", "id")
+    b = df.select("*", F.lead("ts").over(w).alias("next_ts"), F.lead("city").over(w).alias("next_city"))
     assert _collect(a) == _collect(b)
     assert a.count() == df.count()
 
@@ -42,6 +47,13 @@ def test_bucketed_lead_equals_window(spark):
     _check(spark, _rows(7), 1)
 
 
+def test_only_hot_groups_are_split(spark):
+    df = spark.createDataFrame(_rows(7), SCHEMA)
+    assert {r["card"] for r in hot_groups(df, ["card", "day"], 300).collect()} == {"HOT"}
+    assert hot_groups(df, ["card", "day"], 10 ** 6) is None
+    _check(spark, _rows(7), 1, hot_rows=300)
+
+
 def test_bucketed_lead_wide_buckets(spark):
     _check(spark, _rows(11, 1500), 30)
 
