@@ -4,6 +4,8 @@
         --source accounts=/extracts/accounts --source cards=... --source clients=...
     python -m histmart run ... --jdbc-url URL --jdbc-option user=... \\
         --source accounts=bank.accounts ...            # sources read over JDBC
+    ... --jdbc-option accounts.partition_column=account_no --jdbc-option accounts.lower=0 \\
+        --jdbc-option accounts.upper=900000000         # parallel slices of one table
     python -m histmart stream --warehouse W --landing L --archive A --checkpoint C ...
     python -m histmart backfill --warehouse W --landing L --from 01032021 ...
 
@@ -16,18 +18,21 @@ from __future__ import annotations
 import argparse
 from datetime import datetime
 
-from .plans.batch import BatchConfig, run_batch
+from .plans.batch import SOURCE_SCHEMAS, BatchConfig, run_batch
 from .session import build_session
 from .sources.extract import jdbc_table
 
 
 def _sources(spark, args) -> dict:
+    """Sources by name; a JDBC option ``table.key=value`` is for that source only."""
     out = {}
-    options = dict(o.split("=", 1) for o in args.jdbc_option)
+    options = [o.split("=", 1) for o in args.jdbc_option]
     for item in args.source:
         name, where = item.split("=", 1)
         if args.jdbc_url:
-            out[name] = jdbc_table(spark, args.jdbc_url, where, **options)
+            own = {k: v for k, v in options if k.split(".")[0] not in SOURCE_SCHEMAS}
+            own |= {k.removeprefix(f"{name}."): v for k, v in options if k.startswith(f"{name}.")}
+            out[name] = jdbc_table(spark, args.jdbc_url, where, **own)
         else:
             out[name] = spark.read.parquet(where)
     return out

@@ -100,7 +100,11 @@ def passport_bad():  # R1 predicate: expired (strict) or listed by the report da
             | (F.col("listed_since") <= F.col("report_dt")))
 
 
-def _contract_over():  # R2 predicate: operation after the contract's end date
+def _contract_over(through_day: bool = False):
+    """R2 predicate: operation after the start of the contract's last day, or
+    with ``through_day`` (Q15) after that day."""
+    if through_day:
+        return day_of("trans_date") > F.col("valid_to")
     return F.col("trans_date") > F.col("valid_to").cast(T.TimestampNTZType())
 
 
@@ -109,14 +113,22 @@ def rule_passport(enriched: DataFrame) -> DataFrame:
     return _to_mart(enriched.where(passport_bad()), "trans_date", RULE_PASSPORT)
 
 
-def rule_contract(enriched: DataFrame) -> DataFrame:
+def rule_contract(enriched: DataFrame, through_day: bool = False) -> DataFrame:
     """R2: operation under an expired contract."""
-    return _to_mart(enriched.where(_contract_over()), "trans_date", RULE_CONTRACT)
+    return _to_mart(enriched.where(_contract_over(through_day)), "trans_date", RULE_CONTRACT)
 
 
 def _pairs(tx: DataFrame, cards: DataFrame, city: DataFrame, report_dt, hot_rows: int,
-           bucket_minutes: int) -> DataFrame:
-    ops = _report_days(tx, report_dt)
+           bucket_minutes: int, lookback: bool = False) -> DataFrame:
+    if lookback:  # Q16: the hour before the report day, as part of its sequences
+        if report_dt is None:
+            raise ValueError("lookback needs a report day")
+        start = date_lit(report_dt).cast(T.TimestampNTZType())
+        ops = tx.select("trans_id", "trans_date", "card_num", "terminal").where(
+            (F.col("trans_date") >= start - F.expr("INTERVAL 1 HOUR")) & (F.col("trans_date") < start + F.expr("INTERVAL 1 DAY"))) \
+            .withColumn("report_dt", date_lit(report_dt))
+    else:
+        ops = _report_days(tx, report_dt)
     hot = hot_groups(ops.where(F.col("card_num").isNotNull()), ["card_num", "report_dt"], hot_rows)
     known = ops.join(city, "terminal").join(cards, "card_num", "left_semi") \
         .select("trans_id", "trans_date", "card_num", "report_dt", "terminal_city")
@@ -135,32 +147,36 @@ def city_hop_pairs(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame,
 def _city_hops(pairs: DataFrame, profile: DataFrame) -> DataFrame:
     hit = (F.col("next_trans_date").isNotNull()
            & (hour_component("next_trans_date", "trans_date") == 0)
+           & (day_of("next_trans_date") == F.col("report_dt"))
            & (F.col("terminal_city") != F.col("next_terminal_city")))
     return _to_mart(pairs.where(hit).join(profile, "card_num"), "next_trans_date", RULE_CITY_HOP)
 
 
 def rule_city_hop(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame, report_dt=None,
-                  hot_rows: int = HOT_ROWS, bucket_minutes: int = 1) -> DataFrame:
+                  hot_rows: int = HOT_ROWS, bucket_minutes: int = 1, lookback: bool = False) -> DataFrame:
     """The next operation of the card is in another city less than an
-    hour later (same day); the event is the second operation."""
+    hour later (same day, or with ``lookback`` also across midnight); the
+    event is the second operation."""
     profile, city = sized_broadcasts((profile, False), (_terminal_city(terminals_hist), False))
-    return _city_hops(_pairs(tx, profile.select("card_num"), city, report_dt, hot_rows, bucket_minutes), profile)
+    pairs = _pairs(tx, profile.select("card_num"), city, report_dt, hot_rows, bucket_minutes, lookback)
+    return _city_hops(pairs, profile)
 
 
-def rules_passport_contract(enriched: DataFrame) -> DataFrame:
+def rules_passport_contract(enriched: DataFrame, through_day: bool = False) -> DataFrame:
     """R1 and R2 in one pass over the enriched rows."""
     codes = F.filter(F.array(F.when(passport_bad(), F.lit(RULE_PASSPORT)),
-                             F.when(_contract_over(), F.lit(RULE_CONTRACT))),
+                             F.when(_contract_over(through_day), F.lit(RULE_CONTRACT))),
                      lambda c: c.isNotNull())
     return _to_mart(enriched.withColumn("__rule", F.explode(codes)), "trans_date", F.col("__rule"))
 
 
 def fraud_mart(tx: DataFrame, profile: DataFrame, terminals_hist: DataFrame, report_dt=None,
-               hot_rows: int = HOT_ROWS, bucket_minutes: int = 1) -> DataFrame:
+               hot_rows: int = HOT_ROWS, bucket_minutes: int = 1, through_day: bool = False,
+               lookback: bool = False) -> DataFrame:
     """The three rules appended into one mart relation. R1 and R2 come
     from the joined rows without any fact shuffle (with a broadcast profile),
     R3 from the narrow sequence; the sides are computed and measured once."""
     profile, city = sized_broadcasts((profile, False), (_terminal_city(terminals_hist), False))
-    r12 = rules_passport_contract(_report_days(tx, report_dt).join(profile, "card_num"))
-    pairs = _pairs(tx, profile.select("card_num"), city, report_dt, hot_rows, bucket_minutes)
+    r12 = rules_passport_contract(_report_days(tx, report_dt).join(profile, "card_num"), through_day)
+    pairs = _pairs(tx, profile.select("card_num"), city, report_dt, hot_rows, bucket_minutes, lookback)
     return r12.unionByName(_city_hops(pairs, profile))

@@ -14,7 +14,7 @@ the batch runs cannot show a key in one and not in the other.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +57,8 @@ class BatchConfig:
     allow_empty_terminals: bool = False  # Q8
     catch_up: bool = False           # Q9: take a skipped day's blacklist entries too
     close_tombstone: bool = False    # Q6: close a tombstone when its key is back
+    valid_through_end_of_day: bool = False  # Q15: a contract holds through its last day
+    lookback: bool = False           # Q16: city changes across midnight count
     archive: str | None = None       # where handled landing files are moved
     keep_current: int | None = None  # retention of old current copies, in batches
 
@@ -200,7 +202,8 @@ def load_transactions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, repo
     return counts
 
 
-def build_reports(spark: SparkSession, wh: Warehouse, report_dt: date) -> DataFrame:
+def build_reports(spark: SparkSession, wh: Warehouse, report_dt: date, through_day: bool = False,
+                  lookback: bool = False) -> DataFrame:
     """R1-R3 for the batch date on the dimensions as of this batch: only the
     day's partitions of the fact, only the profiles of the cards in them."""
     cur = {n: publish.read_current(spark, wh, n, report_dt, s) for n, s in DIM_SCHEMAS.items()}
@@ -211,11 +214,12 @@ def build_reports(spark: SparkSession, wh: Warehouse, report_dt: date) -> DataFr
     if tx is None:
         tx = spark.createDataFrame([], "trans_id string, trans_date timestamp_ntz, card_num string, terminal string, "
                                        f"{REPORT_DT} date, {OP_DAY} date")
-    tx = tx.where((F.col(REPORT_DT) <= date_lit(report_dt)) & (F.col(OP_DAY) == date_lit(report_dt))) \
+    first = report_dt - timedelta(days=int(lookback))
+    tx = tx.where((F.col(REPORT_DT) <= date_lit(report_dt)) & F.col(OP_DAY).between(date_lit(first), date_lit(report_dt))) \
         .select("trans_id", "trans_date", "card_num", "terminal")
     cards = cur["cards"].join(tx.select("card_num").distinct(), "card_num", "left_semi")
     profile = rules.card_profile(cards, cur["accounts"], cur["clients"], bl.select("passport_num", "entry_dt"))
-    return rules.fraud_mart(tx, profile, cur["terminals"], report_dt)
+    return rules.fraud_mart(tx, profile, cur["terminals"], report_dt, through_day=through_day, lookback=lookback)
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig, report_dt: date, run_ts: datetime) -> dict:
@@ -225,7 +229,8 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, report_dt: date, run_ts: da
     load_dimensions(spark, cfg, wh, report_dt, run_ts, prev)
     load_blacklist(spark, cfg, wh, report_dt)
     counts = load_transactions(spark, cfg, wh, report_dt)
-    publish.write_leaf(build_reports(spark, wh, report_dt), wh.mart, REPORT_DT, report_dt, small=True)
+    mart = build_reports(spark, wh, report_dt, cfg.valid_through_end_of_day, cfg.lookback)
+    publish.write_leaf(mart, wh.mart, REPORT_DT, report_dt, small=True)
     publish.log_batch(spark, wh, report_dt, run_ts, counts)
     if cfg.keep_current is not None:
         for name in DIM_SCHEMAS:

@@ -162,3 +162,20 @@ def test_mart_union_and_one_pass_r1_r2(spark):
                                   (ts(10, 30), p, 2), (ts(10, 30), p, 3)])
     assert mart.columns == rules.MART_COLUMNS
     assert dict(mart.dtypes)["event_type"] == "smallint"
+
+
+def test_options_end_of_day_and_lookback(spark):
+    """Q15: a contract holds through its last day. Q16: pairs across midnight count."""
+    w = World()
+    c, p = w.client("Opt", valid_to=RD)
+    w.op(c, ts(23, 50, day=2), "TX")
+    w.op(c, ts(0, 10), "TY")
+    w.op(c, ts(12), "TY")
+    tx, cards, accounts, clients = w.frames(spark)
+    prof = rules.card_profile(cards, accounts, clients)
+    args = (tx, prof, _terminals(spark), RD)
+    assert _mart(rules.fraud_mart(*args)) == sorted([(ts(0, 10), p, 2), (ts(12), p, 2)])
+    assert _mart(rules.fraud_mart(*args, through_day=True)) == []
+    assert _mart(rules.fraud_mart(*args, through_day=True, lookback=True)) == [(ts(0, 10), p, 3)]
+    with pytest.raises(ValueError):
+        rules.rule_city_hop(tx, prof, _terminals(spark), lookback=True)
