@@ -136,17 +136,17 @@ def rates(p: np.ndarray, misses: np.ndarray, floor: float = 0.0) -> np.ndarray:
 
 
 def fit(scored: DataFrame, k: int, weights: np.ndarray, anchor: int, steps: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Misses of every step, and reached and wanted tokens of each domain. ``scored`` holds ``n_tokens`` and ``p``."""
+    """Misses of every step, and reached and wanted tokens of each domain. ``scored`` holds ``n_tokens`` and ``__p``."""
 
     def totals(misses: np.ndarray) -> np.ndarray:
         def sums(batches):
             held = np.zeros(k)
             for batch in batches:
-                p = batch.column("p").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+                p = batch.column("__p").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
                 held += (rates(p, misses) * batch.column("n_tokens").to_numpy(zero_copy_only=False)) @ p
             yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(held)], ["at", "s"])
 
-        got = common.in_batches(scored.select("n_tokens", "p"), sums, "at int, s double").groupBy("at").agg(F.sum("s")).collect()
+        got = common.in_batches(scored.select("n_tokens", "__p"), sums, "at int, s double").groupBy("at").agg(F.sum("s")).collect()
         out = np.zeros(k)
         for at, s in got:
             out[at] = s
@@ -181,21 +181,21 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, f
     k = len(model.domains)
 
     def score(batch: pa.RecordBatch) -> dict:
-        out = {"n_tokens": [], "p": []}
+        out = {"n_tokens": [], "__p": []}
         for t in common.encoded(batch.column(text)):
             words = t.split()
             out["n_tokens"].append(len(words))
-            out["p"].append(model.posteriors(t, words))
+            out["__p"].append(model.posteriors(t, words))
         return out
 
-    fields = [FIELDS[0], StructField("p", ArrayType(DoubleType()))]
+    fields = [FIELDS[0], StructField("__p", ArrayType(DoubleType()))]
     used = list(dict.fromkeys([*(docs.columns if keep is None else keep), doc_id]))
     narrow = common.cut(common.map_batches(docs, score, fields, [text], used if stage else [doc_id]))
     weights = np.array([targets.get(d, math.nan) for d in model.domains])
     misses, _, _ = fit(narrow, k, weights, model.domains.index(anchor) if anchor in model.domains else 0, steps, tolerance)
 
     def decide(batch: pa.RecordBatch) -> dict:
-        p = batch.column("p").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+        p = batch.column("__p").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
         r = rates(p, misses)
         near = np.abs(r - np.round(r)) <= slack
         u = batch.column("__u").to_numpy(zero_copy_only=False)
@@ -206,11 +206,11 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, f
     rows = narrow if stage else docs
     rows = rows.select("*", drawn)
     if stage:
-        return common.map_batches(rows, decide, FIELDS[1:], ["p", "__u"], [*used, "n_tokens"])
+        return common.map_batches(rows, decide, FIELDS[1:], ["__p", "__u"], list(dict.fromkeys([*used, "n_tokens"])))
 
     def both(batch: pa.RecordBatch) -> dict:
         own = score(batch)
-        with_p = pa.RecordBatch.from_arrays([pa.array(own["p"], pa.list_(pa.float64())), batch.column("__u")], ["p", "__u"])
+        with_p = pa.RecordBatch.from_arrays([pa.array(own["__p"], pa.list_(pa.float64())), batch.column("__u")], ["__p", "__u"])
         return {"n_tokens": own["n_tokens"]} | decide(with_p)
 
     return common.map_batches(rows, both, FIELDS, [text, "__u"], used)

@@ -214,6 +214,18 @@ def test_mixing_reaches_targets(spark, docs):
     assert mixing.realise(wide, ["doc_id"]).count() == sum(x["copies"] for x in out)
 
 
+def test_mixing_replaces_clashing_columns(spark):
+    rows = [(i, t, "en", "s") for i, t, *_ in corpus(30)] + [(100, None, None, None)] * 2
+    docs = spark.createDataFrame(rows, DOCS).select("*", F.lit("own").alias("p"), F.lit("own").alias("n_tokens"), F.lit("own").alias("rate"))
+    labels = spark.createDataFrame([(i, "good" if g else "junk") for i, *_, g in corpus(30)], "doc_id long, kind string")
+    for stage in (True, False):
+        out = mixing.mix(docs, labels, F.col("kind"), {"good": 1.0, "junk": 0.0}, anchor="good", stage=stage)
+        assert sorted(out.columns) == sorted([*docs.columns, "domain", "posteriors", "copies"])
+        got = out.collect()
+        assert len(got) == 32 and {r["p"] for r in got} == {"own"}
+        assert all(r["n_tokens"] == len((r["text"] or "").split()) and isinstance(r["rate"], float) for r in got)
+
+
 def test_mixing_rates_never_negative_and_edges(spark):
     docs = spark.createDataFrame([(i, t, "en", "s") for i, t, *_ in corpus(60)], DOCS)
     labels = spark.createDataFrame([(i, "good" if g else "junk") for i, *_, g in corpus(60)], "doc_id long, kind string")
