@@ -69,7 +69,68 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    found = quality_rules.quality_rules(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.drop("near_lang", "char_js", "word_js")
+
+
+def op8_sql(rules: quality_rules.Rules = quality_rules.Rules()) -> str:
+    """The same rules over long tables of counts: (document, bin) against (language, bin)."""
+    w = rules.window
+    known = ", ".join(f"('{lang}', '{word}')" for lang, words in quality_rules.COMMON_WORDS.items() for word in words)
+    classes = {"lower": "a-z", "upper": "A-Z", "digit": "0-9", "space": r"\x20\x09-\x0D", "stop": r".,;:!?\x27\x22()\-",
+               "symbol": "#*$%&|<>", "wide": r"\x{80}-\x{10FFFF}"}
+    count = ", ".join(f"length(regexp_replace(text, '[^{kind}]', '', 'g')) AS {name}" for name, kind in classes.items())
+    rest = " - ".join(["length(text)", *(f"length(regexp_replace(text, '[^{kind}]', '', 'g'))" for kind in classes.values())])
+    return rf"""
+WITH known(lang, word) AS (VALUES {known}),
+common AS (SELECT DISTINCT word FROM known),
+d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+starts AS (
+  SELECT doc_id, i, array_to_string(list_slice(words, i, i + {w - 1}), chr(31)) AS win
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - {w - 1})) AS i FROM d WHERE len(words) >= {w})),
+often AS (SELECT doc_id, win FROM starts GROUP BY ALL HAVING count(*) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT pos) AS n FROM (
+    SELECT doc_id, unnest(generate_series(i, i + {w - 1})) AS pos FROM starts SEMI JOIN often USING (doc_id, win))
+  GROUP BY doc_id),
+dups AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT doc_id, lang, CAST(len(words) AS BIGINT) AS n_words, length(text) AS n_chars, coalesce(r.n, 0) AS n_repeat_words,
+         coalesce(u.n, 0) AS n_dup_lines, {count}, {rest} AS other
+  FROM d LEFT JOIN repeats r USING (doc_id) LEFT JOIN dups u USING (doc_id)),
+judged AS (
+  SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_pct} * n_words AS base_failed FROM base),
+hits AS (SELECT doc_id, word, count(*) AS n FROM w SEMI JOIN common USING (word) GROUP BY ALL),
+bins AS (
+  SELECT doc_id, 'c' AS kind, bin, n FROM (UNPIVOT judged ON {", ".join(classes)}, other INTO NAME bin VALUE n) WHERE n > 0
+  UNION ALL SELECT doc_id, 'w', word, n FROM hits
+  UNION ALL SELECT doc_id, 'w', ' other', n_words - coalesce((SELECT sum(n) FROM hits h WHERE h.doc_id = j.doc_id), 0) FROM judged j),
+own AS (SELECT h.doc_id, sum(h.n) AS n FROM hits h JOIN d USING (doc_id) JOIN known k ON k.lang = d.lang AND k.word = h.word GROUP BY 1),
+ordinary AS (
+  SELECT doc_id, lang FROM judged JOIN own o USING (doc_id)
+  WHERE NOT base_failed AND 100 * o.n >= {rules.reference_common_pct} * n_words),
+refs AS (
+  SELECT lang, kind, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY lang, kind) AS q FROM bins JOIN ordinary USING (doc_id) GROUP BY lang, kind, bin),
+shares AS (SELECT doc_id, kind, bin, n / sum(n) OVER (PARTITION BY doc_id, kind) AS p FROM bins WHERE n > 0),
+js AS (
+  SELECT doc_id, l.lang, s.kind, sqrt(greatest(0, (sum(p * log2(2 * p / (p + coalesce(q, 0)))
+           + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) + 1 - sum(coalesce(q, 0))) / 2)) AS js
+  FROM shares s CROSS JOIN (SELECT DISTINCT lang FROM refs) l LEFT JOIN refs r ON r.lang = l.lang AND r.kind = s.kind AND r.bin = s.bin
+  GROUP BY ALL),
+near AS (
+  SELECT j.doc_id, bool_or(c.js <= {rules.max_char_js} + {rules.slack} / sqrt(greatest(1, n_chars))
+      AND (n_words < {rules.judge_words_from} OR v.js <= {rules.max_word_js} + {rules.slack} / sqrt(greatest(1, n_words)))) AS ok
+  FROM judged j JOIN js c ON c.doc_id = j.doc_id AND c.kind = 'c' JOIN js v ON v.doc_id = j.doc_id AND v.lang = c.lang AND v.kind = 'w'
+  GROUP BY j.doc_id)
+SELECT doc_id, n_words, CAST(n_chars - space AS BIGINT) AS word_chars, CAST(symbol AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(ok, NOT EXISTS (SELECT 1 FROM refs)) AS kept
+FROM judged LEFT JOIN near USING (doc_id)
+"""
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +163,36 @@ FROM k GROUP BY conv_id
 """
 
 
+#: All pairs compared; for tables of a few thousand vectors.
+OP5_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM good),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / a.size / b.size >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS top FROM embeddings
+  UNION
+  SELECT l.b, r.top FROM reach r JOIN links l ON l.a = r.a AND r.top < l.b)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(top) AS component_id FROM reach GROUP BY a)
+"""
+
+#: For pages whose text is an article of headings and paragraphs, as in all test tables.
+OP10_SQL = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|<footer>|$)', 1) AS body FROM pages),
+b AS (
+  SELECT page_id, url, list_filter(list_transform(string_split(regexp_replace(body, '(?s)<h1>|</h1>|</?p>', chr(1), 'g'), chr(1)),
+         lambda x: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '(?s)<!--.*?-->|<[^>]*>', '', 'g'),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM a)
+SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, CAST(length(array_to_string(blocks, chr(10))) AS BIGINT) AS n_chars FROM b
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -118,4 +209,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_format": OP9_SQL}
+    return {"op5_embedding_dedup": OP5_SQL, "op8_quality_rules": op8_sql(), "op9_chat_format": OP9_SQL, "op10_html_extract": OP10_SQL}

@@ -9,6 +9,7 @@ import sys
 import pytest
 import tiktoken
 from brute import base_counts, simhash
+from oracle_check import compare
 from pyspark.sql import functions as F
 from test_text_judges import DOCS, corpus
 
@@ -82,6 +83,12 @@ def test_empty_tables(spark, tmp_path):
         assert query(spark, str(tmp_path)).count() == (1 if name.startswith("op9") else 0), name
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_oracle(spark, name):
+    r = compare(spark, "/root/testdata/sf0.001", name, queries.queries()[name], queries.oracle_sql()[name])
+    assert r["cols_ok"] and r["rows_ok"] and r["hash_ok"], r
+
+
 def test_entry_without_the_subpackage(tmp_path):
     for name in ("histmart", "__spark_entry__.py"):
         copy = shutil.copytree if os.path.isdir(f"{ROOT}/{name}") else shutil.copy
