@@ -187,8 +187,8 @@ WITH a AS (
   SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|<footer>|$)', 1) AS body FROM pages),
 b AS (
   SELECT page_id, url, list_filter(list_transform(string_split(regexp_replace(body, '(?s)<h1>|</h1>|</?p>', chr(1), 'g'), chr(1)),
-         lambda x: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '(?s)<!--.*?-->|<[^>]*>', '', 'g'),
-           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM a)
+         lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x,
+           '(?s)<!--.*?-->|<[^>]*>', '', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM a)
 SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, CAST(length(array_to_string(blocks, chr(10))) AS BIGINT) AS n_chars FROM b
 """
 
