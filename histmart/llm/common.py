@@ -28,7 +28,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc.getCheckpointDir():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not sc.master.startswith("local["):
+    if not named and sc.master.split("[")[0] != "local":
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="histmart-checkpoint-"))
 
@@ -118,13 +118,14 @@ def as_type(col, kind: pa.DataType) -> pa.Array:
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch whose ``column`` (text or binary) holds about ``most_bytes`` each; a longer text is alone."""
+    """Parts of a batch whose ``column`` (text, binary or lists) holds about ``most_bytes`` each; a longer value is alone."""
     col = batch.column(column)
     if batch.num_rows <= 1 or col.nbytes <= most_bytes:
         yield batch
         return
+    sizes = pc.multiply(pc.list_value_length(col), 8) if pa.types.is_list(col.type) else pc.binary_length(col)
     start, held = 0, 0
-    for i, n in enumerate(pc.binary_length(col).fill_null(0).to_pylist()):
+    for i, n in enumerate(sizes.fill_null(0).to_pylist()):
         if held and held + n > most_bytes:
             yield batch.slice(start, i - start)
             start, held = i, 0

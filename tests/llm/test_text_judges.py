@@ -248,6 +248,15 @@ def test_attach_equals_join_on_every_path(spark):
     assert common.attach(left, some, "k", "w", "left", 0).count() == common.attach(left, some, "k", "w", "left").count() == 3000
 
 
+def test_batches_of_lists_are_cut():
+    import pyarrow as pa
+
+    rows = [[0.5] * 100_000 if i % 3 else None for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array(range(40))], ["v", "i"])
+    parts = list(common.slices(batch, "v", 2_000_000))
+    assert len(parts) > 10 and [x for p in parts for x in p.column("i").to_pylist()] == list(range(40))
+
+
 def test_long_batches_are_cut(spark):
     frame = spark.createDataFrame([(i, "x" * 3_000_000 if i % 2 else None) for i in range(12)], "doc_id long, text string").coalesce(1)
     out = quality_rules.quality_rules(frame.withColumn("lang", F.lit("en")), keep=["doc_id"]).collect()
