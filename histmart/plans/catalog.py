@@ -9,6 +9,8 @@ the literal five-statement semantics, the rule oracles use the correlated
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (batch_date_from_path, day_of, decimal_comma_amount,
@@ -16,8 +18,12 @@ from ..functions.scalars import (batch_date_from_path, day_of, decimal_comma_amo
 from ..operators import facts, rules, scd2, watermark
 from .. import schemas
 from ..schemas import EFF_FROM, META, date_lit, ts_lit
+from ..session import checkpoint_dir
 from ..sources import extract
 from ..sources import testdata as td
+from ..sources.landing import read_landing
+from . import publish
+from .publish import Warehouse
 
 KEY = td.ORDER_ACCOUNTS.key
 ATTRS = list(td.ORDER_ACCOUNTS.attrs)
@@ -241,6 +247,42 @@ def q_p5_day_report(spark, d):
     return rules.fraud_mart(td.operations(spark, d), _profile(spark, d), td.terminals_hist(spark, d), td.REPORT_DAY)
 
 
+def _scratch(spark) -> str:
+    """A new folder on the shared store, for queries whose operator reads or writes files."""
+    return f"{checkpoint_dir(spark)}/query-{uuid.uuid4().hex}"
+
+
+def q_s4_watermark_read(spark, d):
+    """The seed advanced by the first load, read back as one value, and the delta after it."""
+    first = extract.delta_scan(td.account_source(spark, d, td.SCD_T0), schemas.WATERMARK_SEED_TEXT)
+    meta = watermark.update_meta(extract.seed_meta(spark, [td.ORDER_ACCOUNTS.name, "cards"]), first, "dwh", td.ORDER_ACCOUNTS.name)
+    mark = extract.read_watermark(meta, "dwh", td.ORDER_ACCOUNTS.name)
+    return extract.delta_scan(td.account_source(spark, d, td.SCD_T1), mark).select(
+        KEY, *ATTRS, "create_dt", "update_dt", ts_lit(mark).alias("mark"))
+
+
+def q_s7_landing_load(spark, d):
+    """Landing text written from the test operations, read back and typed."""
+    folder = _scratch(spark)
+    _staging_text(spark, d).write.option("sep", ";").option("header", True).csv(folder)
+    good, _ = facts.append_new(read_landing(spark, folder, schemas.TRANSACTIONS_TXT, with_batch_date=False), None)
+    return good
+
+
+def q_w8_published_history(spark, d):
+    """Two published batches, the second one twice with other input at first; the history read back."""
+    hist, delta, live = _scd_inputs(spark, d)
+    ef, ec, run = _scd_times()
+    wh, before, batch = Warehouse(_scratch(spark)), td.SCD_T0[:10], td.SCD_T1[:10]
+    name, schema = td.ORDER_ACCOUNTS.name, hist.schema
+    publish.write_versions(hist, wh, name, before)
+    publish.write_versions(hist.limit(100), wh, name, batch)
+    prev = publish.read_current(spark, wh, name, before, schema)
+    publish.write_versions(scd2.scd2_versions(prev, delta, live, key=KEY, attrs=ATTRS, eff_from=ef, eff_change=ec,
+                                              delete_ts=run), wh, name, batch)
+    return publish.read_history(spark, wh, name, batch, schema)
+
+
 QUERIES = {
     "s1_watermark_delta": q_s1_watermark_delta,
     "s5_key_snapshot": q_s5_key_snapshot,
@@ -270,6 +312,9 @@ QUERIES = {
     "r3_city_hop": q_r3_city_hop,
     "u1_fraud_mart": q_u1_fraud_mart,
     "p5_day_report": q_p5_day_report,
+    "s4_watermark_read": q_s4_watermark_read,
+    "s7_landing_load": q_s7_landing_load,
+    "w8_published_history": q_w8_published_history,
 }
 
 
@@ -488,6 +533,20 @@ def _with(body: str, *blocks: str) -> str:
     return "WITH " + ",".join(b.strip() for b in blocks) + "\n" + body
 
 
+_STAGING = """stg AS (
+  SELECT lpad(CAST(event_id AS VARCHAR), 11, '0') AS transaction_id,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS transaction_date,
+         replace(CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR), '.', ',') AS amount,
+         CAST(user_id AS VARCHAR) AS card_num, event_type AS oper_type,
+         CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
+         json_extract_string(props, '$.k') AS terminal
+  FROM events)"""
+_TYPED = """stg.transaction_id AS trans_id,
+       strptime(stg.transaction_date, '%Y-%m-%d %H:%M:%S') AS trans_date,
+       stg.card_num, stg.oper_type,
+       CAST(replace(stg.amount, ',', '.') AS DECIMAL(8,2)) AS amt,
+       stg.oper_result, stg.terminal"""
+
 ORACLE_SQL = {
     "s1_watermark_delta": f"""
 SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate > {T0}""",
@@ -548,22 +607,16 @@ FROM enr e""", _DOMAIN),
 SELECT o.terminal, o.trans_id, t.terminal_city FROM ops o JOIN term_cur t ON t.terminal_id = o.terminal""",
                               _DOMAIN),
     "k1_typed_append": f"""
-WITH stg AS (
-  SELECT lpad(CAST(event_id AS VARCHAR), 11, '0') AS transaction_id,
-         strftime(ts, '%Y-%m-%d %H:%M:%S') AS transaction_date,
-         replace(CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR), '.', ',') AS amount,
-         CAST(user_id AS VARCHAR) AS card_num, event_type AS oper_type,
-         CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
-         json_extract_string(props, '$.k') AS terminal
-  FROM events),
+WITH {_STAGING},
 fact AS (SELECT transaction_id AS trans_id FROM stg WHERE transaction_date < '{td.REPORT_DAY}')
-SELECT stg.transaction_id AS trans_id,
-       strptime(stg.transaction_date, '%Y-%m-%d %H:%M:%S') AS trans_date,
-       stg.card_num, stg.oper_type,
-       CAST(replace(stg.amount, ',', '.') AS DECIMAL(8,2)) AS amt,
-       stg.oper_result, stg.terminal
-FROM stg LEFT JOIN fact tgt ON stg.transaction_id = tgt.trans_id
+SELECT {_TYPED} FROM stg LEFT JOIN fact tgt ON stg.transaction_id = tgt.trans_id
 WHERE tgt.trans_id IS NULL""",
+    "s7_landing_load": f"WITH {_STAGING} SELECT {_TYPED} FROM stg",
+    "s4_watermark_read": _with(f"""
+SELECT s.account_num, s.priority, s.status, s.create_dt, s.update_dt, m.mark
+FROM src1 s, (SELECT coalesce(max(CASE WHEN n > 1 THEN last_dt END), max(create_dt)) AS mark FROM o0 WHERE rn_last = 1) m
+WHERE (s.update_dt IS NULL AND s.create_dt > m.mark) OR s.update_dt > m.mark""", _SCD),
+    "w8_published_history": _with("SELECT * FROM hist1", _SCD),
     "k2_slice_append": _with(f"SELECT passport_num, entry_dt FROM blacklist WHERE entry_dt = {RDAY}",
                              _DOMAIN),
     "f_scalars": _with(f"""
