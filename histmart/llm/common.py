@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..session import cut_lineage
+
 #: A side of a join is broadcast only if it was counted and has at most so many rows.
 BROADCAST_ROWS = 100_000
 #: A key is hot if it holds more than this share of all rows; so at most 1 / HOT_SHARE keys are hot.
@@ -22,21 +23,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the session's ``spark.checkpoint.dir``; a temporary folder only on a local master without one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and sc.master.split("[")[0] != "local":
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="histmart-checkpoint-"))
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder (survives lost executors)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return cut_lineage(df)
 
 
 def attach(left: DataFrame, right: DataFrame, key: str, weight: str, how: str = "inner",
