@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from histmart.llm import byte_bpe, common, language_id, mixing, quality_rules, simhash
 from histmart.llm.queries import DOMAINS, TARGETS, split_pattern, tokenizer_file
+from histmart.session import checkpoint_dir
 
 
 def pass_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +55,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written to the shared checkpoint folder and read again."""
-    common.ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/corpus-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = common.read(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
