@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField
 
 from . import common
 from .components import components
@@ -101,20 +101,19 @@ def principal(classes: DataFrame, dims: int) -> np.ndarray:
 
 
 def blocks_in_order(classes: DataFrame, basis: np.ndarray, eps: float, dims: int, block_rows: int) -> DataFrame:
-    """Vectors in grid order, one row per block: ids, class sizes, unit vectors, coordinates and their box."""
+    """Vectors in grid order, one row per block: ids, class sizes, values and the box of their coordinates."""
     m = basis.shape[1]
     grid = min(GRID_DIMS, m)
 
     def place(batch: pa.RecordBatch) -> dict:
         at = unit(matrix(batch, "v", dims)) @ basis
-        return {"at": list(at)} | {f"c{i}": np.floor(at[:, i] / eps).astype(np.int32) for i in range(grid)} | \
+        return {f"c{i}": np.floor(at[:, i] / eps).astype(np.int32) for i in range(grid)} | \
             {f"p{i}": at[:, i] for i in range(grid)}
 
     cells, ties = [f"c{i}" for i in range(grid)], [f"p{i}" for i in range(grid)]
-    fields = [StructField("at", ArrayType(DoubleType())), *(StructField(c, IntegerType()) for c in cells),
-              *(StructField(p, DoubleType()) for p in ties)]
+    fields = [*(StructField(c, IntegerType()) for c in cells), *(StructField(p, DoubleType()) for p in ties)]
     placed = common.cut(common.map_batches(classes, place, fields, ["v"], ["id", "n", "v"]))
-    ordered = placed.repartitionByRange(*cells, *ties).sortWithinPartitions(*cells, *ties).select("id", "n", "v", "at")
+    ordered = placed.repartitionByRange(*cells, *ties).sortWithinPartitions(*cells, *ties).select("id", "n", "v")
 
     def pack(batches):
         own, held, k = TaskContext.get().partitionId(), [], 0
@@ -122,32 +121,35 @@ def blocks_in_order(classes: DataFrame, basis: np.ndarray, eps: float, dims: int
             held.append(batch)
             while sum(b.num_rows for b in held) >= block_rows:
                 table = pa.Table.from_batches(held)
-                yield packed(table.slice(0, block_rows).combine_chunks(), (own << 32) + k, dims, m)
+                yield packed(table.slice(0, block_rows), (own << 32) + k, basis)
                 held, k = table.slice(block_rows).to_batches(), k + 1
         if sum(b.num_rows for b in held):
-            yield packed(pa.Table.from_batches(held), (own << 32) + k, dims, m)
+            yield packed(pa.Table.from_batches(held), (own << 32) + k, basis)
 
     return common.cut(common.in_batches(ordered, pack, "block long, n int, data binary, lo array<double>, hi array<double>"))
 
 
-def packed(table: pa.Table, block: int, dims: int, m: int) -> pa.RecordBatch:
+def packed(table: pa.Table, block: int, basis: np.ndarray) -> pa.RecordBatch:
+    """One block; values that single precision holds exactly are packed so."""
     batch = table.combine_chunks().to_batches()[0]
-    u, at = unit(matrix(batch, "v", dims)), matrix(batch, "at", m)
-    data = b"".join([batch.column("id").to_numpy().astype("<i8").tobytes(), batch.column("n").to_numpy().astype("<i8").tobytes(),
-                     at.astype("<f8").tobytes(), u.astype("<f8").tobytes()])
+    v = matrix(batch, "v", len(basis))
+    at, short = unit(v) @ basis, v.astype("<f4")
+    values = short if (short == v).all() else v.astype("<f8")
+    data = b"".join([np.array([values.itemsize], "<i8").tobytes(), batch.column("id").to_numpy().astype("<i8").tobytes(),
+                     batch.column("n").to_numpy().astype("<i8").tobytes(), values.tobytes()])
     return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), pa.array([len(u)], pa.int32()), pa.array([data], pa.binary()),
+        [pa.array([block], pa.int64()), pa.array([len(v)], pa.int32()), pa.array([data], pa.binary()),
          pa.array([at.min(axis=0)]), pa.array([at.max(axis=0)])], ["block", "n", "data", "lo", "hi"])
 
 
 class Block:
     """A block unpacked; intervals of it are slices."""
 
-    def __init__(self, data: bytes, n: int, dims: int, m: int):
-        flat = np.frombuffer(data, "<i8")
-        self.ids, self.sizes = flat[:n], flat[n:2 * n]
-        rest = flat[2 * n:].view("<f8")
-        self.at, self.unit = rest[:n * m].reshape(n, m), rest[n * m:].reshape(n, dims)
+    def __init__(self, data: bytes, n: int, basis: np.ndarray):
+        width, *_ = np.frombuffer(data, "<i8", 1)
+        self.ids, self.sizes = np.frombuffer(data, "<i8", 2 * n, 8).reshape(2, n)
+        self.unit = unit(np.frombuffer(data, f"<f{width}", -1, 8 + 16 * n).reshape(n, len(basis)).astype(np.float64))
+        self.at = self.unit @ basis
         self.single = self.unit.astype(np.float32)
 
 
@@ -246,7 +248,7 @@ def links(classes: DataFrame, cosine: float, dims: int, block_rows: int) -> Data
     sides = needed.join(blocks.select("block", "n", "data"), "block")
 
     def compare(pair: pa.Table) -> pa.Table:
-        at = {r["block"]: Block(r["data"], r["n"], dims, m) for r in pair.to_pylist()}
+        at = {r["block"]: Block(r["data"], r["n"], basis) for r in pair.to_pylist()}
         first, second = pair.column("a")[0].as_py(), pair.column("b")[0].as_py()
         same, a, b = first == second, at[first], at[second]
         n_a, n_b = np.zeros(len(a.ids), np.int64), np.zeros(len(b.ids), np.int64)
