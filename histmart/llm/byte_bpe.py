@@ -37,7 +37,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from . import common
 
 #: Chunks kept by each Python worker; the dictionary is cleared when full.
-MEMO = 500_000
+MEMO = 200_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
 NOT_SINGLE = re.compile(r"\s | \s|^ | $")
 

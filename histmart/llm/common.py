@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,9 @@ from ..session import cut_lineage
 BROADCAST_ROWS = 100_000
 #: A key is hot if it holds more than this share of all rows; so at most 1 / HOT_SHARE keys are hot.
 HOT_SHARE = 1 / 256
+#: An Arrow batch holds about so many bytes at most (one longer row is a batch of its own).
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -49,12 +53,15 @@ def attach(left: DataFrame, right: DataFrame, key: str, weight: str, how: str =
 
 def in_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` over Arrow batches of ``df``."""
-    importable(df.sparkSession)
+    prepare(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
-def importable(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver found it (a cluster ships it by --py-files)."""
+def prepare(spark: SparkSession) -> None:
+    """Bounded Arrow batches, in the JVM and in Python; workers look for this package where the driver found it
+    (a cluster ships it by --py-files)."""
+    if int(spark.conf.get(BATCH_CONF).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     env = spark.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -106,7 +113,7 @@ def as_type(col, kind: pa.DataType) -> pa.Array:
     return col if col.type == kind else col.cast(kind)
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose ``column`` (text, binary or lists) holds about ``most_bytes`` each; a longer value is alone."""
     col = batch.column(column)
     if batch.num_rows <= 1 or col.nbytes <= most_bytes:
@@ -125,3 +132,9 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Ite
 def encoded(col: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null gives no bytes."""
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
+
+
+def stacked(col: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as a matrix."""
+    flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in col.chunks] or [np.zeros(0)])
+    return flat.reshape(len(col), -1).astype(np.float64) if len(col) else flat.reshape(0, 1)

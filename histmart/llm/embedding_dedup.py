@@ -267,7 +267,7 @@ def links(classes: DataFrame, cosine: float, dims: int, block_rows: int) -> Data
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), null if b is None else pa.array(b, pa.int64()),
                                            null if w is None else pa.array(w, pa.int64())], ["a", "b", "w"])
 
-    common.importable(sides.sparkSession)
+    common.prepare(sides.sparkSession)
     return common.cut(sides.groupBy("a", "b").applyInArrow(compare, "a long, b long, w long"))
 
 

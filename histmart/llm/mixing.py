@@ -36,13 +36,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField
 
 from . import common
 from .quality_rules import CLASS_OF, CONTINUATION
 
 MAX_TRAIN = 10_000
-MAX_WORDS = 400
+MAX_WORDS = 300
 #: Domains are classes of one model; a labelled table has few of them.
 MAX_DOMAINS = 200
 
@@ -122,9 +122,9 @@ def train(docs: DataFrame, labelled: DataFrame, anchor: str, doc_id: str, text:
     def shape(batch: pa.RecordBatch) -> dict:
         return {"x": [features(t, t.split(), chosen) for t in common.encoded(batch.column("t"))]}
 
-    got = common.map_batches(texts, shape, [StructField("x", ArrayType(DoubleType()))], ["t"], ["__domain"]).limit(2 * max_train).collect()
-    y = np.array([names.index(r["__domain"]) for r in got])
-    return Model(names, chosen, fit_softmax(np.array([r["x"] for r in got]), y, len(names)))
+    got = common.map_batches(texts, shape, [StructField("x", ArrayType(FloatType()))], ["t"], ["__domain"]).limit(2 * max_train).toArrow()
+    y = np.array([names.index(d) for d in got.column("__domain").to_pylist()])
+    return Model(names, chosen, fit_softmax(common.stacked(got.column("x")), y, len(names)))
 
 
 def rates(p: np.ndarray, misses: np.ndarray, floor: float = 0.0) -> np.ndarray:

@@ -96,12 +96,12 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, max_train:
     def shape(batch: pa.RecordBatch) -> dict:
         return {"x": [features(t) for t in common.encoded(batch.column("t"))]}
 
-    got = common.map_batches(rows, shape, [StructField("x", ArrayType(DoubleType()))], ["t"], ["__label"]).limit(2 * max_train).collect()
-    y = np.array([float(r["__label"] >= 0.5) for r in got])
+    got = common.map_batches(rows, shape, [StructField("x", ArrayType(DoubleType()))], ["t"], ["__label"]).limit(2 * max_train).toArrow()
+    x, y = common.stacked(got.column("x")), (got.column("__label").to_numpy() >= 0.5).astype(float)
     if not len(y) or y.min() == y.max():
         base = float(y.mean()) if len(y) else 0.5
         return Model(np.append(np.zeros(len(features(b""))), logit(base)), base)  # no evidence from any text
-    return Model(fit_logistic(np.array([r["x"] for r in got]), y), float(y.mean()))
+    return Model(fit_logistic(x, y), float(y.mean()))
 
 
 def strength(groups: DataFrame, n: str, s: str, parent: str) -> float:

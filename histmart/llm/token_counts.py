@@ -37,7 +37,7 @@ from . import common
 
 MARK = "▁"
 #: Segments kept by each Python worker; the dictionary is cleared when full.
-MEMO = 500_000
+MEMO = 200_000
 SEGMENT = re.compile(f"[ {MARK}]*[^ {MARK}]+|[ {MARK}]+")
 
 
