@@ -8,17 +8,19 @@ no template). Subtrees that recur on at least ``min_pages`` pages and
 itself (paragraphs, headings, list items, cells, inline marks) are never
 deleted this way: a passage that many articles quote stays.
 
-What recurrence can't show on a host with few pages is told by the markup:
-navigation, headers, footers, asides, forms, scripts, styles and elements whose
-class, id or role names them an advert, notice, sidebar, menu or reader comment.
-If a page has an article (else a main element), only its text is kept.
+Element kinds that are never main text (navigation, headers, footers, asides,
+forms, scripts, styles) go on every page, and if a page has an article (else a
+main element), only its text is kept. What recurrence can't show on a host of
+fewer than ``enough_pages`` different pages is told by names: elements whose
+class or role is the name of an advert, notice, sidebar, menu or reader comment
+as a whole (see named). On larger hosts a name decides nothing, the counts do.
 
 A host's table of deleted hashes is short: each takes at least ``min_share`` of
 the host's pages. Pages are not shuffled unless the tables of all hosts exceed
 the broadcast bound; then hot hosts are split off (``common.attach``).
 
 Defined cases: null or empty html gives empty text; null urls and urls without
-a host have no site and only the markup decides; unclosed and cut-off markup
+a host have no site and only the markup and names decide; unclosed and cut-off markup
 ends with the page; an unknown character reference stays as it is; repeated
 pages are extracted each by itself; columns of the result replace columns of
 the same name.
@@ -57,12 +59,16 @@ NAMED = frozenset("ad ads advert adverts advertisement advertising adsense spons
                   "cookies consent gdpr notice notices newsletter subscribe subscription signup popup modal overlay menu nav navbar "
                   "navigation breadcrumb breadcrumbs footer header masthead comment comments disqus replies respond share sharing "
                   "social related recommended widget toolbar pagination pager login search contentinfo complementary form alert".split())
+#: Words that may stand beside those of NAMED in a class, and classes of the text itself, which no other class makes a box.
+BESIDE = frozenset("reader user site page top bottom left right box bar container wrapper list".split())
+OWN_TEXT = frozenset("post entry article story content".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 FRAME = frozenset(("html", "body", "article", "main"))
 CONTAINER = frozenset("div section aside ul ol dl table nav form header footer figure details fieldset".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)"""
                  r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 WORD = re.compile(r"[a-z0-9]+")
 MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 
@@ -74,11 +80,34 @@ class Page:
     tags: list[str] = field(default_factory=lambda: [""])
     parents: list[int] = field(default_factory=lambda: [0])
     banned: list[bool] = field(default_factory=lambda: [False])
+    named: list[bool] = field(default_factory=lambda: [False])
     mains: list[bool] = field(default_factory=lambda: [False])
     hashes: list[int] = field(default_factory=lambda: [0])
     pieces: list[tuple[int, str, int]] = field(default_factory=list)
 
 
+def named(tag: str, attrs: str) -> bool:
+    """Whether a whole class or role names a box: a word of NAMED, or words of NAMED and BESIDE joined.
+
+    Headings and classes of the text itself are no boxes. An id is mostly an
+    anchor; it counts on a div only, and if joined of two words of NAMED or more.
+    """
+    if tag in FRAME or tag in HEADINGS:
+        return False
+    found = False
+    for kind, value in NAMES.findall(attrs):
+        kind, tokens = kind.lower(), value.strip("\"'").lower().split()
+        if kind == "class" and not OWN_TEXT.isdisjoint(tokens):
+            return False
+        for token in tokens:
+            words = set(WORD.findall(token))
+            if kind == "id":
+                found |= tag == "div" and len(words) > 1 and words <= NAMED
+            else:
+                found |= token in NAMED or not words.isdisjoint(NAMED) and words <= NAMED | BESIDE
+    return found
+
+
 def parse(source: str) -> Page:
     from xxhash import xxh3_64_intdigest
 
@@ -137,8 +166,8 @@ def parse(source: str) -> Page:
         page.parents.append(stack[-2])
         page.tags.append(name)
         page.hashes.append(0)
-        named = () if name in FRAME else (w for v in NAMES.findall(attrs) for w in WORD.findall(v.lower()))
-        page.banned.append(name in NOT_TEXT or any(w in NAMED for w in named))
+        page.banned.append(name in NOT_TEXT)
+        page.named.append("=" in attrs and named(name, attrs))
         page.mains.append(name in ("article", "main") or "main" in attrs and bool(MAIN_ROLE.search(attrs)))
         if attrs.rstrip().endswith("/") and name in ("svg", "iframe", "script"):
             close(len(stack) - 1)
@@ -149,11 +178,11 @@ def parse(source: str) -> Page:
     return page
 
 
-def areas(page: Page) -> tuple[list[bool], list[bool]]:
-    """Per element: dropped by the markup; inside the article (or main) that holds the text."""
+def areas(page: Page, by_name: bool) -> tuple[list[bool], list[bool]]:
+    """Per element: dropped by the markup (and its name); inside the article (or main) that holds the text."""
     dropped, inside = [False] * len(page.tags), [False] * len(page.tags)
     for i in range(1, len(page.tags)):
-        dropped[i] = page.banned[i] or dropped[page.parents[i]]
+        dropped[i] = page.banned[i] or by_name and page.named[i] or dropped[page.parents[i]]
     live = [i for i in range(1, len(page.tags)) if page.mains[i] and not dropped[i]]
     roots = {i for i in live if page.tags[i] == "article"} or set(live)
     for i in range(1, len(page.tags)):
@@ -161,21 +190,25 @@ def areas(page: Page) -> tuple[list[bool], list[bool]]:
     return dropped, inside if roots else [True] * len(page.tags)
 
 
-def template_hashes(page: Page) -> set[int]:
-    """Hashes of the subtrees that may be a template: all but the frame and the article's own text blocks."""
-    _, inside = areas(page)
+def may_recur(page: Page, inside: list[bool]) -> list[bool]:
+    """Per element, whether its subtree may be a template: all but the frame and the article's own text blocks."""
     has_main = any(page.mains)
-    return {page.hashes[i] for i in range(1, len(page.tags)) if page.hashes[i] and page.tags[i] not in FRAME and page.tags[i] not in ("head", "title")
-            and (not (inside[i] and has_main) or page.tags[i] in CONTAINER)}
+    return [tag not in FRAME and (not (own and has_main) or tag in CONTAINER) for tag, own in zip(page.tags, inside, strict=True)]
 
 
-def main_text(page: Page, recurring: set[int]) -> str:
-    """Text blocks of the main text joined by newlines, without banned and recurring subtrees."""
-    dropped, inside = areas(page)
-    has_main = any(page.mains)
+def template_hashes(page: Page) -> set[int]:
+    """Hashes of the subtrees that may be a template, with or without names."""
+    either = [may_recur(page, areas(page, by_name)[1]) for by_name in ((False, True) if any(page.named) else (False,))]
+    return {page.hashes[i] for i in range(1, len(page.tags)) if page.hashes[i] and page.tags[i] not in ("head", "title")
+            and any(free[i] for free in either)}
+
+
+def main_text(page: Page, recurring: set[int], by_name: bool = True) -> str:
+    """Text blocks of the main text joined by newlines, without banned, recurring and (``by_name``) named subtrees."""
+    dropped, inside = areas(page, by_name)
+    free = may_recur(page, inside)
     for i in range(1, len(page.tags)):
-        free = page.tags[i] not in FRAME and (not (inside[i] and has_main) or page.tags[i] in CONTAINER)
-        dropped[i] = dropped[i] or dropped[page.parents[i]] or free and page.hashes[i] in recurring
+        dropped[i] = dropped[i] or dropped[page.parents[i]] or free[i] and page.hashes[i] in recurring
     blocks: dict[int, list[str]] = {}
     for block, text, element in page.pieces:
         if not dropped[element] and inside[element]:
@@ -190,8 +223,9 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """``(host, hashes, w)``: what recurs on each host. ``pages`` holds ``__host`` and ``html``."""
+def templates(pages: DataFrame, min_pages: int, min_share: float, enough_pages: int) -> DataFrame:
+    """``(host, hashes, enough, w)``: what recurs on each host, and whether it has enough pages for the counts to decide
+    alone; without hosts of which neither is true. ``pages`` holds ``__host`` and ``html``."""
     from xxhash import xxh3_64_intdigest
 
     def subtrees(batches):
@@ -213,26 +247,29 @@ def templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
     counts = rows.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("seen"))
     counts = counts.where(F.col("seen") >= min_pages)
     many = common.attach(counts, hosts.withColumn("k", F.col("n")), "host", "k").where(F.col("seen") >= F.col("n") * min_share)
-    return common.cut(many.groupBy("host").agg(F.collect_list("hash").alias("hashes"), F.first("w").alias("w")))
+    large = hosts.where(F.col("n") >= enough_pages).select("host", "n", "w", F.lit(None).cast("long").alias("hash"))
+    found = many.select("host", "n", "w", "hash").unionByName(large).groupBy("host")
+    return common.cut(found.agg(F.collect_list("hash").alias("hashes"), (F.first("n") >= enough_pages).alias("enough"), F.first("w").alias("w")))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = 3, min_share: float = 0.05,
-            keep: list[str] | None = None) -> DataFrame:
+            enough_pages: int = 20, keep: list[str] | None = None) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` (code points) of the main text."""
-    sites = templates(pages.select(host_of(common.quoted(url)).alias("__host"), common.quoted(html).alias("html")), min_pages, min_share)
+    sites = templates(pages.select(host_of(common.quoted(url)).alias("__host"), common.quoted(html).alias("html")), min_pages, min_share, enough_pages)
     used = pages.columns if keep is None else keep
     rows = pages.select(*map(common.quoted, dict.fromkeys([*used, html])), F.coalesce(host_of(common.quoted(url)), F.lit("")).alias("__host"))
     held = sites.agg(F.sum(F.size("hashes"))).first()[0] or 0
     most = common.BROADCAST_ROWS if held <= BROADCAST_HASHES else 0
-    rows = common.attach(rows, sites.select(F.col("host").alias("__host"), F.col("hashes").alias("__hashes"), F.col("w").alias("__w")),
+    rows = common.attach(rows, sites.select(F.col("host").alias("__host"), F.col("hashes").alias("__hashes"), F.col("enough").alias("__enough"),
+                                             F.col("w").alias("__w")),
                          "__host", "__w", "left", most)
 
     def run(batch: pa.RecordBatch) -> dict:
         texts, sets = [], {}
-        for source, host, own in zip(*(batch.column(c) for c in (html, "__host", "__hashes")), strict=True):
+        for source, host, own, enough in zip(*(batch.column(c) for c in (html, "__host", "__hashes", "__enough")), strict=True):
             if (host := host.as_py()) not in sets:
                 sets[host] = set(own.as_py() or [])
-            texts.append(main_text(parse(source.as_py() or ""), sets[host]))
+            texts.append(main_text(parse(source.as_py() or ""), sets[host], not enough.as_py()))
         return {"text": texts, "n_chars": [len(t) for t in texts]}
 
-    return common.map_batches(rows, run, [StructField("text", StringType()), StructField("n_chars", LongType())], [html, "__host", "__hashes"], used)
+    return common.map_batches(rows, run, [StructField("text", StringType()), StructField("n_chars", LongType())], [html, "__host", "__hashes", "__enough"], used)

@@ -131,6 +131,22 @@ def test_template_removal(spark):
     assert hx.extract(pages.limit(0)).count() == 0
 
 
+ANCHORS = ("<article><h2 id=search>T {0}</h2><section id=related-work><p>work {0}</section><h2 class=form-validation>V</h2>"
+           "<div class='post social'><p>post {0}</div><div data-id=search><p>data {0}</div></article>")
+
+
+def test_names_are_whole_and_yield_to_counts(spark):
+    """Anchors and classes of the text stay on any host; a named box with a text of its own goes only where counts can't tell."""
+    box = "<article><p>text {0}</p><div class='related'><p>own {0}</p></div><div class='promo'><p>Buy now</p></div></article>"
+    rows = [(i, "http://few.example.com/", ANCHORS.format(i)) for i in range(2)] + [(10 + i, "http://big.example.com/", ANCHORS.format(i)) for i in range(40)]
+    rows += [(100 + i, "http://two.example.com/", box.format(i)) for i in range(2)] + [(110 + i, "http://box.example.com/", box.format(i)) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in hx.extract(pages, keep=["page_id"]).collect()}
+    for start, n in ((0, 2), (10, 40)):
+        assert all(got[start + i] == f"T {i}\nwork {i}\nV\npost {i}\ndata {i}" for i in range(n))
+    assert all(got[100 + i] == f"text {i}" for i in range(2)) and all(got[110 + i] == f"text {i}\nown {i}" for i in range(40))
+
+
 def test_extract_without_broadcast(spark, monkeypatch):
     pages = spark.createDataFrame([r[:3] for r in site()], "page_id long, url string, html string")
     want = sorted(map(tuple, hx.extract(pages, keep=["page_id"]).collect()))
