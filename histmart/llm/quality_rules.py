@@ -3,15 +3,19 @@
 A document is compared with language references by Jensen-Shannon distance:
 one histogram of character classes, one of common words. References are the
 summed histograms of all documents of a language that pass the base rules and
-hold a share of its function words, gathered by grouped aggregation (a few hundred numbers in all). A document
+hold a share of its function words, gathered by grouped aggregation (a few hundred numbers in all). Function
+words of four languages are given; those of any other declared language are its
+LEARNED_WORDS most widespread words, and its word histogram is one of its own. A document
 keeps the verdict of its nearest reference, so a wrong language tag alone
 never rejects it. Short texts are guarded: below ``min_words`` the word
 histogram is not judged, and both limits widen by the sampling noise
 ``slack / sqrt(n)``.
 
 Defined cases: null text counts as empty (no words, fails the base rules);
-null or unknown languages are compared with all references and feed none;
-with no reference at all (empty table) only the base rules decide; repeated
+null, empty and ``und`` languages are compared with all references and feed none;
+a language other than the four has a reference if at least
+``min_reference_docs`` documents feed it; for documents of a language without a
+reference, and with no reference at all (empty table), only the base rules decide; repeated
 rows are judged each by itself; columns of the result replace columns of the
 same name.
 """
@@ -24,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField
 
@@ -48,6 +52,10 @@ for chars, kind in ((b"abcdefghijklmnopqrstuvwxyz", LOWER), (b"ABCDEFGHIJKLMNOPQ
                     (b"0123456789", DIGIT), (b" \t\n\x0b\f\r", SPACE), (b".,;:!?'\"()-", STOP),
                     (b"#*$%&|<>", SYMBOL)):
     CLASS_OF[list(chars)] = kind
+#: Tags that name no language; function words learned for each language that has none given, each in at least
+#: a share of the language's documents, so that what only its junk repeats is none.
+NO_LANGUAGE = ("", "und")
+LEARNED_WORDS, LEARNED_SHARE = 24, 0.2
 BINS = CONTINUATION + len(WORDS) + 1  # classes, common words, all other words
 
 
@@ -57,7 +65,8 @@ class Rules:
 
     ``min_words`` and ``max_repeat_pct`` are the base rules; a window is
     ``window`` words. A document feeds the reference of its language if at least
-    ``reference_common_pct`` % of its words are function words of it. ``max_char_js`` and ``max_word_js`` are limits on the
+    ``reference_common_pct`` % of its words are function words of it; a language whose function words
+    are learned needs ``min_reference_docs`` such documents. ``max_char_js`` and ``max_word_js`` are limits on the
     two distances (0 = equal, 1 = disjoint).
     """
 
@@ -65,6 +74,7 @@ class Rules:
     max_repeat_pct: int = 30
     window: int = 8
     reference_common_pct: int = 10
+    min_reference_docs: int = 20
     judge_words_from: int = 50
     max_char_js: float = 0.16
     max_word_js: float = 0.30
@@ -171,14 +181,98 @@ def references(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang
     return out
 
 
-def verdict(hist: np.ndarray, n_words: int, refs: dict[str, np.ndarray], rules: Rules) -> tuple[str | None, float, float, bool]:
-    """(nearest language, character distance, word distance, kept) against the nearest reference."""
-    chars, words = hist[:CONTINUATION], hist[CONTINUATION:]
+@dataclass
+class Learned:
+    """Reference of a language by its own words: character classes, each word, all other words."""
+
+    words: dict[bytes, int]
+    hist: np.ndarray
+
+    def word_counts(self, counts: Counter, n_words: int) -> np.ndarray:
+        out = np.zeros(len(self.words) + 1, np.int64)
+        for w in counts.keys() & self.words.keys():
+            out[self.words[w]] = counts[w]
+        out[-1] = n_words - out.sum()
+        return out
+
+
+def learned_references(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> dict[str, Learned]:
+    """References of the declared languages without given function words; two more passes, over their documents only."""
+    rows = docs.select(common.quoted(text).alias("t"), common.quoted(lang).cast("string").alias("l"))
+    rows = rows.where(~F.col("l").isin(*COMMON_WORDS, *NO_LANGUAGE))
+    tags = {r["l"] for r in rows.groupBy("l").count().where(F.col("count") >= rules.min_reference_docs).collect()}
+    if not tags:
+        return {}
+
+    def passing(batch: pa.RecordBatch):
+        """(language, text, words) of the documents that pass the base rules."""
+        for raw, tag in zip(common.encoded(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+            if tag in tags:
+                words = raw.split()
+                if len(words) >= rules.min_words and 100 * repeated_words(words, rules.window) <= rules.max_repeat_pct * len(words):
+                    yield tag, raw, words
+
+    def summed(sums: dict[tuple, int], kind: pa.DataType, name: str) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], kind),
+                                           pa.array(list(sums.values()), pa.int64())], ["lang", name, "n"])
+
+    def holding(batches):
+        for batch in batches:
+            sums = Counter()
+            for tag, _, words in passing(batch):
+                sums.update((tag, w) for w in {b"", *words})  # the empty word counts the documents
+            yield summed(sums, pa.binary(), "word")
+
+    seen = common.in_batches(rows, holding, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))  # the empty word comes first
+    found: dict[str, Learned] = {}
+    for r in seen.withColumn("k", rank).where(F.col("k") <= LEARNED_WORDS + 1).orderBy("lang", "k").collect():
+        if not r["word"]:
+            found[r["lang"]], enough = Learned({}, np.zeros(0)), LEARNED_SHARE * r["n"]
+        elif r["n"] >= enough:
+            found[r["lang"]].words[bytes(r["word"])] = r["k"] - 2
+
+    def partial(batches):
+        for batch in batches:
+            sums = Counter()
+            for tag, raw, words in passing(batch):
+                counts = found[tag].word_counts(Counter(words), len(words))
+                if 100 * counts[:-1].sum() >= rules.reference_common_pct * len(words):
+                    sums[tag, -1] += 1
+                    for b, n in enumerate([*histogram(raw, words)[:CONTINUATION], *counts]):
+                        sums[tag, b] += int(n)
+            yield summed(sums, pa.int32(), "bin")
+
+    got = common.in_batches(rows, partial, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    feeding = {tag: 0 for tag in found}
+    for own in found.values():
+        own.hist = np.zeros(CONTINUATION + len(own.words) + 1, np.int64)
+    for r in got.collect():  # at most languages x bins rows
+        if r["bin"] < 0:
+            feeding[r["lang"]] = r["n"]
+        else:
+            found[r["lang"]].hist[r["bin"]] = r["n"]
+    return {tag: own for tag, own in found.items() if feeding[tag] >= rules.min_reference_docs}
+
+
+def verdict(hist: np.ndarray, n_words: int, refs: dict[str, np.ndarray], rules: Rules, learned: dict[str, Learned] | None = None,
+            words: list[bytes] | None = None) -> tuple[str | None, float, float, bool]:
+    """(nearest language, character distance, word distance, kept) against the nearest reference.
+
+    ``words`` are those of the text; needed for ``learned`` references only.
+    """
+    learned = learned or {}
+    chars, listed = hist[:CONTINUATION], hist[CONTINUATION:]
+    counts = Counter(words) if learned else None
     char_limit = rules.max_char_js + rules.slack / math.sqrt(max(1, int(chars.sum())))
     word_limit = rules.max_word_js + rules.slack / math.sqrt(max(1, n_words))
     best = None
-    for lang in sorted(refs):
-        c, w = js_distance(chars, refs[lang][:CONTINUATION]), js_distance(words, refs[lang][CONTINUATION:])
+    for lang in sorted([*refs, *learned]):
+        ref = refs[lang] if lang in refs else learned[lang].hist
+        c = js_distance(chars, ref[:CONTINUATION])
+        if best and best[-1] and (c > char_limit or c > best[0][1]):
+            continue  # neither kept by this reference nor nearer to it
+        w = js_distance(listed if lang in refs else learned[lang].word_counts(counts, n_words), ref[CONTINUATION:])
         ok = c <= char_limit and (n_words < rules.judge_words_from or w <= word_limit)
         if best is None or (not ok, c + w) < best[0]:
             best = ((not ok, c + w), lang, c, w, ok)
@@ -189,22 +283,24 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules(), text: str = "text", l
                   keep: list[str] | None = None) -> DataFrame:
     """``docs`` with rule counts, distances, ``base_failed`` and ``kept``.
 
-    Two passes over the texts, no shuffle of documents: the first sums the
-    references, the second judges each document beside its own columns.
+    Two passes over the texts (four over those of languages without given
+    function words), no shuffle of documents: the first sums the references,
+    the last judges each document beside its own columns.
     """
-    refs = references(docs, rules, text, lang)
+    refs, learned = references(docs, rules, text, lang), learned_references(docs, rules, text, lang)
+    judged = {None, *NO_LANGUAGE, *refs, *learned}
 
     def judge(batch: pa.RecordBatch) -> dict:
         rows = []
-        for raw in common.encoded(batch.column(text)):
+        for raw, tag in zip(common.encoded(batch.column(text)), batch.column(lang).cast(pa.string()).to_pylist(), strict=True):
             words = raw.split()
             hist = histogram(raw, words)
             row = base_counts(raw, words, hist, rules)
-            near, c, w, ok = verdict(hist, len(words), refs, rules)
-            rows.append(row | {"near_lang": near, "char_js": c, "word_js": w, "kept": not row["base_failed"] and ok})
+            near, c, w, ok = verdict(hist, len(words), refs, rules, learned, words)
+            rows.append(row | {"near_lang": near, "char_js": c, "word_js": w, "kept": not row["base_failed"] and (ok or tag not in judged)})
         return {f.name: [r[f.name] for r in rows] for f in FIELDS}
 
-    return common.map_batches(docs, judge, FIELDS, [text], keep)
+    return common.map_batches(docs, judge, FIELDS, [text, lang], keep)
 
 
 FIELDS = [*(StructField(c, LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),

@@ -94,6 +94,24 @@ def test_quality_rules_guard_short_texts_and_empty_tables(spark):
     assert quality_rules.quality_rules(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_quality_rules_learn_other_languages(spark):
+    """Russian has a reference of its own, which tells its junk; Greek has too few documents, so only the base rules judge it."""
+    pick, rows = random.Random(5), [r[:4] for r in corpus(60)]
+
+    def other(n, stop, letters):
+        return " ".join(pick.choice(stop) if pick.random() < 0.4 else "".join(pick.choices(letters, k=pick.randrange(3, 9))) for _ in range(n))
+
+    russian = [other(pick.choice([60, 200, 500]), "и в не на что он с как это по но из".split(), "абвгдежзиклмнопрстуфя") for _ in range(60)]
+    greek = [other(200, "και το να του η της με που από".split(), "αβγδεζηθικλμνοπρστυφω") for _ in range(5)]
+    noise = [" ".join(w + "###" for w in x.split()) for x in russian[:6]]
+    rows += [(1000 + i, t, "ru", "s1") for i, t in enumerate(russian)] + [(2000 + i, t, "el", "s1") for i, t in enumerate(greek)]
+    rows += [(3000 + i, t, "ru", "s1") for i, t in enumerate(noise)] + [(4000, russian[7], None, "s1"), (4001, russian[8], "en", "s1"), (4002, "раз два", "ru", "s1")]
+    kept = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, DOCS).repartition(4)).collect()}
+    assert all(kept[1000 + i]["kept"] and kept[1000 + i]["near_lang"] == "ru" for i in range(60)) and all(kept[2000 + i]["kept"] for i in range(5))
+    assert not any(kept[3000 + i]["kept"] for i in range(6)) and kept[4000]["kept"] and kept[4001]["kept"] and not kept[4002]["kept"]
+    assert all(kept[r[0]]["kept"] == r[4] for r in corpus(60))
+
+
 def test_language_id(docs):
     good = {r[0]: r for r in corpus() if r[4]}
     out = language_id.identify(docs).collect()
