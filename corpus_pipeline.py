@@ -33,7 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = common.read(spark, sf_dir, "labels")
     docs, own = common.set_aside(docs, {f.name for f in mixing.FIELDS})
-    return mixing.realise(mixing.mix(docs, labels, F.expr(DOMAINS), TARGETS, anchor="clean", stage=False), own)
+    return mixing.realise(mixing.mix(docs, labels, F.expr(DOMAINS), TARGETS, anchor="clean", anchor_floor=1.0, stage=False), own)
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

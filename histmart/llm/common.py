@@ -21,6 +21,8 @@ HOT_SHARE = 1 / 256
 #: An Arrow batch holds about so many bytes at most (one longer row is a batch of its own).
 BATCH_BYTES = 4 << 20
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: And so many rows at most, as objects made of short rows are larger than the rows.
+BATCH_ROWS, ROWS_CONF = 2_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,6 +64,8 @@ def prepare(spark: SparkSession) -> None:
     (a cluster ships it by --py-files)."""
     if int(spark.conf.get(BATCH_CONF).rstrip("b")) > BATCH_BYTES:
         spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    if not 0 < int(spark.conf.get(ROWS_CONF)) <= BATCH_ROWS:
+        spark.conf.set(ROWS_CONF, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

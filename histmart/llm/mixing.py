@@ -10,10 +10,13 @@ rates from them, so no rate is ever stored. The step in the metric of the token
 counts has a Lipschitz constant of at most one (rows of the membership matrix
 sum to one), so the plain step converges.
 
-The total is set by an anchor domain, whose documents keep about rate one.
-``copies`` turns a rate into whole copies: its integer part, and one more if a
-hash of the id falls below the rest; a rate within ``slack`` of a whole number
-is that number.
+The total is set by an anchor domain; rates of documents whose most probable
+domain it is are fitted with the floor ``anchor_floor`` (at one, none is lost).
+``copies`` turns every rate into whole copies: its integer part, and one more if
+a hash of the id falls below the rest. The tokens of the copies are summed per
+domain and logged beside the targets, as a warning if steps run out before the
+fit reaches the targets, or if the copies miss the fit by more than the draw
+explains.
 
 The classifier is fitted on at most ``max_train`` labelled documents, those with
 the smallest hashed ids; totals and rates cover all rows.
@@ -28,6 +31,7 @@ have equal rates; columns of the result replace columns of the same name.
 
 from __future__ import annotations
 
+import logging
 import math
 from collections import Counter
 from dataclasses import dataclass
@@ -42,9 +46,12 @@ from . import common
 from .quality_rules import CLASS_OF, CONTINUATION
 
 MAX_TRAIN = 10_000
-MAX_WORDS = 300
+MAX_WORDS = 400
 #: Domains are classes of one model; a labelled table has few of them.
 MAX_DOMAINS = 200
+#: Standard deviations of the hashed draw by which realised totals may miss the fitted ones.
+DRAW_SIGMAS = 4
+LOG = logging.getLogger(__name__)
 
 
 @dataclass
@@ -120,14 +127,17 @@ def train(docs: DataFrame, labelled: DataFrame, anchor: str, doc_id: str, text:
     chosen = {r["w"].encode(): i for i, r in enumerate(top)}
 
     def shape(batch: pa.RecordBatch) -> dict:
-        return {"x": [features(t, t.split(), chosen) for t in common.encoded(batch.column("t"))]}
+        x = np.empty((batch.num_rows, CONTINUATION + 2 + len(chosen)), np.float32)
+        for i, t in enumerate(common.encoded(batch.column("t"))):
+            x[i] = features(t, t.split(), chosen)
+        return {"x": pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))}
 
     got = common.map_batches(texts, shape, [StructField("x", ArrayType(FloatType()))], ["t"], ["__domain"]).limit(2 * max_train).toArrow()
     y = np.array([names.index(d) for d in got.column("__domain").to_pylist()])
     return Model(names, chosen, fit_softmax(common.stacked(got.column("x")), y, len(names)))
 
 
-def rates(p: np.ndarray, misses: np.ndarray, floor: float = 0.0) -> np.ndarray:
+def rates(p: np.ndarray, misses: np.ndarray, floor: float | np.ndarray = 0.0) -> np.ndarray:
     """Rates of documents with memberships ``p`` after the steps whose misses are given, each projected on ``>= floor``."""
     r = np.ones(len(p))
     for m in misses:
@@ -135,28 +145,51 @@ def rates(p: np.ndarray, misses: np.ndarray, floor: float = 0.0) -> np.ndarray:
     return r
 
 
-def fit(scored: DataFrame, k: int, weights: np.ndarray, anchor: int, steps: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchored(p: np.ndarray, anchor: int | None, floor: float) -> np.ndarray:
+    """Least rate of each document: ``floor`` in the anchor domain, zero elsewhere."""
+    return floor * (p.argmax(axis=1) == (-1 if anchor is None else anchor))
+
+
+def copies_of(r: np.ndarray, u: np.ndarray) -> np.ndarray:
+    return np.floor(r) + (u < r - np.floor(r))
+
+
+def grouped(scored: DataFrame, size: int, fn) -> np.ndarray:
+    """Sum of ``fn(batch)``, a vector of ``size`` numbers, over all batches."""
+
+    def sums(batches):
+        held = np.zeros(size)
+        for batch in batches:
+            held += fn(batch)
+        yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(held)], ["at", "s"])
+
+    out = np.zeros(size)
+    for at, s in common.in_batches(scored, sums, "at int, s double").groupBy("at").agg(F.sum("s")).collect():
+        out[at] = s
+    return out
+
+
+def members(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    return batch.column("__p").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+
+
+def fit(scored: DataFrame, k: int, weights: np.ndarray, anchor: int | None, steps: int, tolerance: float,
+        floor: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Misses of every step, and reached and wanted tokens of each domain. ``scored`` holds ``n_tokens`` and ``__p``."""
 
     def totals(misses: np.ndarray) -> np.ndarray:
-        def sums(batches):
-            held = np.zeros(k)
-            for batch in batches:
-                p = batch.column("__p").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-                held += (rates(p, misses) * batch.column("n_tokens").to_numpy(zero_copy_only=False)) @ p
-            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(held)], ["at", "s"])
-
-        got = common.in_batches(scored.select("n_tokens", "__p"), sums, "at int, s double").groupBy("at").agg(F.sum("s")).collect()
-        out = np.zeros(k)
-        for at, s in got:
-            out[at] = s
-        return out
+        def sums(batch: pa.RecordBatch) -> np.ndarray:
+            p = members(batch, k)
+            return (rates(p, misses, anchored(p, anchor, floor)) * batch.column("n_tokens").to_numpy(zero_copy_only=False)) @ p
+
+        return grouped(scored.select("n_tokens", "__p"), k, sums)
 
     misses = np.zeros((0, k))
     start = reached = totals(misses)
     on = (start > 0) & ~np.isnan(weights)
     wanted = np.where(on, np.nan_to_num(weights), 0.0)
-    wanted = wanted / wanted[anchor] * start[anchor] if wanted[anchor] > 0 else start
+    at = anchor or 0
+    wanted = wanted / wanted[at] * start[at] if wanted[at] > 0 else start
     wanted = np.where(on, wanted, start)
     for _ in range(steps):
         miss = np.where(on, (reached - wanted) / np.maximum(start, 1e-12), 0.0)
@@ -167,8 +200,33 @@ def fit(scored: DataFrame, k: int, weights: np.ndarray, anchor: int, steps: int,
     return misses, reached, wanted
 
 
+def realised(drawn: DataFrame, k: int, misses: np.ndarray, anchor: int | None, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of each domain in the copies, and their standard deviation by the draw. ``drawn`` holds ``n_tokens``, ``__p``, ``__u``."""
+
+    def sums(batch: pa.RecordBatch) -> np.ndarray:
+        p, n = members(batch, k), batch.column("n_tokens").to_numpy(zero_copy_only=False).astype(float)
+        r = rates(p, misses, anchored(p, anchor, floor))
+        rest = r - np.floor(r)
+        return np.append((copies_of(r, batch.column("__u").to_numpy(zero_copy_only=False)) * n) @ p, (rest * (1 - rest) * n * n) @ (p * p))
+
+    out = grouped(drawn.select("n_tokens", "__p", "__u"), 2 * k, sums)
+    return out[:k], np.sqrt(out[k:])
+
+
+def report(domains: list[str], wanted: np.ndarray, reached: np.ndarray, got: np.ndarray, noise: np.ndarray, tolerance: float) -> None:
+    """Log the tokens of each domain: wanted, fitted, in the copies."""
+    most = tolerance * max(wanted.sum(), 1e-12)
+    said = "; ".join(f"{d}: wanted {w:.0f}, fitted {r:.0f}, copies {g:.0f}" for d, w, r, g in zip(domains, wanted, reached, got, strict=True))
+    if np.abs(reached - wanted).max() > most:
+        LOG.warning("mixing: targets not reached when the steps ran out (tokens of %s)", said)
+    elif (np.abs(got - reached) > DRAW_SIGMAS * noise + most).any():
+        LOG.warning("mixing: copies miss the fitted totals (tokens of %s)", said)
+    else:
+        LOG.info("mixing: targets reached (tokens of %s)", said)
+
+
 def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], anchor: str, doc_id: str = "doc_id",
-        text: str = "text", max_train: int = MAX_TRAIN, steps: int = 60, tolerance: float = 1e-3, slack: float = 0.05,
+        text: str = "text", max_train: int = MAX_TRAIN, steps: int = 60, tolerance: float = 1e-3, anchor_floor: float = 0.0,
         keep: list[str] | None = None, stage: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens`` (words), ``domain``, ``posteriors`` (in ``domains`` order), ``rate`` and ``copies``.
 
@@ -192,17 +250,17 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, f
     used = list(dict.fromkeys([*(docs.columns if keep is None else keep), doc_id]))
     narrow = common.cut(common.map_batches(docs, score, fields, [text], used if stage else [doc_id]))
     weights = np.array([targets.get(d, math.nan) for d in model.domains])
-    misses, _, _ = fit(narrow, k, weights, model.domains.index(anchor) if anchor in model.domains else 0, steps, tolerance)
+    at = model.domains.index(anchor) if anchor in model.domains else None
+    misses, reached, wanted = fit(narrow, k, weights, at, steps, tolerance, anchor_floor)
+    drawn = (F.pmod(F.xxhash64(common.quoted(doc_id), F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)).alias("__u")
+    report(model.domains, wanted, reached, *realised(narrow.select("n_tokens", "__p", drawn), k, misses, at, anchor_floor), tolerance)
 
     def decide(batch: pa.RecordBatch) -> dict:
-        p = batch.column("__p").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-        r = rates(p, misses)
-        near = np.abs(r - np.round(r)) <= slack
-        u = batch.column("__u").to_numpy(zero_copy_only=False)
-        copies = np.where(near, np.round(r), np.floor(r) + (u < r - np.floor(r)))
+        p = members(batch, k)
+        r = rates(p, misses, anchored(p, at, anchor_floor))
+        copies = copies_of(r, batch.column("__u").to_numpy(zero_copy_only=False))
         return {"domain": [model.domains[i] for i in p.argmax(axis=1)], "posteriors": list(p), "rate": r, "copies": copies.astype(np.int32)}
 
-    drawn = (F.pmod(F.xxhash64(common.quoted(doc_id), F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)).alias("__u")
     rows = narrow if stage else docs
     rows = rows.select("*", drawn)
     if stage:

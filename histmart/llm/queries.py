@@ -60,7 +60,7 @@ TARGETS = {"clean": 0.975, "toxic": 0.02, "junk": 0.005}
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    return mixing.mix(docs, labels, F.expr(DOMAINS), TARGETS, anchor="clean", keep=["doc_id", "source"])
+    return mixing.mix(docs, labels, F.expr(DOMAINS), TARGETS, anchor="clean", anchor_floor=1.0, keep=["doc_id", "source"])
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

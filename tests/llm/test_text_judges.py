@@ -232,6 +232,27 @@ def test_mixing_reaches_targets(spark, docs):
     assert mixing.realise(wide, ["doc_id"]).count() == sum(x["copies"] for x in out)
 
 
+def test_mixing_realises_small_rates_and_reports(spark, caplog):
+    """A domain thinned to a fiftieth keeps its share of copies, no anchor document is lost, and a miss is logged."""
+    pick = random.Random(2)
+    rows = [(i, prose("en", 60, pick) if i % 3 == 0 else junk("symbols", 60, pick), "en", "s") for i in range(3000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, "junk" if i % 3 else "good") for i in range(0, 3000, 5)], "doc_id long, kind string")
+    with caplog.at_level("INFO", "histmart.llm.mixing"):
+        out = mixing.mix(docs, labels, F.col("kind"), {"good": 0.98, "junk": 0.02}, anchor="good", tolerance=1e-4, steps=200, anchor_floor=1.0,
+                         keep=["doc_id"]).collect()
+    p, n, rate, copies = (np.array([r[c] for r in out]) for c in ("posteriors", "n_tokens", "rate", "copies"))
+    sure = p[:, 1] > 0.99
+    assert 1900 < sure.sum() < 2100 and 0 < rate[sure].max() < 0.05
+    assert copies[sure].sum() > 0 and abs(copies[sure].sum() - rate[sure].sum()) < 4 * np.sqrt(rate[sure].sum())
+    assert all(r["copies"] >= 1 for r in out if r["domain"] == "good")
+    want = n @ p[:, 0] * 0.02 / 0.98
+    assert abs((copies * n) @ p[:, 1] - want) < 4 * 60 * np.sqrt(want / 60)
+    assert "targets reached" in caplog.text and "good: wanted" in caplog.text
+    mixing.mix(docs, labels, F.col("kind"), {"good": 0.5, "junk": 0.5}, anchor="good", tolerance=1e-6, steps=0, keep=["doc_id"])
+    assert "not reached when the steps ran out" in caplog.text
+
+
 def test_mixing_replaces_clashing_columns(spark):
     rows = [(i, t, "en", "s") for i, t, *_ in corpus(30)] + [(100, None, None, None)] * 2
     docs = spark.createDataFrame(rows, DOCS).select("*", F.lit("own").alias("p"), F.lit("own").alias("n_tokens"), F.lit("own").alias("rate"))
