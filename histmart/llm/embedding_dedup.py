@@ -16,8 +16,8 @@ once; links are counted with the sizes of classes. Per compared interval only
 spanning links go on, never all pairs of a group.
 
 Defined cases: null, empty, zero and non-finite vectors link with nothing;
-vectors whose length is not the table's commonest one (the longer on a tie)
-link with nothing; a null id names no component; repeated rows are vectors of
+vectors of different lengths don't link, those of each length are joined by
+themselves; a null id names no component; repeated rows are vectors of
 one class; an empty table gives no rows.
 """
 
@@ -275,17 +275,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, vec_id: str = "vec_
                     block_rows: int = 4096) -> DataFrame:
     """``id, n_links, component_id, kept`` for every row; ``component_id`` is the smallest id reachable by links."""
     rows = keyed(vectors, vec_id, embedding)
-    sizes = rows.where("key IS NOT NULL").groupBy("size").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("size")).first()
-    dims = sizes["size"] if sizes else 0
-    own = F.when(F.col("size") == dims, F.col("key"))
-    ids = common.cut(rows.select("id", own.alias("key")))
-    classes = rows.where(F.col("size") == dims).groupBy("key").agg(
+    ids = common.cut(rows.select("id", "key"))
+    classes = rows.where("key IS NOT NULL").groupBy("size", "key").agg(
         F.min(F.col("id")).alias("first"), F.count("*").alias("n"), F.first("v").alias("v"))
     classes = common.cut(classes.withColumn("id", F.monotonically_increasing_id()))
-    if sizes:
-        found = links(classes.select("id", "n", "v"), cosine, dims, block_rows)
-    else:
-        found = classes.sparkSession.createDataFrame([], "a long, b long, w long")
+    sizes = [r["size"] for r in classes.groupBy("size").count().where("count > 1").orderBy("size").collect()]
+    found = classes.sparkSession.createDataFrame([], "a long, b long, w long")
+    for k, dims in enumerate(sizes):
+        more = links(classes.where(F.col("size") == dims).select("id", "n", "v"), cosine, dims, block_rows)
+        found = found.unionByName(more) if k else more
     counts = found.where("w IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("w"))
     tree = components(found.where("b IS NOT NULL")).select(F.col("node").alias("id"), F.col("component").alias("top"))
     placed = common.cut(classes.select("id", "key", "first", "n").join(counts, "id", "left").join(tree, "id", "left")

@@ -116,3 +116,16 @@ def test_spanning_links_of_a_matrix_keep_its_parts():
         assert len(r) <= n + m and link[r, c].all()
         nodes = [*range(n), *range(100, 100 + m)]
         assert reach(nodes, zip(r.tolist(), (c + 100).tolist())) == reach(nodes, [(i, j + 100) for i, j in np.argwhere(link).tolist()])
+
+
+def test_vectors_of_every_length_are_compared(spark):
+    """Copies and near copies of the rarer length link as those of the commoner one do."""
+    pick = random.Random(6)
+    rows = [(i, [pick.gauss(0, 1) for _ in range(8 if i % 5 < 3 else 12)]) for i in range(60)]
+    rows += [(100 + i, v if i % 2 else [x * 1.01 + 0.001 for x in v]) for i, v in rows[:20]] + [(200, [1.0, 2.0, 3.0]), (201, None)]
+    got = {r["id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    want = {}
+    for size in (0, 3, 8, 12):
+        want |= vectors([r for r in rows if len(r[1] or []) == size])
+    assert got == want and all(got[100 + i][0] >= 1 for i in range(20))
