@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
 
 #: A side of a join is broadcast only if it was counted and has at most so many rows.
 BROADCAST_ROWS = 100_000
@@ -34,6 +35,17 @@ def cut(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def table(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet into the shared checkpoint folder and read again: columnar and compressed, for
+    what is large or read in parts. The files go when the session ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def attach(left: DataFrame, right: DataFrame, key: str, weight: str, how: str = "inner",
            max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``right`` (one row per ``key``, already computed; ``weight`` = its rows in ``left``) to ``left``.
@@ -138,6 +150,20 @@ def encoded(col: pa.Array) -> list[bytes]:
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
+#: ASCII but for letters becomes a space, capital letters small ones; other bytes stay.
+LETTERS = bytes(32 if not (65 <= b <= 90 or 97 <= b <= 122 or b >= 128) else b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def letter_runs(text: bytes, piece: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Runs of ASCII letters (made small) and of characters beyond ASCII, in lists of about ``piece`` bytes of text."""
+    text, at = text.translate(LETTERS), 0
+    while at < len(text):
+        end = text.find(b" ", at + piece)
+        end = len(text) if end < 0 else end
+        yield text[at:end].split()
+        at = end
+
+
 def stacked(col: pa.ChunkedArray) -> np.ndarray:
     """Lists of one length as a matrix."""
     flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in col.chunks] or [np.zeros(0)])

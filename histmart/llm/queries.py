@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: production parameters over whole tables."""
+"""Registered queries of the operators: production parameters over whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, embedding_dedup, html_extract, language_id, mixing, quality_classifier, quality_rules, simhash, token_counts
+from . import byte_bpe, chat_format, embedding_dedup, html_extract, language_id, mixing, quality_classifier, quality_rules, simhash, source_audit, spelling, token_counts, toxicity
 from .common import read
 
 
@@ -193,6 +193,55 @@ SELECT page_id, url, array_to_string(blocks, chr(10)) AS text, CAST(length(array
 """
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted", F.col("evidence.id").alias("nearest"))
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read(spark, sf_dir, "documents"))
+
+
+#: Every term of every pair of sources; for small tables.
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found FROM documents),
+w AS (
+  SELECT id, lang, source, translate(unnest(found), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+own AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(l.v, 0) AS v, coalesce((SELECT sum(n) FROM own o WHERE o.lang = g.lang AND o.source = g.source), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs l USING (lang)),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(o.n, 0) + 2)) // (g.total + 2 * g.v) AS p
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+over AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM (SELECT s.*, 1 + (1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v) AS q
+        FROM shares s JOIN kept k USING (lang, term) JOIN langs l USING (lang) WHERE s.n > 0) WHERE p > q),
+ranked AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM every
+  UNION ALL
+  SELECT 'term', *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM over QUALIFY
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= 10)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+"""
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -205,8 +254,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_chat_format": op9_chat_format,
         "op10_html_extract": op10_html_extract,
+        "op11_toxicity": op11_toxicity,
+        "op12_source_audit": op12_source_audit,
+        "op13_spelling": op13_spelling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_embedding_dedup": OP5_SQL, "op8_quality_rules": op8_sql(), "op9_chat_format": OP9_SQL, "op10_html_extract": OP10_SQL}
+    return {"op5_embedding_dedup": OP5_SQL, "op8_quality_rules": op8_sql(), "op9_chat_format": OP9_SQL, "op10_html_extract": OP10_SQL,
+            "op12_source_audit": OP12_SQL}
