@@ -30,7 +30,7 @@ from ..sources import extract
 from ..sources.landing import file_exists, read_landing, split_malformed
 from ..session import cut_lineage
 from . import publish
-from .publish import BATCH, OP_DAY, REPORT_DT, Warehouse
+from .publish import BATCH, OP_DAY, REPORT_DT, View, Warehouse
 
 DIM_SCHEMAS = {"accounts": DIM_ACCOUNTS, "cards": DIM_CARDS, "clients": DIM_CLIENTS,
                "terminals": DIM_TERMINALS}
@@ -40,6 +40,13 @@ FILE_NAMES = {"transactions": "transactions_{d}.txt", "terminals": "terminals_{d
               "blacklist": "passport_blacklist_{d}.csv"}
 
 
+MART = T.StructType([T.StructField(n, t) for n, t in zip(rules.MART_COLUMNS, (
+    T.TimestampNTZType(), T.StringType(), T.StringType(), T.StringType(), T.ShortType(), T.DateType()), strict=True)])
+FACT_TRANSACTIONS = T.StructType([
+    *(T.StructField(n, t) for n, t in (("trans_id", T.StringType()), ("trans_date", T.TimestampNTZType()), ("card_num", T.StringType()),
+                                       ("terminal", T.StringType()), (REPORT_DT, T.DateType()), (OP_DAY, T.DateType())))])
+
+
 class EmptySnapshotError(ValueError):
     pass
 
@@ -60,7 +67,8 @@ class BatchConfig:
     valid_through_end_of_day: bool = False  # Q15: a contract holds through its last day
     lookback: bool = False           # Q16: city changes across midnight count
     archive: str | None = None       # where handled landing files are moved
-    keep_current: int | None = None  # retention of old current copies, in batches
+    keep_current: int | None = None  # retention of current rows, in batches that name them
+    buckets: int = publish.BUCKETS   # of each dimension's current rows; fixed for a warehouse
 
 
 def landing_file(cfg: BatchConfig, kind: str, report_dt: date, spark: SparkSession | None = None) -> str:
@@ -92,33 +100,56 @@ def _source_delta(src: DataFrame, spec: DimensionSpec, wm, schema: T.StructType
     return delta, extract.key_snapshot(snap, spec.key)
 
 
-def _read_meta(spark: SparkSession, wh: Warehouse, prev, schema_name: str) -> DataFrame:
-    seed = extract.seed_meta(spark, [ACCOUNTS.name, CARDS.name, CLIENTS.name], schema_name)
-    if prev is None:
-        return seed
-    m = publish.read_table(spark, wh.meta)
+def _read_meta(spark: SparkSession, wh: Warehouse, base: View, schema_name: str) -> DataFrame:
+    m = publish.read_table(spark, wh, wh.meta, base)
     if m is None:
-        return seed
-    return m.where(F.col(BATCH) == date_lit(prev)).select(*META.fieldNames())
+        return extract.seed_meta(spark, [ACCOUNTS.name, CARDS.name, CLIENTS.name], schema_name)
+    return m.where(F.col(BATCH) == date_lit(base.batch)).select(*META.fieldNames())
+
+
+def changed_buckets(wh: Warehouse, held: dict, spec: DimensionSpec, delta: DataFrame, live: DataFrame | None) -> set[int]:
+    """Buckets a batch can change: those with a delta row, and those where the source's keys have another digest than
+    the current rows (S5, S6: a key is gone). For a whole snapshot as delta (``live`` None) those where whole rows differ.
+
+    Number and two hashes of a bucket's keys must agree to leave it out; a source that repeats
+    keys has another digest, so its buckets are compared row by row."""
+    if live is None:
+        return publish.touched_buckets(publish.digests(delta, [spec.key, *spec.attrs], spec.key, wh.buckets),
+                                       {k: h.rows for k, h in held.items()})
+    return publish.touched_buckets(publish.digests(live, [spec.key], spec.key, wh.buckets), {k: h.keys for k, h in held.items()}) \
+        | publish.buckets_with(delta, spec.key, wh.buckets)
+
 
+def update_dimension(spark: SparkSession, wh: Warehouse, view: View, base: View, held: dict, spec: DimensionSpec, schema: T.StructType,
+                     delta: DataFrame, live: DataFrame | None, close_tombstone: bool = False, **times) -> dict:
+    """D1-D5 on the buckets a batch can change (W4, W5 copy-on-write); returns the dimension's buckets after it.
 
-def load_dimensions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_dt: date,
-                    run_ts: datetime, prev) -> None:
+    Only these buckets' current rows, delta rows and live keys are read, joined and written."""
+    touched = changed_buckets(wh, held, spec, delta, live)
+    here = publish.bucket_of(spec.key, wh.buckets).isin(list(touched))
+    hist = publish.read_current(spark, wh, spec.name, base, schema, held, touched)
+    keys = delta.select(spec.key) if live is None else live
+    versions = scd2.scd2_versions(hist, delta.where(here), keys.where(here), key=spec.key, attrs=spec.attrs,
+                                  close_tombstone=close_tombstone, check_unique=True, **times)
+    return publish.write_versions(spark, wh, spec.name, view, versions, spec.key, spec.attrs, held, touched, close_tombstone)
+
+
+def load_dimensions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, view: View, base: View, run_ts: datetime) -> dict:
     """D1-D5 for the three source dimensions and the terminal snapshot; the
-    watermarks advance only after the dimension they belong to is written."""
-    run = ts_lit(run_ts)
-    meta = _read_meta(spark, wh, prev, cfg.schema_name)
+    watermarks advance only after the dimension they belong to is written.
+    Returns every dimension's buckets after the batch."""
+    run, report_dt = ts_lit(run_ts), view.batch
+    meta = _read_meta(spark, wh, base, cfg.schema_name)
+    held = publish.bucket_map(spark, wh, base)
+
     for spec in (ACCOUNTS, CARDS, CLIENTS):
         wm = extract.read_watermark(meta, cfg.schema_name, spec.name)
         delta, live = _source_delta(cfg.sources[spec.name], spec, wm, stage=cut_lineage)
-        _quarantine_null_keys(wh, spec, delta, report_dt)
-        hist = publish.read_current(spark, wh, spec.name, prev, DIM_SCHEMAS[spec.name])
+        _quarantine_null_keys(wh, spec, delta, view)
         ef, ec = scd2.dimension_times(spec.created, spec.updated, run)
-        versions = scd2.scd2_versions(hist, delta, live, key=spec.key, attrs=spec.attrs,
-                                      eff_from=ef, eff_change=ec, delete_ts=run,
-                                      drop_dead_delta=cfg.drop_dead_delta,
-                                      close_tombstone=cfg.close_tombstone, check_unique=True)
-        publish.write_versions(versions, wh, spec.name, report_dt, cfg.close_tombstone)
+        held[spec.name] = update_dimension(spark, wh, view, base, held.get(spec.name, {}), spec, DIM_SCHEMAS[spec.name], delta, live,
+                                           eff_from=ef, eff_change=ec, delete_ts=run, drop_dead_delta=cfg.drop_dead_delta,
+                                           close_tombstone=cfg.close_tombstone)
         meta = watermark.update_meta(meta, delta, cfg.schema_name, spec.name)
 
     # terminals: the daily file is a full snapshot; every time is the batch date
@@ -126,29 +157,29 @@ def load_dimensions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report
                                       sep=cfg.list_sep, with_batch_date=False))
     term, lines = split_malformed(landed)
     term = term.select(*[rtrim_char(c).alias(c) for c in TERMINALS_TXT.fieldNames()])
-    _quarantine_null_keys(wh, TERMINALS, term, report_dt, lines)
+    _quarantine_null_keys(wh, TERMINALS, term, view, lines)
     if not cfg.allow_empty_terminals and not term.where(F.col(TERMINALS.key).isNotNull()).limit(1).collect():
         raise EmptySnapshotError("empty terminal snapshot would delete every terminal")
     day = ts_lit(datetime(report_dt.year, report_dt.month, report_dt.day))
-    hist = publish.read_current(spark, wh, TERMINALS.name, prev, DIM_TERMINALS)
-    versions = scd2.scd2_versions(hist, term, term.select(TERMINALS.key), key=TERMINALS.key,
-                                  attrs=TERMINALS.attrs, eff_from=day, eff_change=day,
-                                  delete_ts=day, close_tombstone=cfg.close_tombstone, check_unique=True)
-    publish.write_versions(versions, wh, TERMINALS.name, report_dt, cfg.close_tombstone)
-    publish.write_leaf(meta, wh.meta, BATCH, report_dt, small=True)
+    held[TERMINALS.name] = update_dimension(spark, wh, view, base, held.get(TERMINALS.name, {}), TERMINALS, DIM_TERMINALS, term, None,
+                                            eff_from=day, eff_change=day, delete_ts=day, close_tombstone=cfg.close_tombstone)
+    publish.write_leaf(meta, wh.meta, BATCH, view, small=True)
+    publish.write_bucket_map(spark, wh, view, held)
+    return held
 
 
-def _quarantine_null_keys(wh: Warehouse, spec: DimensionSpec, rows: DataFrame, report_dt: date,
+def _quarantine_null_keys(wh: Warehouse, spec: DimensionSpec, rows: DataFrame, view: View,
                           lines: DataFrame | None = None) -> None:
     """Q13: rows without a key, and malformed lines, are kept aside."""
     bad = scd2.null_keys(rows, spec.key).withColumn("reason", F.lit("missing key"))
     if lines is not None:
         bad = bad.unionByName(lines.withColumn("reason", F.lit("malformed line")), allowMissingColumns=True)
-    publish.write_leaf(bad, wh.quarantine(spec.name), REPORT_DT, report_dt, small=True)
+    publish.write_leaf(bad, wh.quarantine(spec.name), REPORT_DT, view, small=True)
 
 
-def load_blacklist(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_dt: date) -> None:
+def load_blacklist(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, view: View, base: View) -> None:
     """K2: the batch date's slice of the cumulative list."""
+    report_dt = view.batch
     landed = cut_lineage(read_landing(spark, landing_file(cfg, "blacklist", report_dt, spark), BLACKLIST_TXT,
                                       sep=cfg.list_sep, with_batch_date=False))
     rows, lines = split_malformed(landed)
@@ -159,39 +190,38 @@ def load_blacklist(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_
     ok = F.col("entry_dt").isNotNull() & F.col("passport_num").isNotNull()
     loaded = None
     if cfg.catch_up:
-        loaded = publish.read_table(spark, wh.fact("passport_blacklist"), FACT_BLACKLIST)
-        if REPORT_DT in loaded.columns:
-            loaded = loaded.where(F.col(REPORT_DT) < date_lit(report_dt)).select(*FACT_BLACKLIST.fieldNames())
+        loaded = publish.read_table(spark, wh, wh.fact("passport_blacklist"), base, FACT_BLACKLIST).select(*FACT_BLACKLIST.fieldNames())
     new = facts.append_slice(typed.where(ok).drop("entry_dt_text"), "entry_dt", report_dt,
                              loaded=loaded, catch_up=cfg.catch_up)
-    publish.write_leaf(new, wh.fact("passport_blacklist"), REPORT_DT, report_dt)
+    publish.write_leaf(new, wh.fact("passport_blacklist"), REPORT_DT, view)
     bad = typed.where(~ok).select("passport_num", "entry_dt_text", F.lit("bad entry").alias("reason"))
     publish.write_leaf(bad.unionByName(lines.withColumn("reason", F.lit("malformed line")), allowMissingColumns=True),
-                       wh.quarantine("passport_blacklist"), REPORT_DT, report_dt, small=True)
+                       wh.quarantine("passport_blacklist"), REPORT_DT, view, small=True)
 
 
 class RowCountError(ValueError):
     pass
 
 
-def load_transactions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, report_dt: date) -> dict:
-    """K1: typed append of new operations; returns where every line went."""
-    path = landing_file(cfg, "transactions", report_dt, spark)
+def load_transactions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, view: View, base: View) -> dict:
+    """K1: typed append of new operations; returns where every line went.
+
+    Known are the operations of the finished batches this one stands on: neither its own earlier attempts, nor
+    later or unfinished batches (so a re-run leaves what a first run would)."""
+    path = landing_file(cfg, "transactions", view.batch, spark)
     stg = read_landing(spark, path, TRANSACTIONS_TXT, sep=cfg.tx_sep, with_batch_date=False)
     parsed = cut_lineage(facts.parse_transactions(stg))
-    fact = publish.read_table(spark, wh.fact("transactions"))
-    if fact is not None:  # a re-run must not see its own earlier output
-        fact = fact.where(F.col(REPORT_DT) != date_lit(report_dt)).select("trans_id")
+    fact = publish.read_table(spark, wh, wh.fact("transactions"), base)
     fresh, bad = facts.append_new(parsed, None, dedupe=cfg.dedupe_transactions, parse=lambda df: df)
     fresh = cut_lineage(fresh)
-    new = fresh if fact is None else facts.new_rows(fresh, fact, "trans_id", prune=True)
-    publish.write_leaf(new.withColumn(OP_DAY, day_of("trans_date")), wh.fact("transactions"), REPORT_DT, report_dt,
+    new = fresh if fact is None else facts.new_rows(fresh, fact.select("trans_id"), "trans_id", prune=True)
+    publish.write_leaf(new.withColumn(OP_DAY, day_of("trans_date")), wh.fact("transactions"), REPORT_DT, view,
                        partition_by=OP_DAY, sort_by="trans_date")
-    publish.write_leaf(bad, wh.quarantine("transactions"), REPORT_DT, report_dt, small=True)
+    publish.write_leaf(bad, wh.quarantine("transactions"), REPORT_DT, view, small=True)
 
     def written(table: str) -> int:
-        df = publish.read_table(spark, table)
-        return 0 if df is None else df.where(F.col(REPORT_DT) == date_lit(report_dt)).count()
+        df = publish.own_rows(spark, table, REPORT_DT, view)
+        return 0 if df is None else df.count()
 
     lines = spark.read.text(path).where(F.trim("value") != "").count() - 1  # the header
     unique, loaded, quarantined = fresh.count(), written(wh.fact("transactions")), written(wh.quarantine("transactions"))
@@ -202,20 +232,19 @@ def load_transactions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, repo
     return counts
 
 
-def build_reports(spark: SparkSession, wh: Warehouse, report_dt: date, through_day: bool = False,
+def build_reports(spark: SparkSession, wh: Warehouse, view: View, held: dict | None = None, through_day: bool = False,
                   lookback: bool = False) -> DataFrame:
     """R1-R3 for the batch date on the dimensions as of this batch: only the
-    day's partitions of the fact, only the profiles of the cards in them."""
-    cur = {n: publish.read_current(spark, wh, n, report_dt, s) for n, s in DIM_SCHEMAS.items()}
-    bl = publish.read_table(spark, wh.fact("passport_blacklist"), FACT_BLACKLIST)
-    if REPORT_DT in bl.columns:
-        bl = bl.where(F.col(REPORT_DT) <= date_lit(report_dt))
-    tx = publish.read_table(spark, wh.fact("transactions"))
-    if tx is None:
-        tx = spark.createDataFrame([], "trans_id string, trans_date timestamp_ntz, card_num string, terminal string, "
-                                       f"{REPORT_DT} date, {OP_DAY} date")
+    day's partitions of the fact, only the profiles of the cards in them.
+
+    ``held``: the buckets of an attempt that is not finished yet."""
+    report_dt = view.batch
+    held = publish.bucket_map(spark, wh, view) if held is None else held
+    cur = {n: publish.read_current(spark, wh, n, view, s, held.get(n, {})) for n, s in DIM_SCHEMAS.items()}
+    bl = publish.read_table(spark, wh, wh.fact("passport_blacklist"), view, FACT_BLACKLIST)
+    tx = publish.read_table(spark, wh, wh.fact("transactions"), view, FACT_TRANSACTIONS)
     first = report_dt - timedelta(days=int(lookback))
-    tx = tx.where((F.col(REPORT_DT) <= date_lit(report_dt)) & F.col(OP_DAY).between(date_lit(first), date_lit(report_dt))) \
+    tx = tx.where(F.col(OP_DAY).between(date_lit(first), date_lit(report_dt))) \
         .select("trans_id", "trans_date", "card_num", "terminal")
     cards = cur["cards"].join(tx.select("card_num").distinct(), "card_num", "left_semi")
     profile = rules.card_profile(cards, cur["accounts"], cur["clients"], bl.select("passport_num", "entry_dt"))
@@ -223,23 +252,34 @@ def build_reports(spark: SparkSession, wh: Warehouse, report_dt: date, through_d
 
 
 def run_batch(spark: SparkSession, cfg: BatchConfig, report_dt: date, run_ts: datetime) -> dict:
-    """Run (or re-run) the batch of ``report_dt``; returns the paths written."""
-    wh = Warehouse(cfg.warehouse)
-    prev = publish.previous_batch(spark, wh, report_dt)
-    load_dimensions(spark, cfg, wh, report_dt, run_ts, prev)
-    load_blacklist(spark, cfg, wh, report_dt)
-    counts = load_transactions(spark, cfg, wh, report_dt)
-    mart = build_reports(spark, wh, report_dt, cfg.valid_through_end_of_day, cfg.lookback)
-    publish.write_leaf(mart, wh.mart, REPORT_DT, report_dt, small=True)
-    publish.log_batch(spark, wh, report_dt, run_ts, counts)
+    """Run (or re-run) the batch of ``report_dt``; returns the paths written.
+
+    All tables are written into the folders of a new attempt; the log row commits them at once."""
+    wh = Warehouse(cfg.warehouse, cfg.buckets)
+    base = publish.finished_view(spark, wh, before=report_dt)
+    view = publish.begin(spark, wh, report_dt, base)
+    held = load_dimensions(spark, cfg, wh, view, base, run_ts)
+    load_blacklist(spark, cfg, wh, view, base)
+    counts = load_transactions(spark, cfg, wh, view, base)
+    mart = build_reports(spark, wh, view, held, cfg.valid_through_end_of_day, cfg.lookback)
+    publish.write_leaf(mart, wh.mart, REPORT_DT, view, small=True)
+    publish.commit(spark, wh, view, run_ts, counts)
     if cfg.keep_current is not None:
         for name in DIM_SCHEMAS:
             publish.drop_old_current(spark, wh, name, cfg.keep_current)
-    return {"previous_batch": prev, "mart": wh.mart, "warehouse": wh.root, "counts": counts}
+    return {"previous_batch": base.batch, "mart": wh.mart, "warehouse": wh.root, "counts": counts}
+
+
+def tables(wh: Warehouse) -> list[str]:
+    """The folders of all tables but the log (for ``publish.remove_unused``)."""
+    names = (*DIM_SCHEMAS, "transactions", "passport_blacklist")
+    return [*map(wh.dim, DIM_SCHEMAS), *map(wh.fact, names[-2:]), *map(wh.quarantine, names), wh.mart, wh.meta, wh.bucket_table]
 
 
 def read_mart(spark: SparkSession, warehouse: str, report_dt: date | None = None) -> DataFrame:
-    m = spark.read.parquet(Warehouse(warehouse).mart)
+    """The mart of all finished batches, or of one; a batch that is not finished has no rows."""
+    wh = Warehouse(warehouse)
+    m = publish.read_table(spark, wh, wh.mart, publish.finished_view(spark, wh, report_dt), MART)
     if report_dt is not None:
         m = m.where(F.col(REPORT_DT) == date_lit(report_dt))
     return m.select("event_dt", "passport", "fio", "phone",

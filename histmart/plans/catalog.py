@@ -9,6 +9,7 @@ the literal five-statement semantics, the rule oracles use the correlated
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import functions as F
@@ -22,9 +23,10 @@ from ..session import checkpoint_dir
 from ..sources import extract
 from ..sources import testdata as td
 from ..sources.landing import read_landing
-from . import publish
+from . import batch, publish
 from .publish import Warehouse
 
+_SCD_SPEC = td.ORDER_ACCOUNTS
 KEY = td.ORDER_ACCOUNTS.key
 ATTRS = list(td.ORDER_ACCOUNTS.attrs)
 RUN_FOR_SCALARS = "2024-02-01 03:27:00"
@@ -269,18 +271,64 @@ def q_s7_landing_load(spark, d):
     return good
 
 
-def q_w8_published_history(spark, d):
-    """Two published batches, the second one twice with other input at first; the history read back."""
+def _publish_first(spark, d):
+    """A warehouse whose one finished batch holds the history before the changes."""
     hist, delta, live = _scd_inputs(spark, d)
+    wh = Warehouse(_scratch(spark))
+    view = publish.begin(spark, wh, td.SCD_T0[:10])
+    held = {_SCD_SPEC.name: publish.write_versions(spark, wh, _SCD_SPEC.name, view, hist, KEY, ATTRS)}
+    publish.write_bucket_map(spark, wh, view, held)
+    publish.commit(spark, wh, view, td.parse_ts(td.SCD_T0))
+    return wh, hist.schema, delta, live
+
+
+def _publish_second(spark, wh, schema, delta, live, finish=True):
     ef, ec, run = _scd_times()
-    wh, before, batch = Warehouse(_scratch(spark)), td.SCD_T0[:10], td.SCD_T1[:10]
-    name, schema = td.ORDER_ACCOUNTS.name, hist.schema
-    publish.write_versions(hist, wh, name, before)
-    publish.write_versions(hist.limit(100), wh, name, batch)
-    prev = publish.read_current(spark, wh, name, before, schema)
-    publish.write_versions(scd2.scd2_versions(prev, delta, live, key=KEY, attrs=ATTRS, eff_from=ef, eff_change=ec,
-                                              delete_ts=run), wh, name, batch)
-    return publish.read_history(spark, wh, name, batch, schema)
+    base = publish.finished_view(spark, wh, before=td.SCD_T1[:10])
+    view = publish.begin(spark, wh, td.SCD_T1[:10], base)
+    held = publish.bucket_map(spark, wh, base)[_SCD_SPEC.name]
+    held = batch.update_dimension(spark, wh, view, base, held, _SCD_SPEC, schema, delta, live, eff_from=ef, eff_change=ec, delete_ts=run)
+    publish.write_bucket_map(spark, wh, view, {_SCD_SPEC.name: held})
+    if finish:
+        publish.commit(spark, wh, view, td.parse_ts(td.SCD_RUN_TS))
+
+
+def q_w8_published_history(spark, d):
+    """Two published batches, the second one begun with other input at first; the history read back."""
+    wh, schema, delta, live = _publish_first(spark, d)
+    _publish_second(spark, wh, schema, delta.limit(100), live, finish=False)
+    _publish_second(spark, wh, schema, delta, live)
+    return publish.read_history(spark, wh, _SCD_SPEC.name, td.SCD_T1[:10], schema)
+
+
+def q_w8_crash_rerun(spark, d):
+    """What a reader of the newest state sees: after the first batch, after a crash of the second, after
+    its run, and after a crash of its re-run with other input."""
+    wh, schema, delta, live = _publish_first(spark, d)
+
+    def seen(step):
+        df = publish.read_history(spark, wh, _SCD_SPEC.name, publish.finished_view(spark, wh), schema)
+        return df.select(F.lit(step).alias("step"), *df.columns)
+
+    steps = [seen("first")]
+    _publish_second(spark, wh, schema, delta, live, finish=False)
+    steps.append(seen("crash"))
+    _publish_second(spark, wh, schema, delta, live)
+    steps.append(seen("second"))
+    _publish_second(spark, wh, schema, delta.where(F.col("status") != "F"), live, finish=False)
+    steps.append(seen("crashed re-run"))
+    return functools.reduce(lambda a, b: a.unionByName(b), steps)
+
+
+def q_j5_digest_deleted_keys(spark, d):
+    """Deleted keys found in the buckets alone whose key digest differs from the source's."""
+    wh, schema, _, live = _publish_first(spark, d)
+    held = publish.bucket_map(spark, wh, publish.finished_view(spark, wh))[_SCD_SPEC.name]
+    keys = {k: h.keys for k, h in held.items()}
+    touched = publish.touched_buckets(publish.digests(live, [KEY], KEY, wh.buckets), keys)
+    hist = publish.read_current(spark, wh, _SCD_SPEC.name, publish.finished_view(spark, wh), schema, held, touched)
+    live = live.where(publish.bucket_of(KEY, wh.buckets).isin(list(touched)))
+    return scd2.deleted_keys(hist, live, KEY).select(KEY, *ATTRS, EFF_FROM)
 
 
 QUERIES = {
@@ -315,6 +363,8 @@ QUERIES = {
     "s4_watermark_read": q_s4_watermark_read,
     "s7_landing_load": q_s7_landing_load,
     "w8_published_history": q_w8_published_history,
+    "w8_crash_rerun": q_w8_crash_rerun,
+    "j5_digest_deleted_keys": q_j5_digest_deleted_keys,
 }
 
 
@@ -571,9 +621,9 @@ WHERE patronymic_old IS DISTINCT FROM patronymic_new OR passport_valid_to_old IS
     "j1_new_keys_anti": _with("""
 SELECT stg.account_num, stg.priority, stg.status, stg.create_dt, stg.update_dt
 FROM stg LEFT JOIN cur0 t ON stg.account_num = t.account_num WHERE t.account_num IS NULL""", _SCD),
-    "j5_deleted_keys": _with("""
+    **dict.fromkeys(("j5_deleted_keys", "j5_digest_deleted_keys"), _with("""
 SELECT t.account_num, t.priority, t.status, t.effective_from
-FROM cur0 t LEFT JOIN live s ON s.account_num = t.account_num WHERE s.account_num IS NULL""", _SCD),
+FROM cur0 t LEFT JOIN live s ON s.account_num = t.account_num WHERE s.account_num IS NULL""", _SCD)),
     "d1_scd2_insert": _with("SELECT * FROM d1", _SCD),
     "d2_scd2_close_changed": _with("SELECT * FROM d2", _SCD),
     "d3_scd2_new_version": _with("SELECT * FROM d3", _SCD),
@@ -617,6 +667,9 @@ SELECT s.account_num, s.priority, s.status, s.create_dt, s.update_dt, m.mark
 FROM src1 s, (SELECT coalesce(max(CASE WHEN n > 1 THEN last_dt END), max(create_dt)) AS mark FROM o0 WHERE rn_last = 1) m
 WHERE (s.update_dt IS NULL AND s.create_dt > m.mark) OR s.update_dt > m.mark""", _SCD),
     "w8_published_history": _with("SELECT * FROM hist1", _SCD),
+    "w8_crash_rerun": _with("""
+SELECT 'first' AS step, * FROM hist0 UNION ALL SELECT 'crash', * FROM hist0
+UNION ALL SELECT 'second', * FROM hist1 UNION ALL SELECT 'crashed re-run', * FROM hist1""", _SCD),
     "k2_slice_append": _with(f"SELECT passport_num, entry_dt FROM blacklist WHERE entry_dt = {RDAY}",
                              _DOMAIN),
     "f_scalars": _with(f"""

@@ -63,8 +63,7 @@ def dates_present(spark: SparkSession, folder: str) -> set:
 
 
 def finished_dates(spark: SparkSession, warehouse: str) -> set:
-    log = publish.read_table(spark, publish.Warehouse(warehouse).log)
-    return set() if log is None else {r[0] for r in log.select(publish.BATCH).collect()}
+    return set(publish.finished_batches(spark, publish.Warehouse(warehouse)))
 
 
 def run_ready(spark: SparkSession, cfg: BatchConfig, seen: set,

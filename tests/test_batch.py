@@ -23,6 +23,10 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select(*catalog.rules.MART_COLUMNS).collect())
 
 
+def _table(spark, wh, name):
+    return publish.read_table(spark, wh, wh.fact(name))
+
+
 @pytest.fixture(scope="module")
 def warehouse(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("wh")
@@ -47,23 +51,23 @@ def test_rerun_is_noop(spark, warehouse):
     d = DAYS[1]
     wh = publish.Warehouse(warehouse.warehouse)
     before_mart = _rows(batch.read_mart(spark, warehouse.warehouse, d))
-    before_fact = spark.read.parquet(wh.fact("transactions")).count()
-    before_dim = sorted(map(tuple, spark.read.parquet(wh.dim("clients")).collect()))
+    before_fact = _table(spark, wh, "transactions").count()
+    before_dim = sorted(map(tuple, publish.read_history(spark, wh, "clients", d, batch.DIM_CLIENTS).collect()))
     batch.run_batch(spark, warehouse, d, _run_ts(d))
     assert _rows(batch.read_mart(spark, warehouse.warehouse, d)) == before_mart
-    assert spark.read.parquet(wh.fact("transactions")).count() == before_fact
-    assert sorted(map(tuple, spark.read.parquet(wh.dim("clients")).collect())) == before_dim
+    assert _table(spark, wh, "transactions").count() == before_fact
+    assert sorted(map(tuple, publish.read_history(spark, wh, "clients", d, batch.DIM_CLIENTS).collect())) == before_dim
 
 
 def test_facts_and_watermarks(spark, warehouse):
     wh = publish.Warehouse(warehouse.warehouse)
-    f = spark.read.parquet(wh.fact("transactions"))
+    f = _table(spark, wh, "transactions")
     ev = spark.read.parquet(f"{SF}/events.parquet")
     for d in DAYS:
         n = ev.where(F.to_date("ts") == F.lit(d.isoformat()).cast("date")).count()
         assert f.where(F.col("report_dt") == F.lit(d.isoformat()).cast("date")).count() == n
     assert f.where(F.col("trans_id").startswith("0")).count() == f.count()  # zeros kept
-    meta = spark.read.parquet(wh.meta).where(F.col("batch_dt") == F.lit("2024-01-02").cast("date"))
+    meta = publish.read_table(spark, wh, wh.meta).where(F.col("batch_dt") == F.lit("2024-01-02").cast("date"))
     assert {r.max_update_dt for r in meta.collect()} == {datetime(2020, 1, 1)}
 
 
@@ -80,7 +84,7 @@ def test_source_change_becomes_version(spark, warehouse, tmp_path):
     old = date.fromordinal(date(2024, 1, 1).toordinal() + 7 * nk)
     assert got == [(old, datetime(2020, 1, 1), datetime(2024, 1, 1, 12), "N"),
                    (date(2030, 1, 1), datetime(2024, 1, 2, 12), datetime(9999, 12, 31), "N")]
-    meta = spark.read.parquet(wh.meta).where(F.col("batch_dt") == F.lit("2024-01-03").cast("date"))
+    meta = publish.read_table(spark, wh, wh.meta).where(F.col("batch_dt") == F.lit("2024-01-03").cast("date"))
     marks = {r.table_name: r.max_update_dt for r in meta.collect()}
     assert marks["clients"] == datetime(2024, 1, 2, 12)
 
@@ -176,7 +180,7 @@ def _contents(spark, cfg):
     paths += [wh.quarantine(n) for n in ("transactions", "passport_blacklist", "clients", "terminals")] + [wh.mart, wh.meta]
     out = {}
     for p in paths:
-        df = publish.read_table(spark, p)
+        df = publish.read_table(spark, wh, p)
         out[p.removeprefix(cfg.warehouse)] = [] if df is None else sorted(str(sorted(r.asDict().items())) for r in df.collect())
     return out
 
@@ -273,11 +277,14 @@ def test_options_catch_up_tombstones_retention(spark, tmp_path):
         (datetime(2020, 1, 1), gone - timedelta(days=1), "N"),
         (gone, datetime(2024, 1, 2, 12), "Y"),
         (datetime(2024, 1, 3, 12), datetime(9999, 12, 31), "N")]
-    listed = spark.read.parquet(wh.fact("passport_blacklist"))
+    listed = _table(spark, wh, "passport_blacklist")
     whole = [ln for ln in (landing / "passport_blacklist_03012024.csv").read_text().splitlines()[1:]]
     assert listed.count() == len(whole) == listed.distinct().select("passport_num").count()
-    kept = {r[0] for r in spark.read.parquet(wh.dim("cards")).where("state = 'current'").select("batch_dt").distinct().collect()}
-    assert kept == set(days[1:])
+    where = lambda name: {(r.batch_dt, r.bucket) for r in spark.read.parquet(wh.dim(name)).where("state = 'current'")
+                          .select("batch_dt", "bucket").distinct().collect()}
+    assert {d for d, _ in where("cards")} == {days[0]}  # never changed: still named where they were first written
+    k = next(iter({b for d, b in where("clients") if d == days[2]}))
+    assert (days[0], k) not in where("clients") and (days[1], k) in where("clients")  # two batches are kept
 
 
 def test_stream_waits_for_a_complete_date_and_cascades(spark, tmp_path):
@@ -292,8 +299,7 @@ def test_stream_waits_for_a_complete_date_and_cascades(spark, tmp_path):
         q = landing_stream(spark, cfg, checkpoint=str(tmp_path / "ckpt"), archive_dir=str(tmp_path / "archive"), run_ts_for=_run_ts)
         q.awaitTermination(600)
         assert q.exception() is None
-        log = publish.read_table(spark, publish.Warehouse(cfg.warehouse).log)
-        return [] if log is None else sorted(r.report_dt for r in log.collect())
+        return publish.finished_batches(spark, publish.Warehouse(cfg.warehouse))
 
     assert go() == [] and (landing / "transactions_02012024.txt").exists()  # split arrival: nothing runs or moves
     (held / "terminals_02012024.csv").rename(landing / "terminals_02012024.csv")
@@ -304,9 +310,10 @@ def test_stream_waits_for_a_complete_date_and_cascades(spark, tmp_path):
     assert _contents(spark, cfg) == straight
     tx = landing / "transactions_01012024.txt"  # one file dropped again, its siblings are archived
     tx.write_text("\n".join((tmp_path / "archive" / tx.name).read_text().splitlines()[:-1]) + "\n")
-    before = spark.read.parquet(publish.Warehouse(cfg.warehouse).fact("transactions")).count()
+    wh = publish.Warehouse(cfg.warehouse)
+    before = _table(spark, wh, "transactions").count()
     assert go() == [d1, d2] and not tx.exists()
-    assert spark.read.parquet(publish.Warehouse(cfg.warehouse).fact("transactions")).count() == before - 1
+    assert _table(spark, wh, "transactions").count() == before - 1
 
 
 def _all_files(base):
