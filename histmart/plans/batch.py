@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ..functions.predicates import changed_since
 from ..functions.scalars import batch_text_to_date, day_of, rtrim_char
 from ..operators import facts, rules, scd2, watermark
+from ..operators.ids import IdTable
 from ..schemas import (ACCOUNTS, ACCOUNTS_SRC, BLACKLIST_TXT, CARDS, CARDS_SRC, CLIENTS, CLIENTS_SRC, DIM_ACCOUNTS, DIM_CARDS,
                        DIM_CLIENTS, DIM_TERMINALS, FACT_BLACKLIST, META, TERMINALS,
                        TERMINALS_TXT, TRANSACTIONS_TXT, DimensionSpec, date_lit, ts_lit)
@@ -68,6 +69,7 @@ class BatchConfig:
     lookback: bool = False           # Q16: city changes across midnight count
     archive: str | None = None       # where handled landing files are moved
     keep_current: int | None = None  # retention of current rows, in batches that name them
+    id_buckets: int | None = None    # known operation ids in a table of so many buckets (J2 for ids not ordered by time)
     buckets: int = publish.BUCKETS   # of each dimension's current rows; fixed for a warehouse
 
 
@@ -203,6 +205,16 @@ class RowCountError(ValueError):
     pass
 
 
+def known_ids(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, fact: DataFrame | None, base: View) -> IdTable:
+    """The bucketed ids of the attempts a batch stands on; attempts from before the table was in use are stored first."""
+    ids = IdTable(spark, f"{wh.fact('transactions')}_ids", buckets=cfg.id_buckets)
+    if fact is not None:
+        late = publish.read_leaves(spark, wh.fact("transactions"), sorted(set(base.attempts) - ids.loads()))
+        for attempt in [r[0] for r in late.select(publish.ATTEMPT).distinct().collect()]:
+            ids.add(late.where(F.col(publish.ATTEMPT) == attempt), attempt)
+    return ids
+
+
 def load_transactions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, view: View, base: View) -> dict:
     """K1: typed append of new operations; returns where every line went.
 
@@ -214,11 +226,18 @@ def load_transactions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, view
     fact = publish.read_table(spark, wh, wh.fact("transactions"), base)
     fresh, bad = facts.append_new(parsed, None, dedupe=cfg.dedupe_transactions, parse=lambda df: df)
     fresh = cut_lineage(fresh)
-    new = fresh if fact is None else facts.new_rows(fresh, fact.select("trans_id"), "trans_id", prune=True)
+    ids = known_ids(spark, cfg, wh, fact, base) if cfg.id_buckets else None
+    if ids is not None:
+        new = ids.unknown(fresh, list(base.attempts))
+    else:
+        new = fresh if fact is None else facts.new_rows(fresh, fact.select("trans_id"), "trans_id", prune=True)
     publish.write_leaf(new.withColumn(OP_DAY, day_of("trans_date")), wh.fact("transactions"), REPORT_DT, view,
                        partition_by=OP_DAY, sort_by="trans_date")
     publish.write_leaf(bad, wh.quarantine("transactions"), REPORT_DT, view, small=True)
 
+    if ids is not None and (own := publish.own_rows(spark, wh.fact("transactions"), REPORT_DT, view)) is not None:
+        ids.add(own, view.own)
+
     def written(table: str) -> int:
         df = publish.own_rows(spark, table, REPORT_DT, view)
         return 0 if df is None else df.count()

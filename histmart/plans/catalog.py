@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import (batch_date_from_path, day_of, decimal_comma_amount,
                                  hour_component, minus_gap, ts_to_text)
-from ..operators import facts, rules, scd2, watermark
+from ..operators import changefeed, facts, rules, scd2, watermark
+from ..operators.ids import IdTable
 from .. import schemas
 from ..schemas import EFF_FROM, META, date_lit, ts_lit
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 from ..sources import extract
 from ..sources import testdata as td
-from ..sources.landing import read_landing
+from ..sources.landing import file_exists, read_landing, split_malformed
+from ..streaming.landing import landing_stream
 from . import batch, publish
 from .publish import Warehouse
 
@@ -331,6 +333,85 @@ def q_j5_digest_deleted_keys(spark, d):
     return scd2.deleted_keys(hist, live, KEY).select(KEY, *ATTRS, EFF_FROM)
 
 
+def q_j2_bucketed_ids(spark, d):
+    """New operations by the bucketed table of known ids: two finished loads, and one that was never finished."""
+    ops = td.operations(spark, d)
+    known = ops.where(F.col("trans_date") < ts_lit(td.REPORT_DAY))
+    ids = IdTable(spark, _scratch(spark), key_type="bigint", buckets=16)
+    ids.add(known.where("oper_result = 'SUCCESS'"), "first")
+    ids.add(known.where("oper_result <> 'SUCCESS'"), "second")
+    ids.add(ops, "unfinished")
+    return ids.unknown(ops, ["first", "second"])
+
+
+def _written(spark, lines):
+    folder = _scratch(spark)
+    lines.write.text(folder)
+    return folder
+
+
+def _file_changes(spark, schema, old, new, key, attrs):
+    """Changes between two landing files, and the number of malformed lines of the new one."""
+    rows, bad = split_malformed(cut_lineage(read_landing(spark, new, schema, header=False, with_batch_date=False)))
+    before, _ = split_malformed(cut_lineage(read_landing(spark, old, schema, header=False, with_batch_date=False)))
+    return changefeed.snapshot_changes(before, rows, key, attrs).withColumn("n_malformed", F.lit(bad.count()))
+
+
+def q_s8_terminals_file(spark, d):
+    """Terminal files of two days, written from the suppliers; lines of two fields are malformed."""
+    names = schemas.TERMINALS_TXT.fieldNames()
+    line = F.concat_ws(";", *names).alias("value")
+    cut_off = td.load(spark, d, "supplier").where(F.col("s_acctbal") > td.CLOSED_BALANCE).select(F.concat(F.col("s_suppkey").cast("string"), F.lit(";POS")).alias("value"))
+    old = scd2.current_view(td.terminals_hist_t0(spark, d)).select(line)
+    new = td.terminal_snapshot(spark, d).select(line).unionByName(cut_off)
+    return _file_changes(spark, schemas.TERMINALS_TXT, _written(spark, old), _written(spark, new), names[0], names[1:])
+
+
+def q_s9_blacklist_file(spark, d):
+    """Blacklist files of two days, written from the customers: cumulative, but for entries withdrawn; lines of one field are malformed."""
+    names = schemas.BLACKLIST_TXT.fieldNames()
+    line = F.concat_ws(";", *names).alias("value")
+    listed = td.blacklist(spark, d)
+    day = F.dayofmonth("entry_dt")
+    old = listed.where(F.col("entry_dt") <= date_lit(td.REPORT_DAY)).select(line)
+    new = listed.where(day != 13).select(line).unionByName(listed.where(day == 20).select(F.col("entry_dt").cast("string").alias("value")))
+    return _file_changes(spark, schemas.BLACKLIST_TXT, _written(spark, old), _written(spark, new), names, ())
+
+
+def _landed_file(spark, rows, folder, name):
+    """One dated file, as a source drops it."""
+    part = _scratch(spark)
+    rows.coalesce(1).write.option("sep", ";").option("header", True).csv(part)
+    p = spark._jvm.org.apache.hadoop.fs.Path(part)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
+    made = next(f.getPath() for f in fs.listStatus(p) if f.getPath().getName().startswith("part-"))
+    fs.rename(made, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+
+
+def q_s11_landing_stream(spark, d):
+    """All operations dropped as the files of two dates, picked up by two runs of the stream: what was loaded, and
+    whether its file was archived."""
+    folder, days = _scratch(spark), (td.REPORT_DAY_BEFORE, td.REPORT_DAY)
+    cfg = batch.BatchConfig(f"{folder}/dwh", f"{folder}/landing", td.landing_sources(spark, d), archive=f"{folder}/archive")
+    text, first = _staging_text(spark, d), F.col("transaction_date") < F.lit(td.REPORT_DAY)
+    for day, part in zip(days, (first, ~first)):
+        tag = "".join(reversed(day.split("-")))
+        _landed_file(spark, text.where(part), cfg.landing, f"transactions_{tag}.txt")
+        terminals = scd2.current_view(td.terminals_hist(spark, d)).select(*schemas.TERMINALS_TXT.fieldNames())
+        _landed_file(spark, terminals, cfg.landing, f"terminals_{tag}.csv")
+        _landed_file(spark, td.blacklist(spark, d).select(*schemas.BLACKLIST_TXT.fieldNames()), cfg.landing, f"passport_blacklist_{tag}.csv")
+        query = landing_stream(spark, cfg, f"{folder}/checkpoint")
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    wh = Warehouse(cfg.warehouse)
+    there = [day for day in days if file_exists(spark, f"{cfg.archive}/transactions_{''.join(reversed(day.split('-')))}.txt")]
+    loaded = publish.read_table(spark, wh, wh.fact("transactions"))
+    return loaded.select("trans_id", "trans_date", "card_num", "oper_type", "amt", "oper_result", "terminal", "report_dt",
+                         F.col("report_dt").cast("string").isin(there).alias("archived"))
+
+
 QUERIES = {
     "s1_watermark_delta": q_s1_watermark_delta,
     "s5_key_snapshot": q_s5_key_snapshot,
@@ -365,6 +446,10 @@ QUERIES = {
     "w8_published_history": q_w8_published_history,
     "w8_crash_rerun": q_w8_crash_rerun,
     "j5_digest_deleted_keys": q_j5_digest_deleted_keys,
+    "j2_bucketed_ids": q_j2_bucketed_ids,
+    "s8_terminals_file": q_s8_terminals_file,
+    "s9_blacklist_file": q_s9_blacklist_file,
+    "s11_landing_stream": q_s11_landing_stream,
 }
 
 
@@ -639,11 +724,11 @@ UNION ALL SELECT * FROM d5""", _SCD),
     "p3_current_view": _with(f"""
 SELECT account_num, priority, status, effective_from FROM hist1
 WHERE effective_to = {OPEN} AND deleted_flg = 'N'""", _SCD),
-    "j2_new_fact_anti": _with(f"""
+    **dict.fromkeys(("j2_new_fact_anti", "j2_bucketed_ids"), _with(f"""
 SELECT s.* FROM ops s
 LEFT JOIN (SELECT trans_id FROM ops WHERE trans_date < TIMESTAMP '{td.REPORT_DAY} 00:00:00') f
   ON s.trans_id = f.trans_id
-WHERE f.trans_id IS NULL""", _DOMAIN),
+WHERE f.trans_id IS NULL""", _DOMAIN)),
     "j7_blacklist_existence": _with(f"""
 SELECT client_id, passport_num, passport_valid_to FROM clients
 WHERE passport_valid_to < {RDAY}
@@ -662,6 +747,21 @@ fact AS (SELECT transaction_id AS trans_id FROM stg WHERE transaction_date < '{t
 SELECT {_TYPED} FROM stg LEFT JOIN fact tgt ON stg.transaction_id = tgt.trans_id
 WHERE tgt.trans_id IS NULL""",
     "s7_landing_load": f"WITH {_STAGING} SELECT {_TYPED} FROM stg",
+    "s11_landing_stream": f"""
+WITH {_STAGING}
+SELECT {_TYPED}, CASE WHEN transaction_date < '{td.REPORT_DAY}' THEN DATE '{td.REPORT_DAY_BEFORE}' ELSE {RDAY} END AS report_dt, true AS archived
+FROM stg""",
+    "s8_terminals_file": _with(f"""
+SELECT CAST(coalesce(n.terminal_id, o.terminal_id) AS VARCHAR) AS terminal_id, coalesce(n.terminal_type, o.terminal_type) AS terminal_type,
+       coalesce(n.terminal_city, o.terminal_city) AS terminal_city, coalesce(n.terminal_address, o.terminal_address) AS terminal_address,
+       CASE WHEN o.terminal_id IS NULL THEN 'added' WHEN n.terminal_id IS NULL THEN 'gone' ELSE 'changed' END AS change,
+       (SELECT count(*) FROM supplier WHERE s_acctbal > {td.CLOSED_BALANCE}) AS n_malformed
+FROM tsnap n FULL JOIN tcur0 o ON n.terminal_id = o.terminal_id
+WHERE (n.terminal_type, n.terminal_city, n.terminal_address) IS DISTINCT FROM (o.terminal_type, o.terminal_city, o.terminal_address)""", _TERM_SCD),
+    "s9_blacklist_file": _with(f"""
+SELECT CAST(entry_dt AS VARCHAR) AS entry_dt, passport_num, CASE WHEN day(entry_dt) = 13 THEN 'gone' ELSE 'added' END AS change,
+       (SELECT count(*) FROM blacklist WHERE day(entry_dt) = 20) AS n_malformed
+FROM blacklist WHERE (day(entry_dt) = 13) = (entry_dt <= {RDAY})""", _DOMAIN),
     "s4_watermark_read": _with(f"""
 SELECT s.account_num, s.priority, s.status, s.create_dt, s.update_dt, m.mark
 FROM src1 s, (SELECT coalesce(max(CASE WHEN n > 1 THEN last_dt END), max(create_dt)) AS mark FROM o0 WHERE rn_last = 1) m

@@ -191,7 +191,12 @@ def read_table(spark: SparkSession, wh: Warehouse, path: str, at=..., schema: T.
     view = finished_view(spark, wh) if at is ... else _view(spark, wh, at)
     if not view.attempts or not _exists(spark, path):
         return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(path).where(F.col(ATTEMPT).isin(list(view.attempts))).drop(ATTEMPT)
+    return read_leaves(spark, path, list(view.attempts)).drop(ATTEMPT)
+
+
+def read_leaves(spark: SparkSession, path: str, attempts: list[str]) -> DataFrame:
+    """What some attempts wrote into a table (a filter on its partitions), with the attempt."""
+    return spark.read.parquet(path).where(F.col(ATTEMPT).isin(attempts))
 
 
 def own_rows(spark: SparkSession, path: str, column: str, view: View) -> DataFrame | None:

@@ -46,6 +46,7 @@ TERMINAL_SWITCH = "2023-01-01 00:00:00"
 CLIENT_DELETE = "2023-07-01 00:00:00"
 DELETED_BALANCE = -500
 REPORT_DAY = "2024-01-15"          # single-day report / fact cut-over
+REPORT_DAY_BEFORE = "2024-01-14"
 SCD_T0 = "1996-01-01 00:00:00"     # history state and watermark before the batch
 SCD_T1 = "2001-09-01 00:00:00"     # source state at the batch: after the last order
 SCD_RUN_TS = "2001-09-01 03:27:00"  # the batch's now()
@@ -187,6 +188,17 @@ def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
         _day(F.floor(-F.col("c_acctbal") / 40)).alias("entry_dt"))
 
 
+def landing_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three source tables of the daily batch, in their own layout."""
+    c = load(spark, sf_dir, "customer")
+    made, none = F.lit(DIM_START).cast(T.TimestampNTZType()).alias("create_dt"), F.lit(None).cast(T.TimestampNTZType()).alias("update_dt")
+    key = F.col("c_custkey").cast("string")
+    clients = _client_attrs(c).select(F.col("client_id").cast("string").alias("client_id"), "last_name", "first_name", "patronymic", "date_of_birth",
+                                      "passport_num", "passport_valid_to", "phone", made, none)
+    return {"accounts": c.select(key.alias("account"), _day(F.floor(F.col("c_acctbal") / 100)).alias("valid_to"), key.alias("client"), made, none),
+            "cards": c.select(key.alias("card_num"), key.alias("account"), made, none), "clients": clients}
+
+
 # ---- change-capture scenario on orders ----
 
 @derived
