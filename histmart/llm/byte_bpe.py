@@ -7,8 +7,10 @@ serialised tokenizer (a few MB, fixed by the vocabulary) travels with the
 tasks and is loaded once per Python worker.
 
 Texts are cut at single spaces between two non-space characters, where the
-split pattern always starts a new match, so each distinct chunk of a worker is
-encoded once and kept in a bounded dictionary (cleared when full).
+split pattern always starts a new match, so each distinct short chunk of a
+worker is encoded once and kept in a dictionary bounded by bytes. New chunks are
+encoded joined to one text and taken apart by the tokens' byte offsets, which must
+fall on the chunks' ends.
 
 Decoding reverses the byte table. A token may end inside a UTF-8 character;
 ``byte_spans`` keeps byte offsets and ``char_spans`` maps them to the
@@ -36,8 +38,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from . import common
 
-#: Chunks kept by each Python worker; the dictionary is cleared when full.
-MEMO = 200_000
+#: Bytes that a Python worker's dictionary of chunks may hold (with ENTRY for each entry's objects); cleared when full.
+MEMO_BYTES, ENTRY = 32 << 20, 150
+#: Longer chunks are not remembered; new chunks are encoded in joined pieces of about so many characters.
+SHORT, PIECE = 64, 1 << 16
 CUT = re.compile(r"(?<=\S) (?=\S)")
 NOT_SINGLE = re.compile(r"\s | \s|^ | $")
 
@@ -99,25 +103,69 @@ class Codec:
         for piece, i in vocab.items():
             self.pieces[i] = bytes(map(TO_BYTE.__getitem__, piece))
         self.sizes = np.array([len(p) for p in self.pieces], np.int64)
+        self.by_id = np.array(self.pieces, object)
         self.memo: dict[str, bytes] = {}
+        self.memo_bytes = 0
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids (unsigned 32 bit) of each text."""
         split = [chunks(t or "") for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
         memo = self.memo
-        missing = list({c for cs in split for c in cs if c not in memo})
-        for at in range(0, len(missing), 10_000):
-            some = missing[at:at + 10_000]
-            for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                memo[c] = np.array(e.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(memo.__getitem__, cs)), "<u4") for cs in split]
-
-    def decode(self, ids) -> bytes:
-        if len(ids) and not 0 <= int(min(ids)) <= int(max(ids)) < len(self.pieces):
+        fresh = self.encode_chunks(list(dict.fromkeys(c for cs in split for c in cs if c not in memo)))
+        out = [np.frombuffer(b"".join([memo[c] if c in memo else fresh[c] for c in cs]), "<u4") for cs in split]
+        self.remember(fresh)
+        return out
+
+    def remember(self, fresh: dict[str, bytes]) -> None:
+        for c, ids in fresh.items():
+            if len(c) <= SHORT:
+                self.memo_bytes += 4 * len(c) + len(ids) + ENTRY
+                if self.memo_bytes > MEMO_BYTES:
+                    self.memo.clear()
+                    self.memo_bytes = 4 * len(c) + len(ids) + ENTRY
+                self.memo[c] = ids
+
+    def encode_chunks(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of distinct chunks. Those that begin with the space they were cut at and end with another character are joined."""
+        found: dict[str, bytes] = {}
+        joined, apart, size = [], [], 0
+        for c in new:
+            if c[0] == " " and not c[-1].isspace():
+                joined.append(c)
+                size += len(c)
+                if size >= PIECE:
+                    self.encode_joined(joined, found)
+                    joined, size = [], 0
+            else:
+                apart.append(c)
+        self.encode_joined(joined, found)
+        self.encode_apart(apart, found)
+        return found
+
+    def encode_apart(self, some: list[str], found: dict[str, bytes]) -> None:
+        for at in range(0, len(some), 1_000):
+            part = some[at:at + 1_000]
+            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                found[c] = np.array(e.ids, "<u4").tobytes()
+
+    def encode_joined(self, some: list[str], found: dict[str, bytes]) -> None:
+        if not some:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
+        _, ends = self.byte_spans(ids)
+        stops = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in some])
+        cuts = np.searchsorted(ends, stops) + 1
+        if cuts[-1] != len(ids) or not np.array_equal(ends[cuts - 1], stops):
+            return self.encode_apart(some, found)  # a token across two chunks: a pattern that does not split there
+        raw, start = ids.tobytes(), 0
+        for c, stop in zip(some, (4 * cuts).tolist(), strict=True):
+            found[c], start = raw[start:stop], stop
+
+    def decode(self, ids, piece: int = 1 << 20) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < len(self.pieces):
             raise ValueError("an id is outside the vocabulary")
-        return b"".join(map(self.pieces.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
+        return b"".join(b"".join(self.by_id[ids[at:at + piece]].tolist()) for at in range(0, len(ids), piece))
 
     def byte_spans(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First byte and end byte of each token in the text."""
@@ -141,6 +189,11 @@ def char_spans(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     return char_of[starts], char_of[ends - 1] + 1
 
 
+def split_tokens(text: bytes, starts: np.ndarray) -> int:
+    """Tokens that begin inside a character."""
+    return int(np.count_nonzero((np.frombuffer(text, np.uint8)[starts] & 0xC0) == 0x80)) if len(starts) else 0
+
+
 @lru_cache(maxsize=2)
 def codec(spec: str) -> Codec:
     return Codec(spec)
@@ -190,16 +243,21 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids: str = "ids", keep:
 
 
 def round_trip(df: DataFrame, rank_path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Encode and decode in one pass, returning digests: ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, ``exact``."""
+    """Encode and decode in one pass, returning digests: ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, and ``n_split``:
+    the tokens whose offset lies inside a character."""
     shipped = Shipped(df.sparkSession, rank_path, pattern)
     fields = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()),
-              StructField("decoded_sha256", StringType())]
+              StructField("decoded_sha256", StringType()), StructField("n_split", LongType())]
 
     def run(batch: pa.RecordBatch) -> dict:
         own = shipped.codec()
-        ids = own.encode(batch.column(text).to_pylist())
-        return {"n_tokens": [len(i) for i in ids],
-                "ids_sha256": [hashlib.sha256(i.tobytes()).hexdigest() for i in ids],
-                "decoded_sha256": [hashlib.sha256(own.decode(i)).hexdigest() for i in ids]}
+        out: dict = {f.name: [] for f in fields}
+        for ids in own.encode(batch.column(text).to_pylist()):
+            decoded = own.decode(ids)
+            out["n_tokens"].append(len(ids))
+            out["ids_sha256"].append(hashlib.sha256(ids.tobytes()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
+            out["n_split"].append(split_tokens(decoded, own.byte_spans(ids)[0]))
+        return out
 
     return common.map_batches(df, run, fields, [text], keep)
