@@ -12,14 +12,18 @@ Four kinds of evidence about a document's language are multiplied:
   labels) towards the whole corpus, from soft counts of text posteriors.
 
 All counts come from grouped aggregation over all rows; a document's own share
-is taken out of them before they judge it. ``und`` (undetermined) competes as
+is taken out of the tag, suffix and host counts before they judge it (of the
+trigram counts it is not). ``und`` (undetermined) competes as
 a uniform trigram model. A document is kept if its most probable language is
 wanted and reaches ``min_posterior``.
 
 Defined cases: null and letterless texts are ``und`` and not kept; null tags,
 hosts and suffixes give no evidence of their kind; tags with fewer than
-``min_docs`` documents, or beyond the ``max_languages`` commonest, are no
-languages but still evidence, pooled; ties go to the first language by name;
+``min_docs`` documents, or beyond the ``max_languages`` commonest, have no text
+model of their own: a document that declares one, and that no modelled
+language explains better than the uniform model, is of the language it declares
+(their tags are pooled as evidence, and so are tags and suffixes beyond the
+1,000 commonest); ties go to the first language by name;
 without any language all is ``und``; repeated rows get equal results; columns
 of the result replace columns of the same name.
 """
@@ -214,6 +218,7 @@ def identify(docs: DataFrame, own: Settings = Settings(), text: str = "text", la
     model = train(docs, text, lang, own)
     evidence, hosts = statistics(docs, text, lang, host, model, own)
     names = [*model.langs, UND]
+    modelled = set(names)
 
     def fuse(batch: pa.RecordBatch) -> dict:
         scores, p = posteriors(batch, text, model, own)
@@ -228,6 +233,8 @@ def identify(docs: DataFrame, own: Settings = Settings(), text: str = "text", la
                                + tag_evidence(suffix_of(at), evidence.suffixes, evidence.total, own_p, own.tag_strength)
                                + host_prior(dict(zip(("__host_n", "__host_p", "__site_n", "__site_p"), h, strict=True)), own_p, evidence.total, own))
                 found, best, alone = names[int(post.argmax())], float(post.max()), names[int(own_p.argmax())]
+                if found == UND and tag and tag not in modelled:
+                    found = tag  # one of the languages without a text model of their own
             out["language"].append(found)
             out["posterior"].append(best)
             out["text_language"].append(alone)

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField
+from pyspark.sql.types import LongType, MapType, StructField
 
 from . import common
 from .components import components
@@ -38,6 +38,8 @@ from .components import components
 BITS = 64
 ALL = 2 ** BITS - 1
 LEVELS = 3
+#: Characters of row keys that may be broadcast.
+MAX_BROADCAST = 32 << 20
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -184,22 +186,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return common.attach(rows, placed, "fp", "n").select("id", "fp", "component_id")
 
 
+def row_key(docs: DataFrame, doc_id: str):
+    """Orders rows by id (null last), then by two hashes of the whole row, so rows of one id are told apart."""
+    parts = [x for f in docs.schema.fields if not isinstance(f.dataType, MapType)
+             for x in (common.quoted(f.name), common.quoted(f.name).isNull())]
+    own = common.quoted(doc_id)
+    return F.struct(own.isNull().alias("n"), own.alias("i"), F.xxhash64(*parts).alias("x"), F.hash(*parts).alias("y"))
+
+
+def joined_key(key: str):
+    """The row key as one text, for joins."""
+    at = lambda c: F.col(key)[c].cast("string")
+    return F.concat_ws(":", at("n"), at("x"), at("y"), F.coalesce(at("i"), F.lit("")))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id names it.
+    """``docs`` with one row of each component: the one of the smallest id, and of rows that repeat it the smallest by hash.
 
-    An id names one document: of rows that repeat an id the one with the
-    smallest values stays. Rows with a null id can't be named and all stay.
-    """
-    known = docs.where(common.quoted(doc_id).isNotNull())
-    found = near_duplicates(known, doc_id, text, size, radius)
+    Rows are decided one by one, so two unrelated texts under one id both stay, and of copies under null ids one goes
+    if another row stays for them. Rows equal in every column are one row (columns of maps are not compared)."""
+    key, row = "__simhash_key", "__simhash_row"
+    marked = docs.withColumn(key, row_key(docs, doc_id))
+    found = near_duplicates(marked, key, text, size, radius)
     seen = common.cut(found.groupBy("id").agg(F.min(F.col("id") != F.col("component_id")).alias("gone"), F.count("*").alias("n"))
-                      .where("gone OR n > 1").withColumnRenamed("id", doc_id))
-    n = seen.count()
-    side = F.broadcast(seen) if n <= 5 * common.BROADCAST_ROWS else seen
-    single = known.join(side, doc_id, "left_anti")
-    repeated = known.join(side.where("NOT gone").select(doc_id), doc_id, "left_semi")
-    rest = [c for c in docs.columns if c != doc_id]
-    first = (repeated.groupBy(doc_id).agg(F.min(F.struct(*map(common.quoted, rest))).alias("row"))
-             .select(doc_id, *(F.col("row")[c].alias(c) for c in rest)))
-    kept = single.select(docs.columns).unionByName(first.select(docs.columns))
-    return kept.unionByName(docs.where(common.quoted(doc_id).isNull()))
+                      .where("gone OR n > 1").select(joined_key("id").alias(row), "gone"))
+    n, wide = seen.agg(F.count("*"), F.max(F.length(row))).first()
+    side = F.broadcast(seen) if n * (wide or 0) <= MAX_BROADCAST else seen
+    marked = marked.withColumn(row, joined_key(key))
+    single = marked.join(side, row, "left_anti")
+    repeated = marked.join(side.where("NOT gone").select(row), row, "left_semi")
+    own = [c for c in docs.columns]
+    first = (repeated.groupBy(row).agg(F.min(F.struct(*map(common.quoted, own))).alias("r"))
+             .select(*(F.col("r")[c].alias(c) for c in own)))
+    return single.select(*map(common.quoted, own)).unionByName(first)

@@ -36,8 +36,9 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from . import common
 
 MARK = "▁"
-#: Segments kept by each Python worker; the dictionary is cleared when full.
-MEMO = 200_000
+#: Characters (with ENTRY for each entry's objects) that a Python worker's dictionary of segments may hold; cleared when
+#: full. Longer segments than SHORT are not remembered.
+MEMO_CHARS, ENTRY, SHORT = 24 << 20, 120, 64
 SEGMENT = re.compile(f"[ {MARK}]*[^ {MARK}]+|[ {MARK}]+")
 
 
@@ -52,6 +53,7 @@ class Counter:
         self.splits = not any(MARK in p.lstrip(MARK) for p in pieces) and self.plain()
         self.lone_mark = 1 if self.model.piece_to_id(MARK) != self.model.unk_id() else len(MARK.encode())
         self.memo: dict[str, int] = {}
+        self.memo_chars = 0
 
     def plain(self) -> bool:
         """Whether texts reach the merges unchanged but for a leading mark (no folding, no dropped spaces)."""
@@ -70,11 +72,22 @@ class Counter:
         first, *rest = SEGMENT.findall(MARK + body)
         return [first, *rest]
 
-    def whole(self, segments: list[str]) -> None:
-        """Count segments not yet known. The library itself puts a mark before a text: one less is passed on."""
+    def whole(self, segments: list[str]) -> dict[str, int]:
+        """Counts of segments not yet known. The library itself puts a mark before a text: one less is passed on."""
+        found: dict[str, int] = {}
         for at in range(0, len(segments), 20_000):
             some = segments[at:at + 20_000]
-            self.memo.update(zip(some, self.counts(some), strict=True))
+            found.update(zip(some, self.counts(some), strict=True))
+        return found
+
+    def remember(self, fresh: dict[str, int]) -> None:
+        for s, n in fresh.items():
+            if len(s) <= SHORT:
+                self.memo_chars += len(s) + ENTRY
+                if self.memo_chars > MEMO_CHARS:
+                    self.memo.clear()
+                    self.memo_chars = len(s) + ENTRY
+                self.memo[s] = n
 
     def counts(self, segments: list[str]) -> list[int]:
         if not self.splits:
@@ -85,11 +98,12 @@ class Counter:
     def prefix_counts(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
         """For each text the character end of each segment and the tokens up to it."""
         split = [self.segments(t or "") for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        self.whole(list({s for ss in split for s in ss if s not in self.memo}))
+        memo = self.memo
+        fresh = self.whole(list({s for ss in split for s in ss if s not in memo}))
         lead = 1 if self.splits else 0
-        return [([e - lead for e in accumulate(map(len, ss))], list(accumulate(map(self.memo.__getitem__, ss)))) for ss in split]
+        out = [([e - lead for e in accumulate(map(len, ss))], list(accumulate(memo[s] if s in memo else fresh[s] for s in ss))) for ss in split]
+        self.remember(fresh)
+        return out
 
     def segment_table(self, segment: str, first: bool) -> list[int]:
         """Token count of every non-empty prefix of one segment."""

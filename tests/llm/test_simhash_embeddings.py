@@ -68,10 +68,11 @@ def test_simhash_empty_table_and_query_columns(spark, tmp_path):
 
 def test_keep_one(spark):
     rows = [(5, "a b c d", 1), (3, "a b c d", 2), (9, "e f g h", 3), (9, "e f g h", 3), (None, "a b c d", 4), (None, None, 5)]
+    rows += [(7, "aa bb cc dd", 6), (7, "xx yy zz ww", 7), (None, "k l m n", 8), (None, "k l m n", 8), (7, "e f g h", 9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n long").withColumn("gone", F.lit("x")).withColumn("id", F.lit(1))
     got = sim.keep_one(docs)
     assert got.columns == docs.columns
-    assert sorted((r["doc_id"] or 0, r["n"]) for r in got.collect()) == [(0, 4), (0, 5), (3, 2), (9, 3)]
+    assert sorted((r["doc_id"] or 0, r["n"]) for r in got.collect()) == [(0, 5), (0, 8), (3, 2), (7, 6), (7, 7), (7, 9)]
 
 
 def test_components_equal_search(spark):

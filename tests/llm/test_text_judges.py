@@ -145,6 +145,22 @@ def test_language_prior_arithmetic():
     assert language_id.suffix_of("a.b.DE.") == "de" and language_id.suffix_of("src0") is None and language_id.site_of("x.y.com") == "y.com"
 
 
+def test_rare_declared_languages_are_kept(spark):
+    """Four documents of a language too rare for a text model, and one beyond the modelled ones."""
+    fin = ["hyvää huomenta kaikille, jotka työskentelevät täällä yönä päivänä", "metsässä käveli hiljaa pieni äiti lähellä järveä",
+           "tänään syödään lämmintä keittoa äidin pöydässä", "yöllä jäätyi järvi, ja hän lähti hiihtämään"]
+    rows = [(i, text, lang, source) for i, text, lang, source, good in corpus() if good]
+    rows += [(5000 + k, t * 3, "fi", "s1") for k, t in enumerate(fin)]
+    greek = "η γλώσσα μας είναι όμορφη και παλιά, όπως λένε πολλοί άνθρωποι "
+    rows += [(6000 + k, greek * (k + 1), "el", "s2") for k in range(6)]
+    rows += [(7000, greek, None, "s2")]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = {r.doc_id: r for r in language_id.identify(docs, language_id.Settings(max_languages=3)).collect()}
+    assert all(found[5000 + k].language == "fi" and found[5000 + k].kept for k in range(4))
+    assert all(found[6000 + k].language == "el" and found[6000 + k].kept for k in range(6))
+    assert found[7000].language == language_id.UND and not found[7000].kept  # nothing names its language
+
+
 def test_language_id_empty_and_untagged(spark):
     assert language_id.identify(spark.createDataFrame([], DOCS)).count() == 0
     got = language_id.identify(spark.createDataFrame([(1, "some text", None, None)], DOCS)).collect()

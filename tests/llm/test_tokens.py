@@ -91,3 +91,36 @@ def test_token_count_frames(spark):
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len((text or "").encode()), n, n > 1000)
         assert r["prefix_tokens"][-1:] == ([n] if text else []) and r["prefix_chars"][-1:] == ([len(text)] if text else [])
         assert cut[r["doc_id"]] is None if text is None else len(sp.encode(cut[r["doc_id"]])) <= 5 and text.startswith(cut[r["doc_id"]])
+
+
+def test_dictionaries_are_bounded_by_bytes(own):
+    """Texts without single spaces are one chunk each: none is remembered, however many there are."""
+    own.memo.clear()
+    own.memo_bytes = 0
+    texts = [chr(0x4E00 + k) * 2000 for k in range(50)] + [" ".join(f"w{k}x{j}" for j in range(2000)) for k in range(20)]
+    ids = own.encode(texts)
+    assert all(own.decode(i) == t.encode() for i, t in zip(ids, texts, strict=True))
+    assert 0 < own.memo_bytes <= byte_bpe.MEMO_BYTES and max(map(len, own.memo)) <= byte_bpe.SHORT
+    counter = token_counts.Counter(MODEL)
+    want = [len(counter.model.encode(t, num_threads=1)) for t in texts]
+    assert [c[-1] for _, c in counter.prefix_counts(texts)] == want == [c[-1] for _, c in counter.prefix_counts(texts)]
+    assert counter.memo_chars <= token_counts.MEMO_CHARS and max(map(len, counter.memo)) <= token_counts.SHORT
+
+
+def test_full_dictionaries_are_cleared(own, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "MEMO_BYTES", 2_000)
+    monkeypatch.setattr(token_counts, "MEMO_CHARS", 2_000)
+    counter = token_counts.Counter(MODEL)
+    for k in range(6):
+        text = " ".join(f"some{j}thing{k}" for j in range(40))
+        assert own.decode(own.encode([text, text])[1]) == text.encode() and own.memo_bytes <= 2_000
+        assert counter.prefix_counts([text])[0][1][-1] == len(counter.model.encode(text, num_threads=1)) and counter.memo_chars <= 2_000
+
+
+def test_joined_chunks_fall_back_where_a_pattern_does_not_split(tik):
+    """A pattern that keeps several words together: chunks joined to one text would merge across their ends."""
+    codec = byte_bpe.Codec(byte_bpe.tokenizer_json(RANKS, r"[\s\S]+"))
+    new = [" of", " the", " theof", "x", " a\n", " b"]
+    apart = {}
+    codec.encode_apart(new, apart)
+    assert codec.encode_chunks(new) == apart
