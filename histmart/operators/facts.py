@@ -3,7 +3,7 @@
 ``append_new`` parses the all-text staging rows (``parse`` gives typed columns
 and a failure reason), sends rows that do not parse (bad time, bad or
 overflowing amount, missing id) to a quarantine relation instead of failing
-the batch, collapses exact copies with a map-side-combined aggregate, and
+the batch, collapses exact copies (only rows of ids seen twice are compared), and
 keeps only ids not yet in the fact table. Rows that share an id but differ
 are all quarantined: nothing says which one is right.
 
@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import decimal_comma_amount, rtrim_char, text_to_ts
 from ..schemas import date_lit
+from ..session import cut_lineage
 from ..sources.landing import MALFORMED
+from . import joins
 
 QUARANTINE_REASON = "reason"
 CONFLICT = "conflicting rows for one id"
@@ -46,15 +48,27 @@ def parse_transactions(stg: DataFrame) -> DataFrame:
         *extra, reason.alias(QUARANTINE_REASON))
 
 
-def one_per_key(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def one_per_key(df: DataFrame, key: str, staged: bool = False) -> tuple[DataFrame, DataFrame]:
     """Q11: (one row per id whose rows are all equal, ids with differing rows).
 
-    The partial aggregate collapses copies before the shuffle."""
-    rest = [c for c in df.columns if c != key]
-    g = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("__lo"), F.max(F.struct(*rest)).alias("__hi"))
-    same = F.col("__lo").eqNullSafe(F.col("__hi"))
-    return (g.where(same).select(key, *[F.col(f"__lo.{c}").alias(c) for c in rest]),
-            g.where(~same).select(key))
+    Ids seen twice or more come from a count of the id column alone. Only their rows are compared as a
+    whole (``distinct``, whose partial aggregate collapses copies before the shuffle); all others pass by.
+    With ``staged`` input these ids are counted first: if there are none, nothing else is done; if they are
+    few, they are broadcast, so that no other whole row is shuffled. Rows without an id are all kept."""
+    again = _seen_twice(df, key)
+    if staged:
+        again = cut_lineage(again)
+        if again.isEmpty():
+            return df, again
+        again = joins.sized_broadcast(again, staged=True)
+    several = df.join(again, key, "left_semi").distinct()
+    differing = _seen_twice(several, key)
+    once = df.join(again, key, "left_anti")
+    return once.unionByName(several.join(differing, key, "left_anti")), differing
+
+
+def _seen_twice(rows: DataFrame, key: str) -> DataFrame:
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n")).where("__n > 1").select(key)
 
 
 def new_rows(batch: DataFrame, fact: DataFrame, key: str, prune: bool = False) -> DataFrame:
@@ -73,11 +87,12 @@ def new_rows(batch: DataFrame, fact: DataFrame, key: str, prune: bool = False) -
 
 def append_new(stg: DataFrame, fact: DataFrame | None, key: str = "trans_id", dedupe: bool = True,
                stage: Callable[[DataFrame], DataFrame] | None = None,
-               parse: Callable[[DataFrame], DataFrame] = parse_transactions) -> tuple[DataFrame, DataFrame]:
+               parse: Callable[[DataFrame], DataFrame] = parse_transactions, staged: bool = False) -> tuple[DataFrame, DataFrame]:
     """K1 (+J2): (rows to append, quarantined rows).
 
     ``stage`` (e.g. ``session.cut_lineage``) materialises the parsed batch
-    once, so that it is parsed once for both results."""
+    once, so that it is parsed once for both results; ``staged`` says that it already is."""
+    staged = staged or stage is not None
     parsed = parse(stg)
     if stage is not None:
         parsed = stage(parsed)
@@ -85,11 +100,11 @@ def append_new(stg: DataFrame, fact: DataFrame | None, key: str = "trans_id", de
     bad = parsed.where(F.col(QUARANTINE_REASON).isNotNull())
     if dedupe:
         every = good
-        good, conflicts = one_per_key(every, key)
+        good, conflicts = one_per_key(every, key, staged)
         rows = every.join(conflicts, key, "left_semi").withColumn(QUARANTINE_REASON, F.lit(CONFLICT))
         bad = bad.unionByName(rows, allowMissingColumns=True)
     if fact is not None:
-        good = new_rows(good, fact, key, prune=stage is not None)
+        good = new_rows(good, fact, key, prune=staged)
     return good, bad
 
 

@@ -29,8 +29,8 @@ from ..schemas import (ACCOUNTS, ACCOUNTS_SRC, BLACKLIST_TXT, CARDS, CARDS_SRC,
                        TERMINALS_TXT, TRANSACTIONS_TXT, DimensionSpec, date_lit, ts_lit)
 from ..sources import extract
 from ..sources.landing import file_exists, read_landing, split_malformed
-from ..session import cut_lineage
-from . import publish
+from ..session import Rows, cut_lineage
+from . import compact, publish
 from .publish import BATCH, OP_DAY, REPORT_DT, View, Warehouse
 
 DIM_SCHEMAS = {"accounts": DIM_ACCOUNTS, "cards": DIM_CARDS, "clients": DIM_CLIENTS,
@@ -209,7 +209,7 @@ def known_ids(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, fact: DataFr
     """The bucketed ids of the attempts a batch stands on; attempts from before the table was in use are stored first."""
     ids = IdTable(spark, f"{wh.fact('transactions')}_ids", buckets=cfg.id_buckets)
     if fact is not None:
-        late = publish.read_leaves(spark, wh.fact("transactions"), sorted(set(base.attempts) - ids.loads()))
+        late = publish.read_leaves(spark, wh.fact("transactions"), base, sorted(set(base.attempts) - ids.loads()))
         for attempt in [r[0] for r in late.select(publish.ATTEMPT).distinct().collect()]:
             ids.add(late.where(F.col(publish.ATTEMPT) == attempt), attempt)
     return ids
@@ -222,30 +222,27 @@ def load_transactions(spark: SparkSession, cfg: BatchConfig, wh: Warehouse, view
     later or unfinished batches (so a re-run leaves what a first run would)."""
     path = landing_file(cfg, "transactions", view.batch, spark)
     stg = read_landing(spark, path, TRANSACTIONS_TXT, sep=cfg.tx_sep, with_batch_date=False)
-    parsed = cut_lineage(facts.parse_transactions(stg))
+    parsed_rows, unique_rows, loaded_rows, bad_rows = Rows(), Rows(), Rows(), Rows()
+    parsed = cut_lineage(parsed_rows.of(facts.parse_transactions(stg)))
     fact = publish.read_table(spark, wh, wh.fact("transactions"), base)
-    fresh, bad = facts.append_new(parsed, None, dedupe=cfg.dedupe_transactions, parse=lambda df: df)
-    fresh = cut_lineage(fresh)
+    fresh, bad = facts.append_new(parsed, None, dedupe=cfg.dedupe_transactions, parse=lambda df: df, staged=True)
+    fresh = cut_lineage(unique_rows.of(fresh))
     ids = known_ids(spark, cfg, wh, fact, base) if cfg.id_buckets else None
     if ids is not None:
         new = ids.unknown(fresh, list(base.attempts))
     else:
         new = fresh if fact is None else facts.new_rows(fresh, fact.select("trans_id"), "trans_id", prune=True)
     publish.write_leaf(new.withColumn(OP_DAY, day_of("trans_date")), wh.fact("transactions"), REPORT_DT, view,
-                       partition_by=OP_DAY, sort_by="trans_date")
-    publish.write_leaf(bad, wh.quarantine("transactions"), REPORT_DT, view, small=True)
+                       partition_by=OP_DAY, sort_by="trans_date", rows=loaded_rows)
+    publish.write_leaf(bad, wh.quarantine("transactions"), REPORT_DT, view, small=True, rows=bad_rows)
 
     if ids is not None and (own := publish.own_rows(spark, wh.fact("transactions"), REPORT_DT, view)) is not None:
         ids.add(own, view.own)
 
-    def written(table: str) -> int:
-        df = publish.own_rows(spark, table, REPORT_DT, view)
-        return 0 if df is None else df.count()
-
-    lines = spark.read.text(path).where(F.trim("value") != "").count() - 1  # the header
-    unique, loaded, quarantined = fresh.count(), written(wh.fact("transactions")), written(wh.quarantine("transactions"))
+    lines = spark.read.text(path).where(F.trim("value") != "").count() - 1  # the header; counted apart from the parser
+    unique, loaded, quarantined = unique_rows.n, loaded_rows.n, bad_rows.n
     counts = {"lines": lines, "loaded": loaded, "already_known": unique - loaded, "quarantined": quarantined,
-              "exact_copies": parsed.count() - quarantined - unique}
+              "exact_copies": parsed_rows.n - quarantined - unique}
     if lines != sum(n for k, n in counts.items() if k != "lines") or min(counts.values()) < 0:
         raise RowCountError(f"operation rows do not add up: {counts}")
     return counts
@@ -289,6 +286,12 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, report_dt: date, run_ts: da
     return {"previous_batch": base.batch, "mart": wh.mart, "warehouse": wh.root, "counts": counts}
 
 
+def compact_operations(spark: SparkSession, warehouse: str, small: int = compact.SMALL) -> str | None:
+    """Pack the small day folders of all operations the newest finished batch stands on (a job of its own, run at will)."""
+    wh = Warehouse(warehouse)
+    return compact.compact(spark, wh.fact("transactions"), publish.finished_view(spark, wh), small)
+
+
 def tables(wh: Warehouse) -> list[str]:
     """The folders of all tables but the log (for ``publish.remove_unused``)."""
     names = (*DIM_SCHEMAS, "transactions", "passport_blacklist")

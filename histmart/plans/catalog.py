@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from ..sources import extract
 from ..sources import testdata as td
 from ..sources.landing import file_exists, read_landing, split_malformed
 from ..streaming.landing import landing_stream
-from . import batch, publish
+from . import batch, compact, publish
 from .publish import Warehouse
 
 _SCD_SPEC = td.ORDER_ACCOUNTS
@@ -199,9 +200,10 @@ def _staging_text(spark, d):
 
 def q_k1_typed_append(spark, d):
     stg = _staging_text(spark, d)
-    loaded, _ = facts.append_new(stg.where(F.col("transaction_date") < F.lit(td.REPORT_DAY)),
-                                 None)
-    new, _ = facts.append_new(stg, loaded)
+    parsed = cut_lineage(facts.parse_transactions(stg))
+    first = parsed.where(F.col("trans_date") < ts_lit(td.REPORT_DAY))
+    loaded, _ = facts.append_new(first, None, parse=lambda df: df, staged=True)
+    new, _ = facts.append_new(parsed, loaded, parse=lambda df: df, staged=True)
     return new
 
 
@@ -344,6 +346,23 @@ def q_j2_bucketed_ids(spark, d):
     return ids.unknown(ops, ["first", "second"])
 
 
+def q_w3_compact(spark, d):
+    """Operations loaded by three batches, each over many days; small day folders packed after the second and again
+    after the third. What a reader gets."""
+    ops, wh = td.operations(spark, d), Warehouse(_scratch(spark))
+    before, path = F.col("trans_date") < ts_lit(td.REPORT_DAY), wh.fact("transactions")
+    parts = (before & (F.col("oper_result") == "SUCCESS"), before & (F.col("oper_result") != "SUCCESS"), ~before)
+    last = date.fromisoformat(td.REPORT_DAY) + timedelta(days=1)
+    for k, (day, part) in enumerate(zip((td.REPORT_DAY_BEFORE, td.REPORT_DAY, last), parts, strict=True)):
+        view = publish.begin(spark, wh, day)
+        publish.write_leaf(ops.where(part).withColumn(publish.OP_DAY, day_of("trans_date")), path, publish.REPORT_DT, view,
+                           partition_by=publish.OP_DAY, sort_by="trans_date")
+        publish.commit(spark, wh, view, td.parse_ts(td.SCD_RUN_TS))
+        if k:
+            compact.compact(spark, path, view)
+    return publish.read_table(spark, wh, path)
+
+
 def _written(spark, lines):
     folder = _scratch(spark)
     lines.write.text(folder)
@@ -447,6 +466,7 @@ QUERIES = {
     "w8_crash_rerun": q_w8_crash_rerun,
     "j5_digest_deleted_keys": q_j5_digest_deleted_keys,
     "j2_bucketed_ids": q_j2_bucketed_ids,
+    "w3_compact": q_w3_compact,
     "s8_terminals_file": q_s8_terminals_file,
     "s9_blacklist_file": q_s9_blacklist_file,
     "s11_landing_stream": q_s11_landing_stream,
@@ -766,6 +786,11 @@ FROM blacklist WHERE (day(entry_dt) = 13) = (entry_dt <= {RDAY})""", _DOMAIN),
 SELECT s.account_num, s.priority, s.status, s.create_dt, s.update_dt, m.mark
 FROM src1 s, (SELECT coalesce(max(CASE WHEN n > 1 THEN last_dt END), max(create_dt)) AS mark FROM o0 WHERE rn_last = 1) m
 WHERE (s.update_dt IS NULL AND s.create_dt > m.mark) OR s.update_dt > m.mark""", _SCD),
+    "w3_compact": _with(f"""
+SELECT ops.*, CAST(trans_date AS DATE) AS op_day,
+       CASE WHEN CAST(trans_date AS DATE) >= {RDAY} THEN CAST({RDAY} + INTERVAL 1 DAY AS DATE)
+            WHEN oper_result = 'SUCCESS' THEN DATE '{td.REPORT_DAY_BEFORE}' ELSE {RDAY} END AS report_dt
+FROM ops""", _DOMAIN),
     "w8_published_history": _with("SELECT * FROM hist1", _SCD),
     "w8_crash_rerun": _with("""
 SELECT 'first' AS step, * FROM hist0 UNION ALL SELECT 'crash', * FROM hist0

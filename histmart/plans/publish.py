@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 
 from ..functions.predicates import is_current
 from ..schemas import EFF_TO, open_end
+from ..session import Rows
 
 STATE, BATCH, REPORT_DT, OP_DAY, ATTEMPT, BUCKET = "state", "batch_dt", "report_dt", "op_day", "attempt", "bucket"
 CURRENT, SETTLED = "current", "settled"
@@ -168,18 +169,20 @@ def _view(spark: SparkSession, wh: Warehouse, at) -> View:
 # ---- leaves ----
 
 def write_leaf(df: DataFrame, path: str, column: str, view: View, partition_by: str | list | None = None,
-               sort_by: str | None = None, small: bool = False) -> None:
+               sort_by: str | None = None, small: bool = False, rows: Rows | None = None) -> None:
     """Write an attempt's rows of a table, even none, into its own folder ``path/column=batch/attempt=a``.
 
     ``small`` outputs (mart, quarantine, logs) go through a rebalance so AQE
     sizes the files; ``sort_by`` orders rows within files so that row-group
-    statistics prune."""
+    statistics prune. ``rows`` counts what is written."""
     partition_by = [partition_by] if isinstance(partition_by, str) else partition_by or []
     out = df.drop(column)
     if small:
         out = out.hint("rebalance")
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, sort_by)
+    if rows is not None:
+        out = rows.of(out)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -191,12 +194,14 @@ def read_table(spark: SparkSession, wh: Warehouse, path: str, at=..., schema: T.
     view = finished_view(spark, wh) if at is ... else _view(spark, wh, at)
     if not view.attempts or not _exists(spark, path):
         return spark.createDataFrame([], schema) if schema is not None else None
-    return read_leaves(spark, path, list(view.attempts)).drop(ATTEMPT)
+    return read_leaves(spark, path, view).drop(ATTEMPT)
 
 
-def read_leaves(spark: SparkSession, path: str, attempts: list[str]) -> DataFrame:
-    """What some attempts wrote into a table (a filter on its partitions), with the attempt."""
-    return spark.read.parquet(path).where(F.col(ATTEMPT).isin(attempts))
+def read_leaves(spark: SparkSession, path: str, view: View, attempts: list[str] | None = None) -> DataFrame:
+    """What a view's attempts (or some of them) wrote into a table (a filter on its partitions), with the attempt;
+    packed rows come from the compactions that hold in the view."""
+    from .compact import read_compacted
+    return read_compacted(spark, path, view, attempts)
 
 
 def own_rows(spark: SparkSession, path: str, column: str, view: View) -> DataFrame | None:

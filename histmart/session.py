@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job of this engine relies on.
 #  * UTC session zone: all engine timestamps are TIMESTAMP_NTZ, but a few
@@ -77,6 +78,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+class Rows:
+    """Number of rows that pass a plan's top while it is written: no second job reads them again.
+
+    ``of`` must be the last step before the action, so that it runs in the job's result stage, whose tasks
+    count once however often executors are lost; below a shuffle repeated tasks could count twice."""
+
+    def __init__(self):
+        self._seen = Observation()
+
+    def of(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, F.count(F.lit(1)).alias("n"))
+
+    @property
+    def n(self) -> int:
+        """The count, after the action."""
+        return int(self._seen.get.get("n", 0))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
