@@ -71,14 +71,19 @@ def read_compacted(spark: SparkSession, path: str, view: View, attempts: list[st
 
     Units are left out by partition filters: their files are not opened."""
     wanted = list(view.attempts if attempts is None else attempts)
-    leaves = spark.read.parquet(path).where(F.col(ATTEMPT).isin(wanted))
     found = compactions(spark, path, view)
+    leaves = spark.read.parquet(path).where(F.col(ATTEMPT).isin(wanted)) if not found or _exists(spark, path) else None
     if not found:
         return leaves
     gone = [u for c in found for u in c.units]
     packed = spark.read.parquet(_folder(path)).where(F.col(COMPACT).isin([c.name for c in found]) & ~_unit(COMPACT).isin(gone)) \
         .where(F.col(ATTEMPT).isin(wanted)).drop(COMPACT)
-    return leaves.where(~_unit(ATTEMPT).isin(gone)).unionByName(packed)
+    return packed if leaves is None else leaves.where(~_unit(ATTEMPT).isin(gone)).unionByName(packed)
+
+
+def holds(spark: SparkSession, path: str) -> bool:
+    """Whether a table has any rows' files: its own or packed ones (after ``drop_packed`` perhaps these alone)."""
+    return _exists(spark, path) or _exists(spark, _folder(path))
 
 
 def _sizes(spark: SparkSession, path: str, column: str) -> DataFrame:
@@ -113,13 +118,14 @@ def compact(spark: SparkSession, path: str, view: View, small: int = SMALL, sort
         return None
     found = compactions(spark, path, view)
     of_attempts = [u for u in units if u.partition("/")[0] in view.attempts]
-    rows = spark.read.parquet(path).where(_unit(ATTEMPT).isin(of_attempts))
+    rows = spark.read.parquet(path).where(_unit(ATTEMPT).isin(of_attempts)) if of_attempts else None
     held = {u.partition("/")[0] for u in of_attempts}
     of_earlier = [u for u in units if u not in set(of_attempts)]
     if of_earlier:
         named = {u.partition("/")[0] for u in of_earlier}
         held |= {a for c in found if c.name in named for a in c.attempts}
-        rows = rows.unionByName(spark.read.parquet(_folder(path)).where(_unit(COMPACT).isin(of_earlier)).drop(COMPACT))
+        earlier = spark.read.parquet(_folder(path)).where(_unit(COMPACT).isin(of_earlier)).drop(COMPACT)
+        rows = earlier if rows is None else rows.unionByName(earlier)
     last = max((int(re.match(r"c(\d+)", r[0]).group(1)) for r in spark.read.parquet(_log(path)).select("name").collect()),
                default=0) if _exists(spark, _log(path)) else 0
     name = f"c{last + 1:07d}-{uuid.uuid4().hex[:8]}"

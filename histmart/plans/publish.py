@@ -191,8 +191,9 @@ def write_leaf(df: DataFrame, path: str, column: str, view: View, partition_by:
 
 def read_table(spark: SparkSession, wh: Warehouse, path: str, at=..., schema: T.StructType | None = None) -> DataFrame | None:
     """The rows of a table in a view (a View or a finished batch; default: the newest finished batch)."""
+    from .compact import holds
     view = finished_view(spark, wh) if at is ... else _view(spark, wh, at)
-    if not view.attempts or not _exists(spark, path):
+    if not view.attempts or not holds(spark, path):
         return spark.createDataFrame([], schema) if schema is not None else None
     return read_leaves(spark, path, view).drop(ATTEMPT)
 
