@@ -13,7 +13,7 @@ FIRST = date(2024, 1, 1)
 def load(spark, wh, k, days=3, base=None):
     """The k-th load: 5 operations on each of some days."""
     view = publish.begin(spark, wh, FIRST + timedelta(days=k), base)
-    rows = spark.range(5 * days).select(
+    rows = spark.range(0, 5 * days, 1, 1).select(
         (F.col("id") + 1000 * k).alias("trans_id"),
         F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 86400 / 5 - k).cast("timestamp_ntz").alias("trans_date"))
     publish.write_leaf(rows.withColumn("op_day", F.to_date("trans_date")), wh.fact("t"), publish.REPORT_DT, view,
