@@ -208,3 +208,15 @@ def test_char_padding_is_not_significant_in_the_batch(spark):
     da, _ = _source_delta(accts, ACCOUNTS, datetime(2000, 1, 1))
     assert dc.join(da, "account_num").count() == 1
     assert dc.head().card_num == "C1"
+
+
+def test_rows_are_compared_without_sorting_and_copies_of_staged_batches_collapse(spark):
+    rows = cut_lineage(spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", 3), ("c", 4), (None, 5), (None, 5)], "k string, v int"))
+    for staged in (False, True):
+        good, differing = facts.one_per_key(rows, "k", staged)
+        assert sorted(map(str, map(tuple, good.collect()))) == ["('a', 1)", "('b', 2)", "(None, 5)", "(None, 5)"]
+        assert [r[0] for r in differing.collect()] == ["c"]
+        assert "SortAggregate" not in good._jdf.queryExecution().executedPlan().toString()
+    single = cut_lineage(rows.where("v in (2, 3)"))
+    good, differing = facts.one_per_key(single, "k", staged=True)
+    assert good.count() == 2 and differing.count() == 0
