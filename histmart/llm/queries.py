@@ -65,7 +65,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return token_counts.prefix_token_counts(docs, tokenizer_file("piece_bpe_32k.model"), store=False, keep=["doc_id"])
+    tables = token_counts.prefix_token_counts(docs, tokenizer_file("piece_bpe_32k.model"), keep=["doc_id"])
+    return tables.withColumn("n_tokens", F.coalesce(F.try_element_at("prefix_tokens", F.lit(-1)), F.lit(0)).cast("long")).drop("prefix_tokens")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

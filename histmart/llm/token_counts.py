@@ -1,44 +1,56 @@
-"""Token counts (operator 7): prefix dynamic programming over a sentencepiece model.
+"""Token counts (operator 7): prefix dynamic programming over a sentencepiece BPE model.
 
-No piece of the model holds a space mark after another character (checked when
-the model is loaded), so merges never cross from a word into the spaces of the
-next one. A text is therefore a sequence of segments (spaces, then other
-characters) whose token counts add up:
+Merges only ever join neighbours, the best piece first, so two facts hold of the tokens of a text:
 
-    count(prefix) = count(prefix up to the last segment start) + count(rest)
+- every run of neighbouring tokens is itself encoded as just these tokens;
+- a sequence of pieces is the encoding of its text if each two neighbours are the encoding of theirs.
 
-Per text the operator stores the end of each segment in characters and the
-token count up to it. ``tokens_before`` and ``longest_prefix`` answer any
-prefix from these two arrays; only the part of one segment, looked up in the
-table of that segment's own prefixes, is added. Distinct segments are counted
-by the library once and kept in a bounded dictionary.
+Hence the tokens of a prefix are those of a shorter prefix and one last token, which is the only piece ending
+there that its text, joined to the last token before it, keeps apart:
 
-A model with pieces across that border is counted as one segment per text, so
-results stay exact.
+    last(i)  = the piece t ending at i with encode(last(i - |t|) + t) = last(i - |t|), t
+    count(i) = count(i - |t|) + tokens of t
 
-Defined cases: null text counts as empty (0 bytes, 0 tokens, no segments);
-texts without spaces are one segment; a budget below 0 is taken as 0; repeated
-rows give repeated results; columns of the result replace columns of the same
-name.
+The table holds ``last`` and ``count`` for every character; a step tries at most one piece of each length, so it
+is linear in the text. Whether two pieces stay apart is asked of the library once per pair and remembered.
+
+No piece of such a model holds a space mark after another character (checked when it is loaded), so no token
+crosses from a word into the spaces of the next one: the tables of distinct segments (spaces, then other
+characters) are built once and remembered, and a text's table is its segments' tables, each on top of the tokens
+before it. A model with pieces across that border has one segment per text.
+
+``prefix_tokens`` stores the exact count of the first 1, 2, … characters of a text. ``tokens_before``,
+``longest_prefix`` and ``truncate`` only look things up there; they never encode.
+
+Models of another kind (no byte pieces, own symbols, characters that only longer pieces hold, not BPE, folded or
+dropped characters) keep exact counts,
+but their tables are built by encoding every prefix, in time that grows with the square of a text.
+
+Defined cases: null text counts as empty (0 bytes, 0 tokens, an empty table; cut, it stays null); texts without
+spaces are one segment; a budget below 0 is taken as 0, and asks beyond the text as its length; counts may fall from
+one prefix to the next, and the longest prefix within the budget is taken, whatever lies between; repeated
+rows give repeated results; columns of the result replace columns of the same name.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from array import array
 from functools import lru_cache
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField
 
 from . import common
 
 MARK = "▁"
-#: Characters (with ENTRY for each entry's objects) that a Python worker's dictionary of segments may hold; cleared when
-#: full. Longer segments than SHORT are not remembered.
-MEMO_CHARS, ENTRY, SHORT = 24 << 20, 120, 64
+#: A character of no piece: it puts an end to the mark that the library places before a text.
+GUARD = "\U0010FFFD"
+#: Bytes of tables and keys (with ENTRY for each entry's objects) that a Python worker's dictionary of segments may
+#: hold; cleared when full. Longer segments than SHORT are not remembered. PAIRS bounds the remembered pairs.
+MEMO_BYTES, ENTRY, SHORT, PAIRS = 128 << 20, 160, 64, 400_000
 SEGMENT = re.compile(f"[ {MARK}]*[^ {MARK}]+|[ {MARK}]+")
 
 
@@ -46,14 +58,31 @@ class Counter:
     """Exact prefix counts with one sentencepiece model."""
 
     def __init__(self, path: str):
+        import ahocorasick
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = map(self.model.id_to_piece, range(self.model.get_piece_size()))
-        self.splits = not any(MARK in p.lstrip(MARK) for p in pieces) and self.plain()
-        self.lone_mark = 1 if self.model.piece_to_id(MARK) != self.model.unk_id() else len(MARK.encode())
-        self.memo: dict[str, int] = {}
-        self.memo_chars = 0
+        proto = sentencepiece_model_pb2.ModelProto()
+        proto.ParseFromString(self.model.serialized_model_proto())
+        kinds, normal = sentencepiece_model_pb2.ModelProto.SentencePiece, [p.piece for p in proto.pieces if p.type == 1]
+        ordinary = set(normal)
+        self.chains = proto.trainer_spec.model_type == proto.trainer_spec.BPE and proto.trainer_spec.byte_fallback \
+            and not any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) or GUARD in p.piece for p in proto.pieces) \
+            and all(c in ordinary for p in normal for c in p) and self.plain()
+        self.splits = self.chains and not any(MARK in p.lstrip(MARK) for p in normal)
+        self.memo: dict[str, bytes] = {}
+        self.memo_bytes = 0
+        if self.chains:
+            self.guard = len(self.model.encode(GUARD))
+            ids = self.model.encode([GUARD + p for p in normal], num_threads=1)
+            self.pieces = {p: i[-1] for p, i in zip(normal, ids, strict=True) if len(i) == self.guard + 1}
+            self.pairs: dict[str, dict[str, bool]] = {p: {} for p in self.pieces}
+            self.asked = 0
+            self.ending = ahocorasick.Automaton()
+            for p, known in self.pairs.items():
+                self.ending.add_word(p, (len(p), p, known))
+            self.ending.make_automaton()
 
     def plain(self) -> bool:
         """Whether texts reach the merges unchanged but for a leading mark (no folding, no dropped spaces)."""
@@ -62,78 +91,108 @@ class Counter:
         return self.model.decode(ids).replace(" ", "") == probe.replace(" ", "") and \
             "".join(self.model.encode(" a  b ", out_type=str)) == f"{MARK}{MARK}a{MARK}{MARK}b{MARK}"
 
+    def apart(self, u: str, t: str, known: dict[str, bool]) -> bool:
+        """Whether the text of two tokens is encoded as these two; remembered in ``known``, the pairs of ``t``."""
+        if u not in self.pieces:
+            return True
+        if self.asked >= PAIRS:
+            for pairs in self.pairs.values():
+                pairs.clear()
+            self.asked = 0
+        self.asked += 1
+        known[u] = self.model.encode(GUARD + u + t)[self.guard:] == [self.pieces[u], self.pieces[t]]
+        return known[u]
+
+    def table(self, segment: str) -> list[int]:
+        """Token count of every non-empty prefix of one segment.
+
+        The automaton names the pieces that end at each character, longest first. A character that is no piece is kept
+        as its bytes and apart from all neighbours.
+        """
+        if not self.chains:
+            return [len(x) for x in self.model.encode([segment[:i] for i in range(1, len(segment) + 1)], num_threads=1)]
+        last, count, filled = [""], [0], 0
+        for at, (size, t, known) in self.ending.iter(segment):
+            if at < filled:
+                continue
+            while filled < at:
+                last.append(segment[filled])
+                count.append(count[filled] + len(segment[filled].encode()))
+                filled += 1
+            start = at + 1 - size
+            u = last[start]
+            if not u or (known[u] if u in known else self.apart(u, t, known)):
+                last.append(t)
+                count.append(count[start] + 1)
+                filled += 1
+        for char in segment[filled:]:
+            count.append(count[-1] + len(char.encode()))
+        return count[1:]
+
     def segments(self, text: str) -> list[str]:
         """Segments of the text as the merges see it: with the leading mark, spaces as marks."""
-        if not text:
-            return []
-        if not self.splits:
-            return [text]
-        body = text.replace(" ", MARK)
-        first, *rest = SEGMENT.findall(MARK + body)
-        return [first, *rest]
-
-    def whole(self, segments: list[str]) -> dict[str, int]:
-        """Counts of segments not yet known. The library itself puts a mark before a text: one less is passed on."""
-        found: dict[str, int] = {}
-        for at in range(0, len(segments), 20_000):
-            some = segments[at:at + 20_000]
-            found.update(zip(some, self.counts(some), strict=True))
-        return found
-
-    def remember(self, fresh: dict[str, int]) -> None:
-        for s, n in fresh.items():
-            if len(s) <= SHORT:
-                self.memo_chars += len(s) + ENTRY
-                if self.memo_chars > MEMO_CHARS:
-                    self.memo.clear()
-                    self.memo_chars = len(s) + ENTRY
-                self.memo[s] = n
-
-    def counts(self, segments: list[str]) -> list[int]:
-        if not self.splits:
-            return [len(x) for x in self.model.encode(segments, num_threads=1)]
-        known = self.model.encode([s[1:] for s in segments], num_threads=1)
-        return [len(x) if s != MARK else self.lone_mark for s, x in zip(segments, known, strict=True)]
-
-    def prefix_counts(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """For each text the character end of each segment and the tokens up to it."""
-        split = [self.segments(t or "") for t in texts]
-        memo = self.memo
-        fresh = self.whole(list({s for ss in split for s in ss if s not in memo}))
-        lead = 1 if self.splits else 0
-        out = [([e - lead for e in accumulate(map(len, ss))], list(accumulate(memo[s] if s in memo else fresh[s] for s in ss))) for ss in split]
-        self.remember(fresh)
+        if not text or not self.chains:
+            return [text] if text else []
+        body = MARK + text.replace(" ", MARK)
+        return SEGMENT.findall(body) if self.splits else [body]
+
+    def known(self, segments: list[str]) -> list[bytes]:
+        """Tables (32-bit counts) of distinct segments."""
+        out = []
+        for s in segments:
+            t = self.memo.get(s)
+            if t is None:
+                t = array("i", self.table(s)).tobytes()
+                if len(s) <= SHORT:
+                    size = len(s) + len(t) + ENTRY
+                    self.memo_bytes += size
+                    if self.memo_bytes > MEMO_BYTES:
+                        self.memo.clear()
+                        self.memo_bytes = size
+                    self.memo[s] = t
+            out.append(t)
         return out
 
-    def segment_table(self, segment: str, first: bool) -> list[int]:
-        """Token count of every non-empty prefix of one segment."""
-        skip = 1 if first and self.splits else 0
-        return self.counts([segment[:i] for i in range(1 + skip, len(segment) + 1)])
-
-    def tokens_before(self, text: str | None, ends: list[int], counts: list[int], n_chars: int) -> int:
-        """Tokens of the first ``n_chars`` characters, from the stored arrays."""
-        n_chars = max(0, min(n_chars, len(text or "")))
-        k = bisect_right(ends, n_chars)
-        done, before = (ends[k - 1], counts[k - 1]) if k else (0, 0)
-        if n_chars == done:
-            return before if n_chars else 0
-        part = self.as_segment(text, done, n_chars, k == 0)
-        return before + self.counts([part])[0]
-
-    def as_segment(self, text: str, start: int, end: int, first: bool) -> str:
-        part = text[start:end].replace(" ", MARK) if self.splits else text[start:end]
-        return MARK + part if first and self.splits else part
-
-    def longest_prefix(self, text: str | None, ends: list[int], counts: list[int], budget: int) -> int:
-        """Most characters whose count, and that of every shorter prefix ending with a segment, is within ``budget``."""
-        budget = max(0, budget)
-        k = bisect_right(counts, budget)
-        if k == len(ends):
-            return len(text or "")
-        start, before = (ends[k - 1], counts[k - 1]) if k else (0, 0)
-        table = self.segment_table(self.as_segment(text, start, ends[k], k == 0), k == 0)
-        fits = [i for i, n in enumerate(table, 1) if before + n <= budget]
-        return start + max(fits, default=0)
+    def prefix_counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of all prefixes of all texts in one array, and where each text starts in it."""
+        number: dict[str, int] = {}
+        codes, heads = [], []
+        for t in texts:
+            heads.append(len(codes))
+            codes += [number.setdefault(s, len(number)) for s in self.segments(t or "")]
+        starts = np.concatenate([[0], np.cumsum([len(t or "") for t in texts])]).astype(np.int64)
+        if not codes:
+            return np.zeros(0, np.int32), starts
+        flat = np.frombuffer(b"".join(self.known(list(number))), dtype=np.int32)
+        code = np.array(codes, dtype=np.int32)
+        size = np.fromiter(map(len, number), np.int64, len(number))
+        end = np.cumsum(size)
+        total = flat[end - 1].astype(np.int64)[code]
+        before = np.cumsum(total) - total
+        heads = np.array(heads)
+        of_text = np.searchsorted(heads, np.arange(len(code)), side="right") - 1
+        before -= before[heads[of_text]]
+        lens = size[code]
+        to = np.cumsum(lens)
+        shift = (end - size)[code] - (to - lens)
+        counts = flat[np.arange(to[-1]) + np.repeat(shift, lens)] + np.repeat(before.astype(np.int32), lens)
+        if self.chains:
+            first = np.zeros(len(code), dtype=bool)
+            first[heads[np.diff(starts) > 0]] = True
+            counts = np.delete(counts, (to - lens)[first])
+        return counts, starts
+
+
+def tokens_before(counts: np.ndarray, n_chars: int) -> int:
+    """Tokens of the first ``n_chars`` characters, from a text's stored counts."""
+    n_chars = max(0, min(n_chars, len(counts)))
+    return int(counts[n_chars - 1]) if n_chars else 0
+
+
+def longest_prefix(counts: np.ndarray, budget: int) -> int:
+    """Most characters whose token count is within ``budget``, from a text's stored counts."""
+    fits = np.flatnonzero(counts <= max(0, budget))
+    return int(fits[-1]) + 1 if len(fits) else 0
 
 
 @lru_cache(maxsize=2)
@@ -142,35 +201,31 @@ def counter(path: str) -> Counter:
 
 
 def prefix_token_counts(df: DataFrame, model_path: str, limit: int = 4096, text: str = "text",
-                        store: bool = True, keep: list[str] | None = None) -> DataFrame:
-    """``df`` with ``n_bytes``, ``n_tokens``, ``over_limit`` and, if stored, ``prefix_chars`` and ``prefix_tokens``.
+                        keep: list[str] | None = None) -> DataFrame:
+    """``df`` with ``n_bytes``, ``n_tokens``, ``over_limit`` and ``prefix_tokens`` (tokens of the first 1, 2, … characters).
 
     The whole count is the last entry of the prefix table.
     """
-    fields = [StructField("n_bytes", LongType()), StructField("n_tokens", LongType()), StructField("over_limit", BooleanType())]
-    if store:
-        fields += [StructField(c, ArrayType(IntegerType())) for c in ("prefix_chars", "prefix_tokens")]
+    fields = [StructField("n_bytes", LongType()), StructField("n_tokens", LongType()), StructField("over_limit", BooleanType()),
+              StructField("prefix_tokens", ArrayType(IntegerType()))]
 
     def run(batch: pa.RecordBatch) -> dict:
         texts = batch.column(text).to_pylist()
-        tables = counter(model_path).prefix_counts(texts)
-        n = [c[-1] if c else 0 for _, c in tables]
-        out = {"n_bytes": [len((t or "").encode()) for t in texts], "n_tokens": n, "over_limit": [x > limit for x in n]}
-        if store:
-            out |= {"prefix_chars": [e for e, _ in tables], "prefix_tokens": [c for _, c in tables]}
-        return out
+        counts, starts = counter(model_path).prefix_counts(texts)
+        n = np.append(counts, 0)[starts[1:] - 1] * (np.diff(starts) > 0)
+        return {"n_bytes": [len((t or "").encode()) for t in texts], "n_tokens": pa.array(n.astype(np.int64)),
+                "over_limit": pa.array(n > limit),
+                "prefix_tokens": pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(counts.astype(np.int32, copy=False)))}
 
     return common.map_batches(df, run, fields, [text], keep)
 
 
-def truncate(df: DataFrame, model_path: str, budget: int, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``df`` (with stored prefix tables) with ``within_budget``: its text cut to at most ``budget`` tokens."""
-    from pyspark.sql.types import StringType
+def truncate(df: DataFrame, budget: int, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``df`` (with stored prefix tables) with ``within_budget``: its text cut to at most ``budget`` tokens, by looking up."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        own = counter(model_path)
-        rows = zip(*(batch.column(c).to_pylist() for c in (text, "prefix_chars", "prefix_tokens")), strict=True)
-        return {"within_budget": [t if t is None else t[:own.longest_prefix(t, e or [], c or [], budget)] for t, e, c in rows]}
+        tables = batch.column("prefix_tokens")
+        return {"within_budget": [t and t[:longest_prefix(np.asarray(c.values), budget)]
+                                  for t, c in zip(batch.column(text).to_pylist(), tables, strict=True)]}
 
-    return common.map_batches(df, run, [StructField("within_budget", StringType())],
-                              [text, "prefix_chars", "prefix_tokens"], keep)
+    return common.map_batches(df, run, [StructField("within_budget", StringType())], [text, "prefix_tokens"], keep)

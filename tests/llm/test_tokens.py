@@ -72,24 +72,55 @@ def test_empty_tables(spark):
 def test_every_prefix_count_is_exact(text):
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     own = token_counts.counter(MODEL)
-    (ends, counts), = own.prefix_counts([text])
-    assert (counts[-1] if counts else 0) == len(sp.encode(text))
-    for n in range(len(text) + 1):
-        assert own.tokens_before(text, ends, counts, n) == len(sp.encode(text[:n]))
-    for budget in (0, 1, 3, 7):
-        assert len(sp.encode(text[:own.longest_prefix(text, ends, counts, budget)])) <= budget
+    counts, starts = own.prefix_counts([None, text, "", text])
+    table = counts[starts[1]:starts[2]]
+    assert starts.tolist() == [0, 0, len(text), len(text), 2 * len(text)] and table.tolist() == counts[starts[3]:].tolist()
+    want = [len(sp.encode(text[:n])) for n in range(len(text) + 1)]
+    assert [token_counts.tokens_before(table, n) for n in range(len(text) + 1)] == want
+    for budget in (-1, 0, 1, 3, 7):
+        assert token_counts.longest_prefix(table, budget) == max(n for n, k in enumerate(want) if k <= max(0, budget))
+
+
+@pytest.mark.parametrize("splits", [True, False])
+def test_runs_of_spaces_and_pieces_of_equal_rank(splits):
+    """Pieces of spaces share one rank: ties go to the left. Without segments the whole text is one chain."""
+    own = token_counts.Counter(MODEL)
+    own.splits = splits
+    for text in [" " * k + "foo" + " " * (k // 2) + "\nthe  end" for k in range(40)] + [" " * k for k in range(1, 50)]:
+        counts, _ = own.prefix_counts([text])
+        assert counts.tolist() == [len(own.model.encode(text[:n])) for n in range(1, len(text) + 1)]
+
+
+def test_questions_need_no_model():
+    """A long text without spaces: its table takes linear time; then the model is taken away."""
+    text = "".join(chr(0x4E00 + 7 * k * k % 3000) for k in range(60_000)) + "abcdefgh" * 5_000 + "\U000F1234é" * 1_000
+    own = token_counts.Counter(MODEL)
+    counts, starts = own.prefix_counts([text])
+    some = [1, 2, 17, 5_000, 59_999, 60_003, 99_998, 100_001, len(text)]
+    want = [len(own.model.encode(text[:n])) for n in some]
+    own.model = None
+    assert [token_counts.tokens_before(counts, n) for n in some] == want and starts.tolist() == [0, len(text)]
+    assert token_counts.tokens_before(counts, token_counts.longest_prefix(counts, 4096)) <= 4096 < counts[token_counts.longest_prefix(counts, 4096)]
+    assert not own.memo
+
+
+def test_other_models_encode_every_prefix():
+    own = token_counts.Counter(MODEL)
+    own.chains = own.splits = False
+    text = " it's  naïve 漢🙂 "
+    assert own.prefix_counts([text, "", text])[0].tolist() == 2 * [len(own.model.encode(text[:n])) for n in range(1, len(text) + 1)]
 
 
 def test_token_count_frames(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     docs = spark.createDataFrame([(i, t, -1) for i, t in enumerate(TEXTS)], "doc_id long, text string, n_tokens long")
     got = token_counts.prefix_token_counts(docs, MODEL, limit=1000)
-    cut = {r["doc_id"]: r["within_budget"] for r in token_counts.truncate(got, MODEL, 5).collect()}
+    cut = {r["doc_id"]: r["within_budget"] for r in token_counts.truncate(got, 5).collect()}
     for r in got.collect():
         text = TEXTS[r["doc_id"]]
         n = len(sp.encode(text or ""))
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len((text or "").encode()), n, n > 1000)
-        assert r["prefix_tokens"][-1:] == ([n] if text else []) and r["prefix_chars"][-1:] == ([len(text)] if text else [])
+        assert len(r["prefix_tokens"]) == len(text or "") and r["prefix_tokens"][-1:] == ([n] if text else [])
         assert cut[r["doc_id"]] is None if text is None else len(sp.encode(cut[r["doc_id"]])) <= 5 and text.startswith(cut[r["doc_id"]])
 
 
@@ -103,18 +134,21 @@ def test_dictionaries_are_bounded_by_bytes(own):
     assert 0 < own.memo_bytes <= byte_bpe.MEMO_BYTES and max(map(len, own.memo)) <= byte_bpe.SHORT
     counter = token_counts.Counter(MODEL)
     want = [len(counter.model.encode(t, num_threads=1)) for t in texts]
-    assert [c[-1] for _, c in counter.prefix_counts(texts)] == want == [c[-1] for _, c in counter.prefix_counts(texts)]
-    assert counter.memo_chars <= token_counts.MEMO_CHARS and max(map(len, counter.memo)) <= token_counts.SHORT
+    for _ in range(2):
+        counts, starts = counter.prefix_counts(texts)
+        assert counts[starts[1:] - 1].tolist() == want
+    assert 0 < counter.memo_bytes <= token_counts.MEMO_BYTES and max(map(len, counter.memo)) <= token_counts.SHORT
 
 
 def test_full_dictionaries_are_cleared(own, monkeypatch):
     monkeypatch.setattr(byte_bpe, "MEMO_BYTES", 2_000)
-    monkeypatch.setattr(token_counts, "MEMO_CHARS", 2_000)
+    monkeypatch.setattr(token_counts, "MEMO_BYTES", 2_000)
+    monkeypatch.setattr(token_counts, "PAIRS", 20)
     counter = token_counts.Counter(MODEL)
     for k in range(6):
         text = " ".join(f"some{j}thing{k}" for j in range(40))
         assert own.decode(own.encode([text, text])[1]) == text.encode() and own.memo_bytes <= 2_000
-        assert counter.prefix_counts([text])[0][1][-1] == len(counter.model.encode(text, num_threads=1)) and counter.memo_chars <= 2_000
+        assert counter.prefix_counts([text])[0][-1] == len(counter.model.encode(text, num_threads=1)) and counter.memo_bytes <= 2_000 + 500
 
 
 def test_joined_chunks_fall_back_where_a_pattern_does_not_split(tik):
