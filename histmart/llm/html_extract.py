@@ -1,26 +1,28 @@
 """HTML extraction (operator 10) by site template removal.
 
-Every page is parsed once into elements and text pieces. Each element subtree
-is hashed over its tags and text; Spark counts, per host, on how many different
-pages a hash occurs (pages with equal text count once, so copies of a page are
-no template). Subtrees that recur on at least ``min_pages`` pages and
-``min_share`` of the host's pages are deleted. Text blocks of the article
-itself (paragraphs, headings, list items, cells, inline marks) are never
-deleted this way: a passage that many articles quote stays.
-
-Element kinds that are never main text (navigation, headers, footers, asides,
-forms, scripts, styles) go on every page, and if a page has an article (else a
-main element), only its text is kept. What recurrence can't show on a host of
-fewer than ``enough_pages`` different pages is told by names: elements whose
-class or role is the name of an advert, notice, sidebar, menu or reader comment
-as a whole (see named). On larger hosts a name decides nothing, the counts do.
-
-A host's table of deleted hashes is short: each takes at least ``min_share`` of
-the host's pages. Pages are not shuffled unless the tables of all hosts exceed
-the broadcast bound; then hot hosts are split off (``common.attach``).
+Every page is parsed into elements and text pieces. Each element subtree has two hashes: one over its tags and
+text, one over its place (tags, classes and roles from the page down to it, its slot). Spark counts, per host, on how
+many different pages a slot holds a text (pages with equal text count once, so copies of a page are no template).
+
+- A subtree is deleted if its text recurs in its slot on ``needed`` different pages: an absolute number that grows with
+  the logarithm of the host's pages (3 to begin with, 12 on a million pages).
+- All subtrees of a slot are deleted, also those of a text of their own, if the slot occurs at most once on each page, on
+  ``needed`` different pages at least, and more than half of its pages show a text that recurs there: a place where
+  menus, notices or adverts take turns.
+
+Text blocks of the article itself (paragraphs, headings, list items, cells, inline marks) are never deleted this
+way: a passage that many articles quote stays. One rule holds for hosts of all sizes. What counts can't show (a host
+of few pages, a comment that occurs once) is told by the markup, on every host alike: element kinds that are never main
+text (navigation, footers, asides, scripts, styles, forms and headers but for those that hold the article or its title),
+elements whose class or role is the name of an advert, notice, sidebar, menu or reader comment as a whole (see named),
+and the bounds of the article: if a page has articles that hold at least half of the text of its main element, only
+their text is kept, else that of the main element, if there is one.
+
+The table of deleted hashes and slots is broadcast if its size is within a bound; otherwise pages are joined to it by
+host, hot hosts split off (``common.attach``).
 
 Defined cases: null or empty html gives empty text; null urls and urls without
-a host have no site and only the markup and names decide; unclosed and cut-off markup
+a host have no site and only the markup decides; unclosed and cut-off markup
 ends with the page; an unknown character reference stays as it is; repeated
 pages are extracted each by itself; columns of the result replace columns of
 the same name.
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -64,6 +67,9 @@ BESIDE = frozenset("reader user site page top bottom left right box bar containe
 OWN_TEXT = frozenset("post entry article story content".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 FRAME = frozenset(("html", "body", "article", "main"))
+UNSEEN = frozenset("head script style noscript template iframe svg canvas object noembed noframes title textarea select button".split())
+#: Banned kinds that stand for the page or the article if they hold its text.
+WRAPS = frozenset(("form", "header"))
 CONTAINER = frozenset("div section aside ul ol dl table nav form header footer figure details fieldset".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)"""
@@ -83,6 +89,7 @@ class Page:
     named: list[bool] = field(default_factory=lambda: [False])
     mains: list[bool] = field(default_factory=lambda: [False])
     hashes: list[int] = field(default_factory=lambda: [0])
+    slots: list[int] = field(default_factory=lambda: [0])
     pieces: list[tuple[int, str, int]] = field(default_factory=list)
 
 
@@ -108,6 +115,14 @@ def named(tag: str, attrs: str) -> bool:
     return found
 
 
+def place(parent: int, tag: str, attrs: str) -> int:
+    """Hash of an element's slot: its tag, classes and role below the slot of its parent."""
+    from xxhash import xxh3_64_intdigest
+
+    names = " ".join(sorted(f"{k.lower()}={v.strip(chr(34) + chr(39)).lower()}" for k, v in NAMES.findall(attrs) if k.lower() != "id")) if "=" in attrs else ""
+    return xxh3_64_intdigest(f"{parent}>{tag} {names}".encode("utf-8", "surrogatepass")) - 2 ** 63
+
+
 def parse(source: str) -> Page:
     from xxhash import xxh3_64_intdigest
 
@@ -166,6 +181,7 @@ def parse(source: str) -> Page:
         page.parents.append(stack[-2])
         page.tags.append(name)
         page.hashes.append(0)
+        page.slots.append(place(page.slots[stack[-2]], name, attrs))
         page.banned.append(name in NOT_TEXT)
         page.named.append("=" in attrs and named(name, attrs))
         page.mains.append(name in ("article", "main") or "main" in attrs and bool(MAIN_ROLE.search(attrs)))
@@ -178,16 +194,34 @@ def parse(source: str) -> Page:
     return page
 
 
-def areas(page: Page, by_name: bool) -> tuple[list[bool], list[bool]]:
-    """Per element: dropped by the markup (and its name); inside the article (or main) that holds the text."""
-    dropped, inside = [False] * len(page.tags), [False] * len(page.tags)
-    for i in range(1, len(page.tags)):
-        dropped[i] = page.banned[i] or by_name and page.named[i] or dropped[page.parents[i]]
-    live = [i for i in range(1, len(page.tags)) if page.mains[i] and not dropped[i]]
-    roots = {i for i in live if page.tags[i] == "article"} or set(live)
-    for i in range(1, len(page.tags)):
+def areas(page: Page) -> tuple[list[bool], list[bool]]:
+    """Per element: dropped by the markup; inside the article (or main) that holds the text."""
+    n = len(page.tags)
+    dropped, within, chars, holds = [False] * n, [""] * n, [0] * n, [""] * n
+    for i in range(n - 1, 0, -1):  # what an element holds: a main part, else a title
+        own = "main" if page.mains[i] else "title" if page.tags[i] == "h1" else holds[i]
+        holds[page.parents[i]] = max(holds[page.parents[i]], own, key=("", "title", "main").index)
+    for i in range(1, n):
+        tag, up = page.tags[i], page.parents[i]
+        wraps = tag in WRAPS and (holds[i] == "main" or holds[i] == "title" and (tag == "form" or bool(within[up])))
+        dropped[i] = page.banned[i] and not wraps or page.named[i] or dropped[up]
+        within[i] = within[up] or ("" if dropped[i] or not page.mains[i] else tag if tag == "article" else "main")
+    for _, text, element in page.pieces:
+        chars[element] += 0 if dropped[element] else len(text)
+    for i in range(n - 1, 0, -1):
+        chars[page.parents[i]] += chars[i]
+    live = [i for i in range(1, n) if page.mains[i] and not dropped[i]]
+    outer = [i for i in live if not within[page.parents[i]]]
+    articles = {i for i in live if page.tags[i] == "article"}
+    in_article = [False] * n
+    for i in range(1, n):
+        in_article[i] = in_article[page.parents[i]] or i in articles
+    held = sum(chars[i] for i in articles if not in_article[page.parents[i]])
+    roots = articles if 2 * held >= sum(chars[i] for i in outer) and articles else set(live) - articles
+    inside = [False] * n
+    for i in range(1, n):
         inside[i] = i in roots or inside[page.parents[i]]
-    return dropped, inside if roots else [True] * len(page.tags)
+    return dropped, inside if roots else [True] * n
 
 
 def may_recur(page: Page, inside: list[bool]) -> list[bool]:
@@ -196,19 +230,23 @@ def may_recur(page: Page, inside: list[bool]) -> list[bool]:
     return [tag not in FRAME and (not (own and has_main) or tag in CONTAINER) for tag, own in zip(page.tags, inside, strict=True)]
 
 
-def template_hashes(page: Page) -> set[int]:
-    """Hashes of the subtrees that may be a template, with or without names."""
-    either = [may_recur(page, areas(page, by_name)[1]) for by_name in ((False, True) if any(page.named) else (False,))]
-    return {page.hashes[i] for i in range(1, len(page.tags)) if page.hashes[i] and page.tags[i] not in ("head", "title")
-            and any(free[i] for free in either)}
+def subtrees(page: Page) -> dict[tuple[int, int], int]:
+    """``(slot, hash)`` of the subtrees that may be a template, and how often the page has the slot."""
+    free = may_recur(page, areas(page)[1])
+    found = [i for i in range(1, len(page.tags)) if free[i] and page.hashes[i] and page.tags[i] not in ("head", "title")]
+    times = Counter(page.slots[i] for i in found)
+    return {(page.slots[i], page.hashes[i]): times[page.slots[i]] for i in found}
 
 
-def main_text(page: Page, recurring: set[int], by_name: bool = True) -> str:
-    """Text blocks of the main text joined by newlines, without banned, recurring and (``by_name``) named subtrees."""
-    dropped, inside = areas(page, by_name)
+def main_text(page: Page, recurring: set[tuple[int, int]], slots: set[int] = frozenset(), markup: bool = True) -> str:
+    """Text blocks of the main text joined by newlines, without recurring subtrees and those of template slots, then
+    (``markup``) without what the markup shows. Scripts, styles and the like are never text."""
+    dropped, inside = areas(page)
     free = may_recur(page, inside)
+    if not markup:
+        dropped, inside = [t in UNSEEN for t in page.tags], [True] * len(page.tags)
     for i in range(1, len(page.tags)):
-        dropped[i] = dropped[i] or dropped[page.parents[i]] or free[i] and page.hashes[i] in recurring
+        dropped[i] = dropped[i] or dropped[page.parents[i]] or free[i] and (page.slots[i] in slots or (page.slots[i], page.hashes[i]) in recurring)
     blocks: dict[int, list[str]] = {}
     for block, text, element in page.pieces:
         if not dropped[element] and inside[element]:
@@ -223,53 +261,64 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def templates(pages: DataFrame, min_pages: int, min_share: float, enough_pages: int) -> DataFrame:
-    """``(host, hashes, enough, w)``: what recurs on each host, and whether it has enough pages for the counts to decide
-    alone; without hosts of which neither is true. ``pages`` holds ``__host`` and ``html``."""
+def templates(pages: DataFrame, min_pages: int) -> DataFrame:
+    """``(host, slots, hashes, full, w)``: deleted texts by slot, and the slots of which every text goes, of each host that
+    has any. ``pages`` holds ``__host`` and ``html``."""
     from xxhash import xxh3_64_intdigest
 
-    def subtrees(batches):
+    def found(batches):
         for batch in batches:
-            hosts, digests, found = [], [], []
+            cols = [], [], [], [], []
             for part in common.slices(batch, "html"):
                 for host, source in zip(part.column("__host").to_pylist(), part.column("html").to_pylist(), strict=True):
                     page = parse(source or "")
                     text = "".join(t for _, t, _ in page.pieces)
-                    hosts.append(host)
-                    digests.append(xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2 ** 63)
-                    found.append(list(template_hashes(page)))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.int64()),
-                                              pa.array(found, pa.list_(pa.int64()))], ["host", "page", "hashes"])
-
-    rows = common.in_batches(pages.where("__host IS NOT NULL").select("__host", "html"), subtrees, "host string, page long, hashes array<long>")
-    rows = common.cut(rows.groupBy("host", "page").agg(F.first("hashes").alias("hashes"), F.count("*").alias("w")))
+                    trees = subtrees(page)
+                    own = host, xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2 ** 63, [k[0] for k in trees], [k[1] for k in trees], list(trees.values())
+                    for col, value in zip(cols, own, strict=True):
+                        col.append(value)
+            kinds = pa.string(), pa.int64(), *[pa.list_(pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "page", "slots", "hashes", "times"])
+
+    rows = common.in_batches(pages.where("__host IS NOT NULL").select("__host", "html"), found,
+                             "host string, page long, slots array<long>, hashes array<long>, times array<long>")
+    one = rows.groupBy("host", "page").agg(F.first(F.struct("slots", "hashes", "times")).alias("x"), F.count("*").alias("w"))
+    rows = common.cut(one.select("host", "page", "x.*", "w"))
     hosts = common.cut(rows.groupBy("host").agg(F.count("*").alias("n"), F.sum("w").alias("w")))
-    counts = rows.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("seen"))
-    counts = counts.where(F.col("seen") >= min_pages)
-    many = common.attach(counts, hosts.withColumn("k", F.col("n")), "host", "k").where(F.col("seen") >= F.col("n") * min_share)
-    large = hosts.where(F.col("n") >= enough_pages).select("host", "n", "w", F.lit(None).cast("long").alias("hash"))
-    found = many.select("host", "n", "w", "hash").unionByName(large).groupBy("host")
-    return common.cut(found.agg(F.collect_list("hash").alias("hashes"), (F.first("n") >= enough_pages).alias("enough"), F.first("w").alias("w")))
-
-
-def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = 3, min_share: float = 0.05,
-            enough_pages: int = 20, keep: list[str] | None = None) -> DataFrame:
-    """``pages`` with ``text`` and ``n_chars`` (code points) of the main text."""
-    sites = templates(pages.select(host_of(common.quoted(url)).alias("__host"), common.quoted(html).alias("html")), min_pages, min_share, enough_pages)
+    each = rows.select("host", F.explode(F.arrays_zip("slots", "hashes", "times")).alias("x")).select("host", "x.*")
+    counts = each.groupBy("host", F.col("slots").alias("slot"), F.col("hashes").alias("hash")).agg(
+        F.count("*").alias("seen"), F.max("times").alias("times"))
+    counts = common.attach(common.cut(counts), hosts.withColumn("k", F.col("n")), "host", "k")
+    counts = counts.withColumn("again", F.col("seen") >= F.greatest(F.lit(min_pages), F.ceil(0.6 * F.log2("n"))))
+    places = counts.groupBy("host", "slot").agg(
+        F.sum("seen").alias("pages"), F.sum(F.when(F.col("again"), F.col("seen")).otherwise(0)).alias("same"), F.max("times").alias("times"), F.first("w").alias("w"))
+    full = places.where("times = 1 AND 2 * same > pages").select("host", "w", "slot", F.lit(None).cast("long").alias("hash"))
+    most = counts.where("again").select("host", "w", "slot", "hash").unionByName(full)
+    return common.cut(most.groupBy("host").agg(
+        F.collect_list(F.when(F.col("hash").isNotNull(), F.struct("slot", "hash"))).alias("x"),
+        F.collect_list(F.when(F.col("hash").isNull(), F.col("slot"))).alias("full"), F.first("w").alias("w")
+    ).select("host", F.col("x.slot").alias("slots"), F.col("x.hash").alias("hashes"), "full", "w"))
+
+
+def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = 3, keep: list[str] | None = None,
+            markup: bool = True) -> DataFrame:
+    """``pages`` with ``text`` and ``n_chars`` (code points) of the main text; without ``markup`` the counts alone decide."""
+    sites = templates(pages.select(host_of(common.quoted(url)).alias("__host"), common.quoted(html).alias("html")), min_pages)
     used = pages.columns if keep is None else keep
     rows = pages.select(*map(common.quoted, dict.fromkeys([*used, html])), F.coalesce(host_of(common.quoted(url)), F.lit("")).alias("__host"))
-    held = sites.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    held = sites.agg(F.sum(2 * F.size("hashes") + F.size("full"))).first()[0] or 0
     most = common.BROADCAST_ROWS if held <= BROADCAST_HASHES else 0
-    rows = common.attach(rows, sites.select(F.col("host").alias("__host"), F.col("hashes").alias("__hashes"), F.col("enough").alias("__enough"),
-                                             F.col("w").alias("__w")),
-                         "__host", "__w", "left", most)
+    names = ["__slots", "__hashes", "__full"]
+    sites = sites.select(F.col("host").alias("__host"), *(F.col(c.strip("_")).alias(c) for c in names), F.col("w").alias("__w"))
+    rows = common.attach(rows, sites, "__host", "__w", "left", most)
 
     def run(batch: pa.RecordBatch) -> dict:
-        texts, sets = [], {}
-        for source, host, own, enough in zip(*(batch.column(c) for c in (html, "__host", "__hashes", "__enough")), strict=True):
-            if (host := host.as_py()) not in sets:
-                sets[host] = set(own.as_py() or [])
-            texts.append(main_text(parse(source.as_py() or ""), sets[host], not enough.as_py()))
+        texts, known = [], {}
+        for source, host, *own in zip(*(batch.column(c) for c in (html, "__host", *names)), strict=True):
+            if (host := host.as_py()) not in known:
+                slots, hashes, full = (x.as_py() or [] for x in own)
+                known[host] = set(zip(slots, hashes, strict=True)), set(full)
+            texts.append(main_text(parse(source.as_py() or ""), *known[host], markup))
         return {"text": texts, "n_chars": [len(t) for t in texts]}
 
-    return common.map_batches(rows, run, [StructField("text", StringType()), StructField("n_chars", LongType())], [html, "__host", "__hashes", "__enough"], used)
+    return common.map_batches(rows, run, [StructField("text", StringType()), StructField("n_chars", LongType())], [html, "__host", *names], used)

@@ -94,6 +94,11 @@ CASES = [
     ("<article><p>cut off<foo", "cut off"), ("<article><p>a<!-- c > --><p>b<!-- open", "a\nb"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
     ("<p>a<br>b<img src=x>c", "a bc"), ("<main><p>m</main><p>o", "m"), ("<div role=main><p>m</div><p>o", "m"), ("<body class='has-sidebar'><p>a", "a"),
     ("<a href=\"x>y\">q</a> r", "q r"), ("<p title='it>a", "a"), ("<form><p>f</form><div id=cookie-notice>c</div><p>t", "t"), ("</p></div>t", "t"), ("<>a<3", "<>a<3"),
+    ("<form><header>h</header><article><p>a</article></form>", "a"), ("<form><h1>T</h1><p>a</form>", "T\na"),
+    ("<header>site</header><article><header><h1>T</h1></header><p>a</article>", "T\na"),
+    ("<main><h1>T</h1><p>long text of the page</p><article><p>teaser</article></main>", "T\nlong text of the page\nteaser"),
+    ("<main><p>intro</p><article><p>long text of the page</article></main>", "long text of the page"),
+    ("<article><p>a</p><section class=comments><p>own remark</section><div class=ad>x</div></article>", "a"),
 ]
 
 
@@ -135,8 +140,8 @@ ANCHORS = ("<article><h2 id=search>T {0}</h2><section id=related-work><p>work {0
            "<div class='post social'><p>post {0}</div><div data-id=search><p>data {0}</div></article>")
 
 
-def test_names_are_whole_and_yield_to_counts(spark):
-    """Anchors and classes of the text stay on any host; a named box with a text of its own goes only where counts can't tell."""
+def test_names_are_whole_and_hold_on_every_host(spark):
+    """Anchors and classes of the text stay; a named box goes, also with a text of its own. Both on hosts of any size."""
     box = "<article><p>text {0}</p><div class='related'><p>own {0}</p></div><div class='promo'><p>Buy now</p></div></article>"
     rows = [(i, "http://few.example.com/", ANCHORS.format(i)) for i in range(2)] + [(10 + i, "http://big.example.com/", ANCHORS.format(i)) for i in range(40)]
     rows += [(100 + i, "http://two.example.com/", box.format(i)) for i in range(2)] + [(110 + i, "http://box.example.com/", box.format(i)) for i in range(40)]
@@ -144,7 +149,27 @@ def test_names_are_whole_and_yield_to_counts(spark):
     got = {r["page_id"]: r["text"] for r in hx.extract(pages, keep=["page_id"]).collect()}
     for start, n in ((0, 2), (10, 40)):
         assert all(got[start + i] == f"T {i}\nwork {i}\nV\npost {i}\ndata {i}" for i in range(n))
-    assert all(got[100 + i] == f"text {i}" for i in range(2)) and all(got[110 + i] == f"text {i}\nown {i}" for i in range(40))
+    for start, n in ((100, 2), (110, 40)):
+        assert all(got[start + i] == f"text {i}" for i in range(n))
+
+
+def test_places_where_texts_take_turns(spark):
+    """A slot goes whole if most of its pages show a text that recurs there; a lone text goes with it. Own texts stay."""
+    page = "<body><div class=turns>{0}</div><div class=body><p>story {1}</p></div><div>extra {1}</div><div>Our offers</div></body>"
+    rows = [(i, "http://a.example.com/", page.format(f"box {i % 6}" if i else "a single box", i)) for i in range(40)]
+    rows += [(100 + i, "http://b.example.com/", page.format(f"box {i}", i)) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for markup in (True, False):
+        got = {r["page_id"]: r["text"] for r in hx.extract(pages, keep=["page_id"], markup=markup).collect()}
+        assert all(got[i] == f"story {i}\nextra {i}" and got[100 + i] == f"box {i}\nstory {i}\nextra {i}" for i in range(40))
+
+
+def test_needed_pages_grow_slowly(spark):
+    """A box on 8 of 2,000 pages is a template, as it is on a host of 8; the share of the host's pages says nothing."""
+    rows = [(i, "http://big.example.com/", f"<p>story {i}</p>" + ("<div><p>Season sale</p></div>" if i < 8 else "")) for i in range(2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in hx.extract(pages, keep=["page_id"]).collect()}
+    assert all(got[i] == f"story {i}" for i in range(2000))
 
 
 def test_extract_without_broadcast(spark, monkeypatch):
@@ -156,4 +181,4 @@ def test_extract_without_broadcast(spark, monkeypatch):
 
 def test_registered_queries(spark, tmp_path):
     assert [q for q in queries.queries()] and all(q.split("_")[0][2:].isdigit() for q in queries.queries())
-    assert sorted(int(q.split("_")[0][2:]) for q in queries.queries()) == list(range(1, 11))
+    assert sorted(int(q.split("_")[0][2:]) for q in queries.queries()) == list(range(1, 14))
