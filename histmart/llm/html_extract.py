@@ -6,9 +6,9 @@ many different pages a slot holds a text (pages with equal text count once, so c
 
 - A subtree is deleted if its text recurs in its slot on ``needed`` different pages: an absolute number that grows with
   the logarithm of the host's pages (3 to begin with, 12 on a million pages).
-- All subtrees of a slot are deleted, also those of a text of their own, if the slot occurs at most once on each page, on
-  ``needed`` different pages at least, and more than half of its pages show a text that recurs there: a place where
-  menus, notices or adverts take turns.
+- All subtrees of a slot are deleted, also those of a text of their own, if the slot occurs at most once on each page and
+  more than half of its pages (``needed`` pages without one added) show a text that another page has there too: a
+  place where menus, notices or adverts take turns.
 
 Text blocks of the article itself (paragraphs, headings, list items, cells, inline marks) are never deleted this
 way: a passage that many articles quote stays. One rule holds for hosts of all sizes. What counts can't show (a host
@@ -289,10 +289,11 @@ def templates(pages: DataFrame, min_pages: int) -> DataFrame:
     counts = each.groupBy("host", F.col("slots").alias("slot"), F.col("hashes").alias("hash")).agg(
         F.count("*").alias("seen"), F.max("times").alias("times"))
     counts = common.attach(common.cut(counts), hosts.withColumn("k", F.col("n")), "host", "k")
-    counts = counts.withColumn("again", F.col("seen") >= F.greatest(F.lit(min_pages), F.ceil(0.6 * F.log2("n"))))
+    counts = counts.withColumn("needed", F.greatest(F.lit(min_pages), F.ceil(0.6 * F.log2("n")))).withColumn("again", F.col("seen") >= F.col("needed"))
     places = counts.groupBy("host", "slot").agg(
-        F.sum("seen").alias("pages"), F.sum(F.when(F.col("again"), F.col("seen")).otherwise(0)).alias("same"), F.max("times").alias("times"), F.first("w").alias("w"))
-    full = places.where("times = 1 AND 2 * same > pages").select("host", "w", "slot", F.lit(None).cast("long").alias("hash"))
+        F.sum("seen").alias("pages"), F.sum(F.when(F.col("seen") > 1, F.col("seen")).otherwise(0)).alias("same"), F.max("times").alias("times"),
+        F.first("needed").alias("needed"), F.first("w").alias("w"))
+    full = places.where("times = 1 AND 2 * same > pages + needed").select("host", "w", "slot", F.lit(None).cast("long").alias("hash"))
     most = counts.where("again").select("host", "w", "slot", "hash").unionByName(full)
     return common.cut(most.groupBy("host").agg(
         F.collect_list(F.when(F.col("hash").isNotNull(), F.struct("slot", "hash"))).alias("x"),
