@@ -18,8 +18,9 @@ elements whose class or role is the name of an advert, notice, sidebar, menu or
 and the bounds of the article: if a page has articles that hold at least half of the text of its main element, only
 their text is kept, else that of the main element, if there is one.
 
-The table of deleted hashes and slots is broadcast if its size is within a bound; otherwise pages are joined to it by
-host, hot hosts split off (``common.attach``).
+The table of deleted hashes and slots is broadcast if its counted size is within a bound. Otherwise the subtrees of each
+different html are joined to it, hot ones split off (``common.attach``), and pages are joined to what goes from
+their own html: a list no longer than the page, however many templates its host has.
 
 Defined cases: null or empty html gives empty text; null urls and urls without
 a host have no site and only the markup decides; unclosed and cut-off markup
@@ -34,6 +35,7 @@ import html as entities
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -117,9 +119,14 @@ def named(tag: str, attrs: str) -> bool:
 
 def place(parent: int, tag: str, attrs: str) -> int:
     """Hash of an element's slot: its tag, classes and role below the slot of its parent."""
+    names = " ".join(sorted(f"{k.lower()}={v.strip(chr(34) + chr(39)).lower()}" for k, v in NAMES.findall(attrs) if k.lower() != "id")) if "=" in attrs else ""
+    return placed(parent, tag, names)
+
+
+@lru_cache(maxsize=1 << 14)
+def placed(parent: int, tag: str, names: str) -> int:
     from xxhash import xxh3_64_intdigest
 
-    names = " ".join(sorted(f"{k.lower()}={v.strip(chr(34) + chr(39)).lower()}" for k, v in NAMES.findall(attrs) if k.lower() != "id")) if "=" in attrs else ""
     return xxh3_64_intdigest(f"{parent}>{tag} {names}".encode("utf-8", "surrogatepass")) - 2 ** 63
 
 
@@ -261,65 +268,94 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def templates(pages: DataFrame, min_pages: int) -> DataFrame:
-    """``(host, slots, hashes, full, w)``: deleted texts by slot, and the slots of which every text goes, of each host that
-    has any. ``pages`` holds ``__host`` and ``html``."""
+def page_rows(pages: DataFrame) -> DataFrame:
+    """``(host, own, page, slots, hashes, times, w)``: subtrees of each different html of a host; ``own`` is the html's digest,
+    ``page`` that of its text. ``pages`` holds ``host``, ``own`` and ``html``."""
     from xxhash import xxh3_64_intdigest
 
     def found(batches):
         for batch in batches:
-            cols = [], [], [], [], []
+            cols = [], [], [], [], [], []
             for part in common.slices(batch, "html"):
-                for host, source in zip(part.column("__host").to_pylist(), part.column("html").to_pylist(), strict=True):
+                for host, own, source in zip(*(part.column(c).to_pylist() for c in ("host", "own", "html")), strict=True):
                     page = parse(source or "")
                     text = "".join(t for _, t, _ in page.pieces)
                     trees = subtrees(page)
-                    own = host, xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2 ** 63, [k[0] for k in trees], [k[1] for k in trees], list(trees.values())
-                    for col, value in zip(cols, own, strict=True):
+                    row = host, own, xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2 ** 63, [k[0] for k in trees], [k[1] for k in trees], list(trees.values())
+                    for col, value in zip(cols, row, strict=True):
                         col.append(value)
-            kinds = pa.string(), pa.int64(), *[pa.list_(pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "page", "slots", "hashes", "times"])
-
-    rows = common.in_batches(pages.where("__host IS NOT NULL").select("__host", "html"), found,
-                             "host string, page long, slots array<long>, hashes array<long>, times array<long>")
-    one = rows.groupBy("host", "page").agg(F.first(F.struct("slots", "hashes", "times")).alias("x"), F.count("*").alias("w"))
-    rows = common.cut(one.select("host", "page", "x.*", "w"))
-    hosts = common.cut(rows.groupBy("host").agg(F.count("*").alias("n"), F.sum("w").alias("w")))
-    each = rows.select("host", F.explode(F.arrays_zip("slots", "hashes", "times")).alias("x")).select("host", "x.*")
+            kinds = pa.string(), pa.string(), pa.int64(), *[pa.list_(pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["host", "own", "page", "slots", "hashes", "times"])
+
+    rows = common.in_batches(pages.where("host IS NOT NULL").select("host", "own", "html"), found,
+                             "host string, own string, page long, slots array<long>, hashes array<long>, times array<long>")
+    one = rows.groupBy("host", "own").agg(F.first(F.struct("page", "slots", "hashes", "times")).alias("x"), F.count("*").alias("w"))
+    return common.cut(one.select("host", "own", "x.*", "w"))
+
+
+def templates(rows: DataFrame, min_pages: int) -> tuple[DataFrame, DataFrame]:
+    """Of ``page_rows``: the slots of which every text goes ``(host, slot, pages, w)``, and the texts that go from other slots
+    ``(host, slot, hash, seen, w)``."""
+    one = rows.groupBy("host", "page").agg(F.first(F.struct("slots", "hashes", "times")).alias("x"), F.sum("w").alias("w"))
+    one = common.cut(one.select("host", "x.*", "w"))
+    hosts = common.cut(one.groupBy("host").agg(F.count("*").alias("n"), F.sum("w").alias("w")))
+    each = one.select("host", F.explode(F.arrays_zip("slots", "hashes", "times")).alias("x")).select("host", "x.*")
     counts = each.groupBy("host", F.col("slots").alias("slot"), F.col("hashes").alias("hash")).agg(
         F.count("*").alias("seen"), F.max("times").alias("times"))
-    counts = common.attach(common.cut(counts), hosts.withColumn("k", F.col("n")), "host", "k")
-    counts = counts.withColumn("needed", F.greatest(F.lit(min_pages), F.ceil(0.6 * F.log2("n")))).withColumn("again", F.col("seen") >= F.col("needed"))
-    places = counts.groupBy("host", "slot").agg(
-        F.sum("seen").alias("pages"), F.sum(F.when(F.col("seen") > 1, F.col("seen")).otherwise(0)).alias("same"), F.max("times").alias("times"),
-        F.first("needed").alias("needed"), F.first("w").alias("w"))
-    full = places.where("times = 1 AND 2 * same > pages + needed").select("host", "w", "slot", F.lit(None).cast("long").alias("hash"))
-    most = counts.where("again").select("host", "w", "slot", "hash").unionByName(full)
-    return common.cut(most.groupBy("host").agg(
-        F.collect_list(F.when(F.col("hash").isNotNull(), F.struct("slot", "hash"))).alias("x"),
-        F.collect_list(F.when(F.col("hash").isNull(), F.col("slot"))).alias("full"), F.first("w").alias("w")
-    ).select("host", F.col("x.slot").alias("slots"), F.col("x.hash").alias("hashes"), "full", "w"))
+    # texts of one page alone can't recur: they are summed by slot and go no further
+    single = counts.groupBy("host", "slot").agg(F.sum("seen").alias("pages"), F.max("times").alias("times"),
+                                                F.sum(F.when(F.col("seen") > 1, F.col("seen")).otherwise(0)).alias("same"))
+    needed = F.greatest(F.lit(min_pages), F.ceil(0.6 * F.log2("n")))
+    places = common.attach(common.cut(single), hosts.withColumn("k", F.col("n")), "host", "k")
+    full = common.cut(places.where("times = 1").where(2 * F.col("same") > F.col("pages") + needed).select("host", "slot", "pages", "w"))
+    again = common.attach(common.cut(counts.where(F.col("seen") >= min_pages)), hosts.withColumn("k", F.col("n")), "host", "k").where(F.col("seen") >= needed)
+    return full, common.cut(again.select("host", "slot", "hash", "seen", "w").join(full.select("host", "slot"), ["host", "slot"], "left_anti"))
+
+
+def lists(of: DataFrame, keys: list[str]) -> DataFrame:
+    """``(*keys, slots, hashes, full, w)`` of rows ``(*keys, slot, hash, w)``; a null hash is a slot that goes whole."""
+    one = F.col("hash").isNotNull()
+    found = of.groupBy(*keys).agg(F.collect_list(F.when(one, F.struct("slot", "hash"))).alias("x"),
+                                  F.collect_list(F.when(~one, F.col("slot"))).alias("full"), F.first("w").alias("w"))
+    return common.cut(found.select(*keys, F.col("x.slot").alias("slots"), F.col("x.hash").alias("hashes"), "full", "w"))
+
+
+def own_templates(rows: DataFrame, full: DataFrame, again: DataFrame) -> DataFrame:
+    """What goes from each different html alone: its subtrees joined to the templates, hot ones split off."""
+    each = rows.select("host", "own", "w", F.explode(F.arrays_zip("slots", "hashes")).alias("x")).select(
+        "host", "own", "w", F.col("x.slots").alias("slot"), F.col("x.hashes").alias("hash"))
+    text, slot = F.struct("host", "slot", "hash").alias("k"), F.struct("host", "slot").alias("k")
+    texts = common.attach(each.select("*", text), again.select(text, "seen"), "k", "seen")
+    slots = common.attach(each.select("*", slot), full.select(slot, "pages"), "k", "pages").withColumn("hash", F.lit(None).cast("long"))
+    names = ["host", "own", "slot", "hash", "w"]
+    return lists(texts.select(*names).unionByName(slots.select(*names).distinct()), ["host", "own"])
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = 3, keep: list[str] | None = None,
             markup: bool = True) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` (code points) of the main text; without ``markup`` the counts alone decide."""
-    sites = templates(pages.select(host_of(common.quoted(url)).alias("__host"), common.quoted(html).alias("html")), min_pages)
-    used = pages.columns if keep is None else keep
-    rows = pages.select(*map(common.quoted, dict.fromkeys([*used, html])), F.coalesce(host_of(common.quoted(url)), F.lit("")).alias("__host"))
-    held = sites.agg(F.sum(2 * F.size("hashes") + F.size("full"))).first()[0] or 0
-    most = common.BROADCAST_ROWS if held <= BROADCAST_HASHES else 0
+    host, own = host_of(common.quoted(url)), F.md5(F.coalesce(common.quoted(html).cast("string"), F.lit("")))
+    found = page_rows(pages.select(host.alias("host"), own.alias("own"), common.quoted(html).alias("html")))
+    full, again = templates(found, min_pages)
+    whole = full.count() + 2 * again.count() <= BROADCAST_HASHES
+    keys = ["host"] if whole else ["host", "own"]
+    gone = lists(full.select("host", "slot", F.lit(None).cast("long").alias("hash"), "w").unionByName(again.select("host", "slot", "hash", "w")), keys) \
+        if whole else own_templates(found, full, again)
     names = ["__slots", "__hashes", "__full"]
-    sites = sites.select(F.col("host").alias("__host"), *(F.col(c.strip("_")).alias(c) for c in names), F.col("w").alias("__w"))
-    rows = common.attach(rows, sites, "__host", "__w", "left", most)
+    gone = gone.select(F.struct(*keys).alias("__key"), *(F.col(c.strip("_")).alias(c) for c in names), F.col("w").alias("__w"))
+    used = pages.columns if keep is None else keep
+    key = F.struct(F.coalesce(host, F.lit("")).alias("host"), *([] if whole else [own.alias("own")]))
+    rows = pages.select(*map(common.quoted, dict.fromkeys([*used, html])), key.alias("__key"))
+    rows = common.attach(rows, gone, "__key", "__w", "left", common.BROADCAST_ROWS if whole else 0)
+    rows = rows.withColumn("__key", F.col("__key.host"))
 
     def run(batch: pa.RecordBatch) -> dict:
         texts, known = [], {}
-        for source, host, *own in zip(*(batch.column(c) for c in (html, "__host", *names)), strict=True):
-            if (host := host.as_py()) not in known:
-                slots, hashes, full = (x.as_py() or [] for x in own)
-                known[host] = set(zip(slots, hashes, strict=True)), set(full)
-            texts.append(main_text(parse(source.as_py() or ""), *known[host], markup))
+        for source, site, *lost in zip(*(batch.column(c) for c in (html, "__key", *names)), strict=True):
+            if not whole or (site := site.as_py()) not in known:
+                slots, hashes, every = (x.as_py() or [] for x in lost)
+                known[site if whole else None] = set(zip(slots, hashes, strict=True)), set(every)
+            texts.append(main_text(parse(source.as_py() or ""), *known[site if whole else None], markup))
         return {"text": texts, "n_chars": [len(t) for t in texts]}
 
-    return common.map_batches(rows, run, [StructField("text", StringType()), StructField("n_chars", LongType())], [html, "__host", *names], used)
+    return common.map_batches(rows, run, [StructField("text", StringType()), StructField("n_chars", LongType())], [html, "__key", *names], used)
