@@ -39,8 +39,14 @@ from .components import components
 #: Directions used for boxes, and of these for grid cells.
 BOX_DIMS, GRID_DIMS = 16, 3
 LEAF = 512
-#: Cosines in single precision this close to the limit are computed again in double precision.
-NEAR = 1e-5
+
+def near(dims: int) -> float:
+    """Cosines in single precision this close to the limit are computed again in double precision.
+
+    Rounding both unit vectors and ``dims`` products and sums shifts a cosine by less than (dims + 3) * 2^-24 (and its
+    square, negligible); twice that is taken.
+    """
+    return max(1e-5, (dims + 4) * 2.0 ** -23)
 
 
 def as_vector(x) -> np.ndarray | None:
@@ -161,7 +167,7 @@ def box_gap(lo_a, hi_a, lo_b, hi_b) -> float:
 
 def joined(a: Block, b: Block, same: bool, cosine: float, eps: float):
     """Yields (row intervals, link matrix) of the interval pairs that can't be skipped, each pair of rows once."""
-    limit = eps * eps + 1e-9
+    limit, close = eps * eps + 1e-9, near(a.unit.shape[1])
     stack = [(0, len(a.ids), 0, len(b.ids))]
     while stack:
         i, j, k, l = stack.pop()
@@ -172,8 +178,8 @@ def joined(a: Block, b: Block, same: bool, cosine: float, eps: float):
             continue
         if j - i <= LEAF and l - k <= LEAF:
             dot = a.single[i:j] @ b.single[k:l].T
-            link = dot >= cosine + NEAR
-            r, c = np.nonzero(np.abs(dot - cosine) < NEAR)
+            link = dot >= cosine + close
+            r, c = np.nonzero(np.abs(dot - cosine) <= close)
             link[r, c] = np.einsum("ij,ij->i", a.unit[i + r], b.unit[k + c]) >= cosine
             if same and i == k:
                 link &= np.tri(j - i, l - k, -1, dtype=bool).T

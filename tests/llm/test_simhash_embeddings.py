@@ -130,3 +130,12 @@ def test_vectors_of_every_length_are_compared(spark):
     for size in (0, 3, 8, 12):
         want |= vectors([r for r in rows if len(r[1] or []) == size])
     assert got == want and all(got[100 + i][0] >= 1 for i in range(20))
+
+
+@pytest.mark.parametrize("dims", [3, 64, 768, 20_000])
+def test_single_precision_stays_within_the_bound(dims):
+    rng = np.random.default_rng(dims)
+    rows = np.vstack([rng.normal(size=(40, dims)), rng.uniform(1, 2, size=(40, dims)), np.ones((1, dims))])
+    unit = embedding_dedup.unit(rows)
+    single = unit.astype(np.float32)
+    assert np.abs(single @ single.T - unit @ unit.T).max() < embedding_dedup.near(dims) / 2
